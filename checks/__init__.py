@@ -1,0 +1 @@
+"""Registered queries, their SQL counterparts and the feeds both read."""

@@ -1,0 +1,272 @@
+"""The same queries in SQL, written without JSON and without Spark."""
+
+from __future__ import annotations
+
+# What the messages hold, one row per message, before any rule.
+_COPIES = """
+copies AS (
+  SELECT e.*, e.event_id % 50 AS m, c.copy, e.event_id * 2 + c.copy AS kafka_offset,
+         ts::date AS ingestion_date,
+         CASE WHEN e.event_id % 50 <> 13 THEN date_trunc('second', ts)::timestamp END AS event_second,
+         CASE WHEN e.event_id % 50 = 17 THEN -(value + c.copy)::decimal(18,2)
+              WHEN e.event_id % 50 <> 11 THEN (value + c.copy)::decimal(18,2) END AS v
+  FROM events e JOIN (VALUES (0), (1)) c(copy) ON c.copy = 0 OR e.event_id % 50 = 19
+)"""
+_KIND = """CASE WHEN m = 23 THEN NULL WHEN event_type IN ('purchase', 'view') THEN 'BUY'
+              WHEN event_type = 'signup' THEN 'SELL' WHEN event_type = 'click' THEN 'REDEEM'
+              ELSE 'SWITCH' END"""
+
+
+def _nav_typed(name: str = "'Fund ' || user_id") -> str:
+    return f"""{_COPIES},
+typed AS (
+  SELECT CASE WHEN m <> 7 THEN user_id::int END AS scheme_code,
+         CASE WHEN m <> 7 THEN {name} END AS scheme_name,
+         CASE WHEN m <> 7 THEN v::double END AS nav,
+         CASE WHEN m <> 7 THEN event_second END AS event_timestamp,
+         ingestion_date, 'nav_raw' AS kafka_topic, kafka_offset
+  FROM copies
+),
+complete AS (
+  SELECT * FROM typed
+  WHERE scheme_code IS NOT NULL AND nav IS NOT NULL AND event_timestamp IS NOT NULL
+),
+distinct_rows AS (
+  SELECT * FROM complete QUALIFY
+    row_number() OVER (PARTITION BY scheme_code, event_timestamp ORDER BY kafka_offset) = 1
+),
+silver AS (SELECT * FROM distinct_rows WHERE nav > 0)"""
+
+
+_NAV = _nav_typed()
+_TXN = f"""{_COPIES},
+typed AS (
+  SELECT CASE WHEN m NOT IN (3, 7) THEN 'TXN_' || event_id END AS transaction_id,
+         CASE WHEN m NOT IN (5, 7) THEN user_id::int END AS scheme_code,
+         CASE WHEN m <> 7 THEN {_KIND} END AS transaction_type,
+         CASE WHEN m <> 7 THEN v::double END AS amount,
+         CASE WHEN m <> 7 THEN
+           CASE WHEN event_id % 10 = 0 THEN 'FAILED' ELSE 'SUCCESS' END END AS status,
+         CASE WHEN m <> 7 THEN event_second END AS event_timestamp,
+         ingestion_date, 'txn_raw' AS kafka_topic, kafka_offset
+  FROM copies
+),
+complete AS (
+  SELECT * FROM typed WHERE transaction_id IS NOT NULL AND scheme_code IS NOT NULL
+    AND amount IS NOT NULL AND event_timestamp IS NOT NULL
+),
+distinct_rows AS (
+  SELECT * FROM complete QUALIFY
+    row_number() OVER (PARTITION BY transaction_id ORDER BY kafka_offset) = 1
+),
+silver AS (
+  SELECT * FROM distinct_rows
+  WHERE amount > 0 AND transaction_type IN ('BUY', 'SELL', 'REDEEM')
+)"""
+
+
+def _rsum(x: str, places: int) -> str:
+    return f"round(sum(({x})::decimal(28,10)), {places})::double"
+
+
+def _ravg(x: str, places: int) -> str:
+    mean = f"(sum(({x})::decimal(28,10)) / count({x}))::decimal(38,10)"
+    return f"round({mean}, {places})::double"
+
+
+def _r(x: str, places: int) -> str:
+    return f"round(({x})::decimal(28,10), {places})::double"
+
+
+_RETURN = (
+    "CASE WHEN opening_nav <> 0 THEN "
+    + _r("(closing_nav - opening_nav) / opening_nav * 100", 4)
+    + " END AS daily_return_pct"
+)
+_TICKS = """
+ticks AS (
+  SELECT *, first_value(nav) OVER (w ORDER BY event_timestamp) AS o,
+         first_value(nav) OVER (w ORDER BY event_timestamp DESC) AS c
+  FROM silver WINDOW w AS (PARTITION BY scheme_code, ingestion_date)
+)"""
+_DAYS = f"""{_TICKS},
+day_prices AS (
+  SELECT scheme_code, scheme_name, ingestion_date,
+         {_r("any_value(o)", 4)} AS opening_nav, {_r("any_value(c)", 4)} AS closing_nav,
+         {_r("min(nav)", 4)} AS min_nav, {_r("max(nav)", 4)} AS max_nav,
+         {_ravg("nav", 4)} AS avg_nav, {_r("stddev_samp(nav)", 4)} AS nav_volatility,
+         count(*) AS nav_updates
+  FROM ticks GROUP BY ALL
+),
+days AS (SELECT *, {_RETURN} FROM day_prices)"""
+_FUNDS = f"""{_DAYS},
+funds AS (
+  SELECT scheme_code, scheme_name, {_ravg("daily_return_pct", 4)} AS avg_daily_return_pct,
+         max(daily_return_pct) AS best_daily_return_pct, {_ravg("avg_nav", 4)} AS avg_nav,
+         {_ravg("nav_volatility", 4)} AS avg_volatility, count(*) AS trading_days
+  FROM days GROUP BY scheme_code, scheme_name
+)"""
+_PERFORMANCE = "SELECT * EXCLUDE (nav_volatility) FROM days"
+
+_LINES = """
+lines AS (
+  SELECT l_orderkey || '-' || l_linenumber AS transaction_id, l_suppkey::int AS scheme_code,
+         CASE l_returnflag WHEN 'A' THEN 'BUY' WHEN 'N' THEN 'SELL' ELSE 'REDEEM' END
+           AS transaction_type,
+         l_extendedprice AS amount, l_shipdate::date AS ingestion_date, lineitem.*
+  FROM lineitem
+)"""
+
+
+def _net_flow(source: str) -> str:
+    buy = "CASE WHEN transaction_type = 'BUY' THEN amount ELSE 0 END"
+    sell = "CASE WHEN transaction_type = 'SELL' THEN amount ELSE 0 END"
+    net = (
+        "CASE transaction_type WHEN 'BUY' THEN amount::decimal(28,10) "
+        "WHEN 'SELL' THEN -amount::decimal(28,10) ELSE 0 END"
+    )
+    return f"""SELECT scheme_code, ingestion_date, {_rsum(net, 2)} AS net_aum,
+      {_rsum(buy, 2)} AS total_buy_amount, {_rsum(sell, 2)} AS total_sell_amount,
+      count(*) AS total_transactions
+    FROM {source} GROUP BY scheme_code, ingestion_date"""
+
+
+def _volume(source: str) -> str:
+    return f"""SELECT ingestion_date, transaction_type, scheme_code, count(*) AS txn_count,
+      {_rsum("amount", 2)} AS total_amount, {_ravg("amount", 2)} AS avg_amount,
+      {_r("min(amount)", 2)} AS min_amount, {_r("max(amount)", 2)} AS max_amount
+    FROM {source} GROUP BY ALL"""
+
+
+def _quality(feed: str, typed: str, last_rule: str) -> str:
+    good_type = "transaction_type IN ('BUY', 'SELL', 'REDEEM')"
+    rules = {
+        "read": "(SELECT count(*) FROM typed)",
+        "required": "(SELECT count(*) FROM typed) - (SELECT count(*) FROM complete)",
+        "duplicate": "(SELECT count(*) FROM complete) - (SELECT count(*) FROM distinct_rows)",
+        "not_positive": f"(SELECT count(*) FROM distinct_rows WHERE {last_rule} <= 0)",
+        "kept": "(SELECT count(*) FROM silver)",
+    }
+    if feed == "txn":
+        rules["bad_domain"] = (
+            "(SELECT count(*) FROM distinct_rows WHERE amount > 0"
+            f" AND ({good_type}) IS NOT TRUE)"
+        )
+    rows = [
+        f"SELECT '{feed}' AS feed, '{rule}' AS rule, ({count})::bigint AS rows"
+        for rule, count in rules.items()
+    ]
+    return f"WITH {typed} " + " UNION ALL ".join(rows)
+
+
+_NAV_TEXT = """'{"timestamp":"' || CASE WHEN m = 13 THEN 'garbage'
+    ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END
+  || '","scheme_code":' || user_id || ',"scheme_name":"Fund ' || user_id || '"'
+  || coalesce(',"nav":' || v, '') || '}'"""
+_TXN_TEXT = f"""'{{' || CASE WHEN m <> 3 THEN '"transaction_id":"TXN_' || event_id || '",' ELSE '' END
+  || '"timestamp":"' || CASE WHEN m = 13 THEN 'garbage'
+    ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END
+  || '","scheme_code":' || CASE WHEN m = 5 THEN '"' || user_id || '"' ELSE user_id::varchar END
+  || coalesce(',"transaction_type":"' || ({_KIND}) || '"', '')
+  || coalesce(',"amount":' || v, '')
+  || ',"status":"' || CASE WHEN event_id % 10 = 0 THEN 'FAILED' ELSE 'SUCCESS' END || '"}}'"""
+
+
+def _bronze(topic: str, text: str) -> str:
+    return f"""SELECT NULL::varchar AS key,
+      CASE WHEN m = 7 THEN 'not json' ELSE {text} END AS json_payload,
+      '{topic}' AS topic, 0::int AS partition, kafka_offset AS "offset",
+      ts AS "timestamp", ingestion_date FROM copies"""
+
+
+_NAV_BRONZE = _bronze("nav_raw", _NAV_TEXT)
+_TXN_BRONZE = _bronze("txn_raw", _TXN_TEXT)
+
+
+def _silver_and_gold(prefix: str, cte: str) -> str:
+    """Rename the shared CTE names so that both feeds fit in one statement."""
+    for name in ("copies", "typed", "complete", "distinct_rows", "silver"):
+        cte = cte.replace(f"{name} AS (", f"{prefix}_{name} AS (")
+        cte = cte.replace(f"FROM {name}", f"FROM {prefix}_{name}")
+    return cte
+
+
+_BOTH = f"{_silver_and_gold('nav', _NAV)}, {_silver_and_gold('txn', _TXN)}"
+
+
+def oracle_sql() -> dict[str, str]:
+    shared = "scheme_code, event_timestamp, ingestion_date, kafka_topic, kafka_offset"
+    ranked = "rank() OVER (ORDER BY avg_daily_return_pct DESC NULLS LAST)::int AS rank"
+    nav_counts = {
+        "bronze_nav": "nav_typed",
+        "bronze_txn": "txn_typed",
+        "silver_nav": "nav_silver",
+        "silver_txn": "txn_silver",
+        "gold_aum_by_fund": "(SELECT DISTINCT scheme_code, ingestion_date FROM txn_silver)",
+        "gold_nav_performance": (
+            "(SELECT DISTINCT scheme_code, scheme_name, ingestion_date FROM nav_silver)"
+        ),
+        "gold_txn_volume": (
+            "(SELECT DISTINCT scheme_code, transaction_type, ingestion_date FROM txn_silver)"
+        ),
+        "gold_top_funds": "(SELECT DISTINCT scheme_code, scheme_name FROM nav_silver)",
+    }
+    layer_rows = " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) AS rows FROM {source}"
+        for name, source in nav_counts.items()
+    )
+    renamed = _nav_typed("'Fund ' || user_id || '-' || (event_id % 3)")
+    return {
+        "bronze_envelope": f"WITH {_COPIES} {_NAV_BRONZE} UNION ALL {_TXN_BRONZE}",
+        "bronze_stream_landing": f"WITH {_COPIES} {_NAV_BRONZE}",
+        "bronze_stream_restart": f"""WITH {_COPIES}
+          SELECT ingestion_date, count(*) AS messages FROM copies GROUP BY ALL""",
+        "bronze_stream_two_feeds": f"""WITH {_COPIES}
+          SELECT topic, ingestion_date, count(*) AS messages
+          FROM copies, (VALUES ('nav_raw'), ('txn_raw')) t(topic) GROUP BY ALL""",
+        "silver_nav_parsed": f"WITH {_NAV} SELECT * FROM typed",
+        "silver_txn_parsed": f"WITH {_TXN} SELECT * FROM typed",
+        "silver_nav_not_null": f"WITH {_NAV} SELECT * FROM complete",
+        "silver_txn_not_null": f"WITH {_TXN} SELECT * FROM complete",
+        "silver_nav_dedup": f"WITH {_NAV} SELECT * FROM distinct_rows",
+        "silver_txn_dedup": f"WITH {_TXN} SELECT * FROM distinct_rows",
+        "silver_nav": f"WITH {_NAV} SELECT * FROM silver",
+        "silver_txn": f"WITH {_TXN} SELECT * FROM silver",
+        "silver_nav_quality": _quality("nav", _NAV, "nav"),
+        "silver_txn_quality": _quality("txn", _TXN, "amount"),
+        "silver_counts": f"""WITH {_BOTH}
+          SELECT 'nav' AS feed, count(*) AS rows FROM nav_silver
+          UNION ALL SELECT 'txn' AS feed, count(*) AS rows FROM txn_silver""",
+        "silver_partition_roundtrip": f"""WITH {_BOTH}
+          SELECT {shared}, nav AS measure FROM nav_silver
+          UNION ALL SELECT {shared}, amount AS measure FROM txn_silver""",
+        "summary_nav_by_date": f"""WITH {_NAV}
+          SELECT ingestion_date, count(*) AS count FROM silver GROUP BY ALL""",
+        "summary_txn_by_date_type": f"""WITH {_TXN}
+          SELECT ingestion_date, transaction_type, count(*) AS count,
+                 {_rsum("amount", 2)} AS total_amount
+          FROM silver GROUP BY ingestion_date, transaction_type""",
+        "summary_nav_sample": f"""WITH {_NAV}
+          SELECT * FROM silver ORDER BY scheme_code, event_timestamp LIMIT 5""",
+        "gold_open_close": f"""WITH {_NAV}, {_TICKS}
+          SELECT scheme_code, ingestion_date, event_timestamp, nav,
+                 o AS opening_nav, c AS closing_nav FROM ticks""",
+        "gold_aum_by_fund": f"WITH {_TXN} {_net_flow('silver')}",
+        "gold_nav_performance": f"WITH {_NAV}, {_DAYS} {_PERFORMANCE}",
+        "gold_nav_performance_renamed": f"WITH {renamed}, {_DAYS} {_PERFORMANCE}",
+        "gold_txn_volume": f"WITH {_TXN} {_volume('silver')}",
+        "gold_fund_daily_returns": f"""WITH {_NAV}, {_DAYS}
+          SELECT * EXCLUDE (min_nav, max_nav, nav_updates) FROM days""",
+        "gold_top_funds": f"WITH {_NAV}, {_FUNDS} SELECT *, {ranked} FROM funds",
+        "gold_verify_count": f"""WITH {_NAV}
+          SELECT count(*) AS total_funds
+          FROM (SELECT DISTINCT scheme_code, scheme_name FROM silver)""",
+        "layers_end_to_end": f"WITH {_BOTH} {layer_rows}",
+        "lineitem_txn_dedup": f"""WITH {_LINES}
+          SELECT transaction_id, scheme_code, transaction_type, amount, ingestion_date
+          FROM lines QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY
+            l_shipdate, l_partkey, l_suppkey, l_quantity, amount, l_discount, l_tax,
+            transaction_type) = 1""",
+        "lineitem_txn_volume": f"WITH {_LINES} {_volume('lines')}",
+        "lineitem_net_flow": f"WITH {_LINES} {_net_flow('lines')}",
+    }

@@ -1,0 +1,283 @@
+"""One callable per operator: ``(spark, sf_dir) -> DataFrame``."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks import feeds
+from fundflow.functions import required
+from fundflow.operators import prices, quality, ranking, summary, transactions
+from fundflow.operators.dedup import first_per_key
+from fundflow.plans import silver
+from fundflow.plans.medallion import LakeConfig, run_all
+from fundflow.schemas import NAV, TXN, Feed
+from fundflow.sources.lake import read_bronze, read_silver, silver_path, write_silver
+from fundflow.sources.warehouse import ParquetWarehouse
+from fundflow.sources.workspace import new_folder
+from fundflow.streaming.landing import await_feeds, ingest_feed
+
+Query = Callable[[SparkSession, str], DataFrame]
+REGISTRY: dict[str, Query] = {}
+
+
+def register(query: Query) -> Query:
+    REGISTRY[query.__name__] = query
+    return query
+
+
+def plain_times(frame: DataFrame) -> DataFrame:
+    """Times without a zone, as the SQL side has them."""
+    return frame.select(
+        *[
+            F.col(name).cast("timestamp_ntz").alias(name) if kind == "timestamp" else F.col(name)
+            for name, kind in frame.dtypes
+        ]
+    )
+
+
+def _bronze(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
+    source = feeds.nav_bronze if feed is NAV else feeds.txn_bronze
+    return source(spark, sf_dir)
+
+
+def _typed(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
+    return silver.typed_rows(_bronze(spark, sf_dir, feed), feed)
+
+
+def _published(rows: DataFrame, feed: Feed) -> DataFrame:
+    return plain_times(rows.select(*feed.silver_columns))
+
+
+def _nav(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.silver_nav(feeds.nav_bronze(spark, sf_dir))
+
+
+def _txn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.silver_txn(feeds.txn_bronze(spark, sf_dir))
+
+
+# Bronze
+
+
+@register
+def bronze_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(feeds.nav_bronze(spark, sf_dir).union(feeds.txn_bronze(spark, sf_dir)))
+
+
+def _drain(spark: SparkSession, sf_dir: str, root: str, *names: str) -> None:
+    events = feeds.table_stream(spark, sf_dir, "events")
+    records = {"nav": feeds.nav_records, "txn": feeds.txn_records}
+    queries = [
+        ingest_feed(records[name](events), f"{root}/{name}", f"{root}/state/{name}", "drain")
+        for name in names
+    ]
+    await_feeds(spark, queries, "drain")
+
+
+@register
+def bronze_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "landing")
+    _drain(spark, sf_dir, root, "nav")
+    return plain_times(read_bronze(spark, f"{root}/nav"))
+
+
+@register
+def bronze_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "restart")
+    _drain(spark, sf_dir, root, "nav")
+    _drain(spark, sf_dir, root, "nav")
+    landed = read_bronze(spark, f"{root}/nav")
+    return landed.groupBy("ingestion_date").agg(F.count("*").alias("messages"))
+
+
+@register
+def bronze_stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "feeds")
+    _drain(spark, sf_dir, root, "nav", "txn")
+    landed = read_bronze(spark, f"{root}/nav").union(read_bronze(spark, f"{root}/txn"))
+    return landed.groupBy("topic", "ingestion_date").agg(F.count("*").alias("messages"))
+
+
+# Silver
+
+
+@register
+def silver_nav_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(_typed(spark, sf_dir, NAV), NAV)
+
+
+@register
+def silver_txn_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(_typed(spark, sf_dir, TXN), TXN)
+
+
+@register
+def silver_nav_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(_typed(spark, sf_dir, NAV).filter(required(NAV.required)), NAV)
+
+
+@register
+def silver_txn_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(_typed(spark, sf_dir, TXN).filter(required(TXN.required)), TXN)
+
+
+@register
+def silver_nav_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = silver.judged_rows(_bronze(spark, sf_dir, NAV), NAV)
+    return _published(judged.filter("rule <> 'required'"), NAV)
+
+
+@register
+def silver_txn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = silver.judged_rows(_bronze(spark, sf_dir, TXN), TXN)
+    return _published(judged.filter("rule <> 'required'"), TXN)
+
+
+@register
+def silver_nav(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(_nav(spark, sf_dir))
+
+
+@register
+def silver_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(_txn(spark, sf_dir))
+
+
+@register
+def silver_nav_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.nav_quality(feeds.nav_bronze(spark, sf_dir))
+
+
+@register
+def silver_txn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.txn_quality(feeds.txn_bronze(spark, sf_dir))
+
+
+@register
+def silver_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.silver_counts(_nav(spark, sf_dir), _txn(spark, sf_dir))
+
+
+@register
+def silver_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "silver")
+    write_silver(_nav(spark, sf_dir), silver_path(root, NAV.folder))
+    write_silver(_txn(spark, sf_dir), silver_path(root, TXN.folder))
+    nav, txn = read_silver(spark, root)
+    shared = ["scheme_code", "event_timestamp", "ingestion_date", "kafka_topic", "kafka_offset"]
+    return plain_times(
+        nav.select(*shared, F.col("nav").alias("measure")).union(
+            txn.select(*shared, F.col("amount").alias("measure"))
+        )
+    )
+
+
+@register
+def summary_nav_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.nav_by_date(_nav(spark, sf_dir))
+
+
+@register
+def summary_txn_by_date_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.txn_by_date_type(_txn(spark, sf_dir))
+
+
+@register
+def summary_nav_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = [F.col("scheme_code"), F.col("event_timestamp")]
+    return plain_times(summary.preview(_nav(spark, sf_dir), 5, order))
+
+
+# Gold
+
+
+@register
+def gold_open_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(prices.open_close(_nav(spark, sf_dir)))
+
+
+@register
+def gold_aum_by_fund(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transactions.aum_by_fund(transactions.txn_days(_txn(spark, sf_dir)))
+
+
+@register
+def gold_nav_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prices.nav_performance(prices.fund_days(_nav(spark, sf_dir)))
+
+
+@register
+def gold_nav_performance_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nav = silver.silver_nav(feeds.nav_bronze(spark, sf_dir, renamed=True))
+    return prices.nav_performance(prices.fund_days(nav))
+
+
+@register
+def gold_txn_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transactions.txn_volume(transactions.txn_days(_txn(spark, sf_dir)))
+
+
+@register
+def gold_fund_daily_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prices.fund_daily_returns(prices.fund_days(_nav(spark, sf_dir)))
+
+
+@register
+def gold_top_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.top_funds(prices.fund_days(_nav(spark, sf_dir)))
+
+
+@register
+def gold_verify_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verify_gold(gold_top_funds(spark, sf_dir), min_rows=1)
+
+
+@register
+def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds through every layer; the number of rows in each table."""
+    root = new_folder(spark, "layers")
+    cfg = LakeConfig(root=root, warehouse=ParquetWarehouse(f"{root}/gold"), min_funds=1)
+    events = feeds.table_stream(spark, sf_dir, "events")
+    run_all(spark, cfg, {"nav": feeds.nav_records(events), "txn": feeds.txn_records(events)})
+    nav, txn = read_silver(spark, cfg.silver)
+    tables = {
+        "bronze_nav": read_bronze(spark, cfg.bronze(NAV)),
+        "bronze_txn": read_bronze(spark, cfg.bronze(TXN)),
+        "silver_nav": nav,
+        "silver_txn": txn,
+    }
+    for name in ("gold_aum_by_fund", "gold_nav_performance", "gold_txn_volume", "gold_top_funds"):
+        tables[name] = cfg.warehouse.read(spark, name)
+    counts = None
+    for name, frame in tables.items():
+        one = frame.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+        counts = one if counts is None else counts.union(one)
+    return counts
+
+
+# The larger input
+
+
+@register
+def lineitem_txn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = feeds.lineitem_transactions(spark, sf_dir)
+    order = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "amount", "l_discount", "l_tax")
+    first = first_per_key(lines, ["transaction_id"], order)
+    return first.select(
+        "transaction_id", "scheme_code", "transaction_type", "amount", "ingestion_date"
+    )
+
+
+@register
+def lineitem_txn_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = feeds.lineitem_transactions(spark, sf_dir)
+    return transactions.txn_volume(transactions.txn_days(lines))
+
+
+@register
+def lineitem_net_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = feeds.lineitem_transactions(spark, sf_dir)
+    return transactions.aum_by_fund(transactions.txn_days(lines))
