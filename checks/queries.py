@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import feeds
-from fundflow.functions import required
 from fundflow.operators import prices, quality, ranking, summary, transactions
 from fundflow.operators.dedup import first_per_key
 from fundflow.plans import silver
@@ -116,12 +115,12 @@ def silver_txn_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def silver_nav_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _published(_typed(spark, sf_dir, NAV).filter(required(NAV.required)), NAV)
+    return _published(silver.complete_rows(_bronze(spark, sf_dir, NAV), NAV), NAV)
 
 
 @register
 def silver_txn_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _published(_typed(spark, sf_dir, TXN).filter(required(TXN.required)), TXN)
+    return _published(silver.complete_rows(_bronze(spark, sf_dir, TXN), TXN), TXN)
 
 
 @register
@@ -227,7 +226,9 @@ def gold_fund_daily_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def gold_top_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.top_funds(prices.fund_days(_nav(spark, sf_dir)))
+    # One row per fund, kept because the ranking reads it twice.
+    funds = ranking.fund_totals(prices.fund_days(_nav(spark, sf_dir))).persist()
+    return ranking.rank_descending(funds, by="avg_daily_return_pct")
 
 
 @register

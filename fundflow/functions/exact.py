@@ -16,43 +16,41 @@ aggregate and is about as fast as ``sum(double)``:
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_STEPS = 10_000.0
-_STEP = Decimal("0.0001")
-_LOW_BITS = 20
-_GRID_LIMIT = float(2**40)
-_WIDE = "decimal(28,10)"
-_TOTAL = "decimal(37,10)"
+_GRID_LIMIT = 2**40
+_LOW = 2**20
+_WIDE = "DECIMAL(28,10)"
+_TOTAL = "DECIMAL(37,10)"
 
 
-def exact_total(value: Column) -> Column:
+def exact_total(column: str) -> Column:
     """Exact sum as ``decimal(38,10)``; NULL if no value, or if one does not fit."""
-    steps = F.rint(value * _STEPS)
-    on_grid = (steps / _STEPS == value) & (F.abs(steps) < _GRID_LIMIT)
-    whole = F.when(on_grid, steps.cast("bigint"))
-    other = F.when(~on_grid, value.try_cast(_WIDE))
+    x = f"`{column}`"
+    steps = f"rint({x} * 10000D)"
+    on_grid = f"({steps} / 10000D = {x} AND abs({steps}) < {_GRID_LIMIT}D)"
+    whole = f"CASE WHEN {on_grid} THEN CAST({steps} AS BIGINT) END"
+    other = f"CASE WHEN NOT {on_grid} THEN try_cast({x} AS {_WIDE}) END"
 
-    high = F.sum(F.shiftright(whole, _LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(whole.bitwiseAND(F.lit(2**_LOW_BITS - 1))).cast("decimal(20,0)")
-    grid_total = ((high * F.lit(2**_LOW_BITS) + low) * F.lit(_STEP)).cast(_TOTAL)
-    other_total = F.try_sum(other).try_cast(_TOTAL)
+    high = f"CAST(sum(shiftright({whole}, 20)) AS DECIMAL(20,0))"
+    low = f"CAST(sum(({whole}) & {_LOW - 1}) AS DECIMAL(20,0))"
+    on_total = f"CAST(({high} * {_LOW} + {low}) * 0.0001BD AS {_TOTAL})"
+    off_total = f"try_cast(try_sum({other}) AS {_TOTAL})"
 
-    n, n_grid, n_other = F.count(value), F.count(whole), F.count(other)
-    zero = F.lit(0).cast(_TOTAL)
     # A decimal sum that overflowed is NULL although it has rows.
-    whole_result = (n_grid + n_other == n) & ((n_other == 0) | other_total.isNotNull())
-    return F.when(
-        whole_result & (n > 0), F.coalesce(grid_total, zero) + F.coalesce(other_total, zero)
+    covered = f"count({whole}) + count({other}) = count({x})"
+    summed = f"(count({other}) = 0 OR {off_total} IS NOT NULL)"
+    zero = f"CAST(0 AS {_TOTAL})"
+    return F.expr(
+        f"CASE WHEN count({x}) > 0 AND {covered} AND {summed}"
+        f" THEN coalesce({on_total}, {zero}) + coalesce({off_total}, {zero}) END"
     )
 
 
-def rough_total(value: Column) -> Column:
+def rough_total(column: str) -> Column:
     """The plain double sum, kept beside an exact total for ``settle``."""
-    return F.sum(value.cast("double"))
+    return F.sum(column)
 
 
 def settle(exact: Column, rough: Column, places: int) -> Column:
@@ -60,9 +58,9 @@ def settle(exact: Column, rough: Column, places: int) -> Column:
     return F.coalesce(F.round(exact, places).cast("double"), F.round(rough, places))
 
 
-def exact_mean(value: Column, places: int) -> Column:
+def exact_mean(column: str, places: int) -> Column:
     """Mean of the non-NULL values, rounded half-up; NULL if there are none."""
-    n = F.count(value)
+    n = F.count(column)
     return settle(
-        F.try_divide(exact_total(value), n), F.try_divide(rough_total(value), n), places
+        F.try_divide(exact_total(column), n), F.try_divide(rough_total(column), n), places
     )

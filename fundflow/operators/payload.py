@@ -13,9 +13,17 @@ from fundflow.schemas import NAV, TXN, Feed
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "allowNonNumericNumbers": "false"}
 
 
-def parse_payload(bronze: DataFrame, schema: T.StructType) -> DataFrame:
-    """Add the struct column ``parsed``, read from the message text."""
-    return bronze.withColumn("parsed", F.from_json("json_payload", schema, _JSON_OPTIONS))
+def parse_payload(
+    bronze: DataFrame, schema: T.StructType, filtered: bool = False
+) -> DataFrame:
+    """Add the struct column ``parsed``, read from the message text.
+
+    Set ``filtered`` if the fields are filtered next. Spark pushes such a filter
+    below the parse and then reads each message once per condition; it does not
+    push it below a generator, so the message is read once.
+    """
+    parsed = F.from_json("json_payload", schema, _JSON_OPTIONS)
+    return bronze.withColumn("parsed", F.explode(F.array(parsed)) if filtered else parsed)
 
 
 def flatten(parsed: DataFrame, feed: Feed) -> DataFrame:

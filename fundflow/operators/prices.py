@@ -24,7 +24,7 @@ def fund_days(nav: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
         F.max_by(price, at).alias("last_nav"),
         F.min(price).alias("min_nav"),
         F.max(price).alias("max_nav"),
-        exact_mean(price, 4).alias("avg_nav"),
+        exact_mean("nav", 4).alias("avg_nav"),
         F.stddev_samp(price).alias("deviation"),
         F.count("*").alias("nav_updates"),
     )

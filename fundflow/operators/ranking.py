@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundflow.functions import exact_mean
 
-_BANDS_PER_OCTAVE = 64
 
-
-def value_band(value: Column) -> Column:
-    """A number that never falls as ``value`` rises, from a bounded set.
+def value_band(column: str) -> str:
+    """SQL for a number that never falls as ``column`` rises, from a bounded set.
 
     Bands are steps of about one percent in size, on either side of zero. Over
-    all doubles there are fewer than 140,000 of them, whatever the data.
+    all doubles there are fewer than 140,000 of them, whatever the data. A
+    missing value has no band; NaN, which sorts above all numbers, the highest.
     """
-    size = F.least(F.abs(value), F.lit(1e300))
-    step = F.floor(F.log2(size * 1e4 + 1) * _BANDS_PER_OCTAVE)
-    return F.when(value < 0, -step).otherwise(step)
+    step = f"floor(log2(least(abs({column}), 1e300D) * 10000D + 1D) * 64D)"
+    return f"CASE WHEN {column} < 0 THEN -{step} WHEN {column} >= 0 THEN {step} END"
 
 
 def rank_descending(rows: DataFrame, by: str, out: str = "rank") -> DataFrame:
@@ -27,53 +25,52 @@ def rank_descending(rows: DataFrame, by: str, out: str = "rank") -> DataFrame:
     A window without a partition would move all rows into one task. The rank of
     a value is one more than the number of rows above it, so it is counted from
     the distinct values: rows above in its own band, by a window per band, plus
-    rows in higher bands, by a running total over the bounded list of bands.
-    Ties collapse before the first shuffle. ``rows`` is read twice; pass a
-    persisted or written frame if it is costly.
+    rows in higher bands, by a running total over the bounded list of bands,
+    which is therefore safe to broadcast (a few MB at most). Ties collapse
+    before the first shuffle. ``rows`` is read twice; pass a persisted or
+    written frame if it is costly.
     """
-    value, band = F.col("_value"), F.col("_band")
-    values = (
-        rows.groupBy(F.col(by).alias("_value"))
-        .agg(F.count("*").alias("_rows"))
-        .withColumn("_band", value_band(value))
-    )
-    before = (Window.unboundedPreceding, -1)
-    downwards = Window.orderBy(F.desc_nulls_last("_of_band")).rowsBetween(*before)
-    bands = (
-        values.groupBy(band.alias("_of_band"))
-        .agg(F.sum("_rows").alias("_band_rows"))
-        .select("_of_band", F.sum("_band_rows").over(downwards).alias("_higher_bands"))
-    )
-    within = Window.partitionBy("_band").orderBy(F.desc_nulls_last("_value"))
-    higher_values = F.sum("_rows").over(within.rowsBetween(*before))
-    nothing = F.lit(0).cast("bigint")
-    # The band list is bounded (see value_band), a few MB at most.
-    ranks = (
-        values.select("_value", "_band", higher_values.alias("_higher_values"))
-        .join(F.broadcast(bands), band.eqNullSafe(F.col("_of_band")))
-        .select(
-            "_value",
-            (
-                F.coalesce("_higher_values", nothing) + F.coalesce("_higher_bands", nothing) + 1
-            )
-            .cast("int")
-            .alias(out),
+    above = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    ranks = rows.sparkSession.sql(
+        f"""
+        WITH spread AS (
+          SELECT `{by}` AS _value, count(*) AS n, {value_band(f"`{by}`")} AS band
+          FROM {{rows}} GROUP BY `{by}`
+        ),
+        bands AS (
+          SELECT band AS of_band,
+                 sum(sum(n)) OVER (ORDER BY band DESC NULLS LAST {above}) AS n_higher
+          FROM spread GROUP BY band
+        ),
+        within AS (
+          SELECT _value, band,
+                 sum(n) OVER (PARTITION BY band ORDER BY _value DESC NULLS LAST {above}) AS n_above
+          FROM spread
         )
+        SELECT /*+ BROADCAST(bands) */ _value,
+               CAST(1 + coalesce(n_higher, 0) + coalesce(n_above, 0) AS INT) AS `{out}`
+        FROM within JOIN bands ON band <=> of_band
+        """,
+        rows=rows,
+    )
+    return rows.join(ranks, F.col(by).eqNullSafe(F.col("_value"))).drop("_value")
+
+
+def fund_totals(days: DataFrame) -> DataFrame:
+    """Every fund with its means over days, from ``fund_days``."""
+    return days.groupBy("scheme_code", "scheme_name").agg(
+        exact_mean("daily_return_pct", 4).alias("avg_daily_return_pct"),
+        F.max("daily_return_pct").alias("best_daily_return_pct"),
+        exact_mean("avg_nav", 4).alias("avg_nav"),
+        exact_mean("nav_volatility", 4).alias("avg_volatility"),
+        F.count("*").alias("trading_days"),
     )
-    return rows.join(ranks, F.col(by).eqNullSafe(value)).drop("_value")
 
 
 def top_funds(days: DataFrame) -> DataFrame:
-    """Every fund with its means over days and its rank, from ``fund_days``.
+    """Fund totals with their rank, from ``fund_days``.
 
     Ranked by average daily return alone; ties share a rank and leave a gap.
     ``days`` is read twice (see ``rank_descending``).
     """
-    funds = days.groupBy("scheme_code", "scheme_name").agg(
-        exact_mean(F.col("daily_return_pct"), 4).alias("avg_daily_return_pct"),
-        F.max("daily_return_pct").alias("best_daily_return_pct"),
-        exact_mean(F.col("avg_nav"), 4).alias("avg_nav"),
-        exact_mean(F.col("nav_volatility"), 4).alias("avg_volatility"),
-        F.count("*").alias("trading_days"),
-    )
-    return rank_descending(funds, by="avg_daily_return_pct")
+    return rank_descending(fund_totals(days), by="avg_daily_return_pct")

@@ -25,10 +25,9 @@ def nav_by_date(nav: DataFrame) -> DataFrame:
 
 def txn_by_date_type(txn: DataFrame) -> DataFrame:
     """Number and total amount of transactions per day and type."""
-    amount = F.col("amount")
     return txn.groupBy("ingestion_date", "transaction_type").agg(
         F.count("*").alias("count"),
-        settle(exact_total(amount), rough_total(amount), 2).alias("total_amount"),
+        settle(exact_total("amount"), rough_total("amount"), 2).alias("total_amount"),
     )
 
 

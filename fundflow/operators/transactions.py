@@ -18,12 +18,11 @@ def txn_days(txn: DataFrame) -> DataFrame:
     Both transaction tables are computed from this frame; ``total`` is exact and
     unrounded, or NULL where ``rough_total`` has to stand in.
     """
-    amount = F.col("amount")
     return txn.groupBy("ingestion_date", "transaction_type", "scheme_code").agg(
         F.count("*").alias("txn_count"),
         F.count("amount").alias("amounts"),
-        exact_total(amount).alias("total"),
-        rough_total(amount).alias("rough_total"),
+        exact_total("amount").alias("total"),
+        rough_total("amount").alias("rough_total"),
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
     )

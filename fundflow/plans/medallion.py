@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from fundflow.operators.quality import verify_gold
 from fundflow.plans.gold import shared_gold_tables
@@ -13,9 +19,11 @@ from fundflow.schemas import NAV, TXN, Feed
 from fundflow.sources.kafka import kafka_stream
 from fundflow.sources.lake import read_bronze, read_silver, silver_path
 from fundflow.sources.warehouse import Warehouse
-from fundflow.streaming.landing import Mode, await_feeds, ingest_feed
+from fundflow.streaming.landing import Mode, await_feeds, ingest_feed, stop_feeds
 
 FEEDS = (NAV, TXN)
+Item = TypeVar("Item")
+Result = TypeVar("Result")
 
 
 @dataclass(frozen=True)
@@ -26,6 +34,7 @@ class LakeConfig:
     warehouse: Warehouse
     servers: str = ""
     min_funds: int = 0
+    silver_root: str | None = None
 
     def bronze(self, feed: Feed) -> str:
         return f"{self.root}/bronze/{feed.folder}"
@@ -35,7 +44,7 @@ class LakeConfig:
 
     @property
     def silver(self) -> str:
-        return f"{self.root}/silver"
+        return self.silver_root or f"{self.root}/silver"
 
 
 @dataclass(frozen=True)
@@ -46,6 +55,20 @@ class RunReport:
     total_funds: int
 
 
+def _side_by_side(
+    spark: SparkSession, job: Callable[[Item], Result], items: Sequence[Item]
+) -> list[Result]:
+    """Run independent Spark jobs at once, so that one fills the tail of another.
+
+    All are awaited; the first error, if any, is then raised.
+    """
+    # Each thread takes over the caller's job group, tags and other properties.
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+        running = [pool.submit(inherit(partial(job, item))) for item in items]
+    return [one.result() for one in running]
+
+
 def topic_streams(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
     """One stream per feed, from the message broker."""
     return {feed.name: kafka_stream(spark, feed.topic, cfg.servers) for feed in FEEDS}
@@ -54,30 +77,36 @@ def topic_streams(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
 def run_bronze(
     spark: SparkSession, cfg: LakeConfig, streams: dict[str, DataFrame], mode: Mode = "drain"
 ) -> None:
-    """Land all feeds side by side."""
-    queries = [
-        ingest_feed(streams[feed.name], cfg.bronze(feed), cfg.checkpoint(feed), mode)
-        for feed in FEEDS
-    ]
-    await_feeds(spark, queries, mode)
+    """Land all feeds side by side. If one cannot start or fails, none is left running."""
+    queries: list[StreamingQuery] = []
+    try:
+        for feed in FEEDS:
+            query = ingest_feed(
+                streams[feed.name], cfg.bronze(feed), cfg.checkpoint(feed), mode
+            )
+            queries.append(query)
+        await_feeds(spark, queries, mode)
+    finally:
+        stop_feeds(queries)
 
 
 def run_silver(spark: SparkSession, cfg: LakeConfig) -> dict[str, dict[str, int]]:
     """Rewrite both silver tables, one pass per feed."""
-    return {
-        feed.name: build_silver(
-            read_bronze(spark, cfg.bronze(feed)), feed, silver_path(cfg.silver, feed.folder)
-        )
-        for feed in FEEDS
-    }
+
+    def build(feed: Feed) -> tuple[str, dict[str, int]]:
+        bronze = read_bronze(spark, cfg.bronze(feed))
+        return feed.name, build_silver(bronze, feed, silver_path(cfg.silver, feed.folder))
+
+    return dict(_side_by_side(spark, build, FEEDS))
 
 
 def run_gold(spark: SparkSession, cfg: LakeConfig) -> int:
     """Replace the gold tables, then check the ranking as it can be read back."""
     nav, txn = read_silver(spark, cfg.silver)
     with shared_gold_tables(nav, txn) as tables:
-        for name, table in tables.items():
-            cfg.warehouse.replace(name, table)
+        _side_by_side(
+            spark, lambda name: cfg.warehouse.replace(name, tables[name]), list(tables)
+        )
     loaded = cfg.warehouse.read(spark, "gold_top_funds")
     return verify_gold(loaded, cfg.min_funds).first()["total_funds"]
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 
+from fundflow.functions import required
 from fundflow.operators.payload import flatten, parse_payload
-from fundflow.operators.quality import judge, quality_report, rule_counts
+from fundflow.operators.quality import MESSAGE_ORDER, judge, quality_report, rule_counts
 from fundflow.schemas import NAV, TXN, Feed
 from fundflow.sources.lake import by_day, write_partitioned
 
@@ -15,6 +16,12 @@ def typed_rows(bronze: DataFrame, feed: Feed) -> DataFrame:
     return flatten(parse_payload(bronze, feed.payload), feed)
 
 
+def complete_rows(bronze: DataFrame, feed: Feed) -> DataFrame:
+    """Typed rows with every required field."""
+    parsed = parse_payload(bronze, feed.payload, filtered=True)
+    return flatten(parsed, feed).filter(required(feed.required))
+
+
 def judged_rows(bronze: DataFrame, feed: Feed) -> DataFrame:
     return judge(typed_rows(bronze, feed), feed)
 
@@ -38,12 +45,20 @@ def silver_txn(bronze: DataFrame) -> DataFrame:
     return _kept(judged_rows(bronze, TXN), TXN)
 
 
+def _quality(bronze: DataFrame, feed: Feed) -> DataFrame:
+    # Only what decides a rule is parsed and shuffled.
+    typed = typed_rows(bronze, feed).select(*feed.judged_columns, *MESSAGE_ORDER)
+    return quality_report(judge(typed, feed), feed)
+
+
 def nav_quality(bronze: DataFrame) -> DataFrame:
-    return quality_report(judged_rows(bronze, NAV), NAV)
+    """Price messages by the first rule they fail: ``(feed, rule, rows)``."""
+    return _quality(bronze, NAV)
 
 
 def txn_quality(bronze: DataFrame) -> DataFrame:
-    return quality_report(judged_rows(bronze, TXN), TXN)
+    """Transaction messages by the first rule they fail: ``(feed, rule, rows)``."""
+    return _quality(bronze, TXN)
 
 
 def build_silver(bronze: DataFrame, feed: Feed, path: str) -> dict[str, int]:

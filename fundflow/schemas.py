@@ -142,6 +142,12 @@ class Feed:
         """Published columns, without the audit time added at the sink."""
         return [name for name in self.silver.names if name != "processed_at"]
 
+    @property
+    def judged_columns(self) -> list[str]:
+        """Columns that decide which rule a row meets."""
+        domain = [self.domain_column] if self.domain_column else []
+        return list(dict.fromkeys([*self.key, *self.required, self.measure, *domain]))
+
     @property
     def rules(self) -> list[str]:
         """Quality rules in the order they are applied to a row."""

@@ -42,18 +42,14 @@ def ingest_feed(stream: DataFrame, path: str, checkpoint: str, mode: Mode) -> St
 def await_feeds(spark: SparkSession, queries: Sequence[StreamingQuery], mode: Mode) -> None:
     """Wait for several feeds running side by side.
 
-    A continuous run ends with the first query that ends. A drain must wait for
-    every one; if one fails the others are stopped and its error is raised.
+    A continuous run ends with the first query that ends. A drain waits for every
+    one. The error of a failed query is raised; the caller stops the others.
     """
     if mode == "continuous":
         spark.streams.awaitAnyTermination()
-        return
-    try:
+    else:
         for query in queries:
             query.awaitTermination()
-    except Exception:
-        stop_feeds(queries)
-        raise
 
 
 def stop_feeds(queries: Sequence[StreamingQuery]) -> list[Exception]:
