@@ -22,13 +22,18 @@ def first_per_key(
     are told apart by their other columns; the result never depends on row
     order. With ``tally``, the number of rows of the key is returned in a column
     of that name.
+
+    Spark sorts rows on their grouping columns for this, by the first one as far
+    as it decides. Led by a hash of the key that is a sort of longs, whatever the
+    key looks like; ids with a common beginning would be compared in full.
     """
     values = [c for c in rows.columns if c not in key and c not in order]
     lowest = F.min(F.struct(*order, *values)).alias("_lowest")
     counts: list[Column] = [F.count("*").alias(tally)] if tally else []
+    hashed = F.xxhash64(*key).alias("_hash")
     columns = [
         F.col(c) if c in key else F.col(f"_lowest.{c}").alias(c) for c in rows.columns
     ]
     if tally:
         columns.append(F.col(tally))
-    return rows.groupBy(*key).agg(lowest, *counts).select(*columns)
+    return rows.groupBy(hashed, *key).agg(lowest, *counts).select(*columns)

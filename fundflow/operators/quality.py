@@ -24,18 +24,15 @@ def judge(typed: DataFrame, feed: Feed) -> DataFrame:
     counting costs no pass of its own.
     """
     complete = required(feed.required)
-    keyed = typed.withColumn("_complete", complete)
-    for name in feed.key:
-        keyed = keyed.withColumn(name, F.when(F.col("_complete"), F.col(name)))
-    distinct = first_per_key(
-        keyed, ["_complete", *feed.key], MESSAGE_ORDER, tally="messages"
-    )
-    verdict = F.when(~F.col("_complete"), "required").when(
+    # Key columns are required, so a missing key marks the incomplete messages.
+    keyed = typed.withColumns({name: F.when(complete, F.col(name)) for name in feed.key})
+    distinct = first_per_key(keyed, feed.key, MESSAGE_ORDER, tally="messages")
+    verdict = F.when(F.col(feed.key[0]).isNull(), "required").when(
         ~positive(feed.measure), "not_positive"
     )
     if feed.domain_column:
         verdict = verdict.when(~domain(feed.domain_column, feed.domain), "bad_domain")
-    return distinct.withColumn("rule", verdict.otherwise("kept")).drop("_complete")
+    return distinct.withColumn("rule", verdict.otherwise("kept"))
 
 
 def rule_counts(feed: Feed) -> list[Column]:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 from typing import TypeVar
 
@@ -28,11 +28,15 @@ Result = TypeVar("Result")
 
 @dataclass(frozen=True)
 class LakeConfig:
-    """Where the layers live. ``root`` is any URI the cluster can write."""
+    """Where the layers live. ``root`` is any URI the cluster can write.
+
+    ``topic_options`` goes to the topic readers (see ``kafka_options``).
+    """
 
     root: str
     warehouse: Warehouse
     servers: str = ""
+    topic_options: Mapping[str, str] = field(default_factory=dict)
     min_funds: int = 0
     silver_root: str | None = None
 
@@ -71,7 +75,10 @@ def _side_by_side(
 
 def topic_streams(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
     """One stream per feed, from the message broker."""
-    return {feed.name: kafka_stream(spark, feed.topic, cfg.servers) for feed in FEEDS}
+    return {
+        feed.name: kafka_stream(spark, feed.topic, cfg.servers, extra=cfg.topic_options)
+        for feed in FEEDS
+    }
 
 
 def run_bronze(
