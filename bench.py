@@ -68,7 +68,7 @@ def drop(frame: DataFrame) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = session(cpus)
     spark.sparkContext.setLogLevel("ERROR")
 
@@ -89,7 +89,7 @@ def main() -> None:
     def land(cfg: medallion.LakeConfig) -> None:
         events = feeds.table_stream(spark, sf_dir, "events")
         streams = {"nav": feeds.nav_records(events), "txn": feeds.txn_records(events)}
-        medallion.run_bronze(spark, cfg, streams)
+        medallion.run_bronze(cfg, streams)
 
     lake = config()
     land(lake)

@@ -75,7 +75,12 @@ def _ravg(x: str, places: int) -> str:
 
 
 def _r(x: str, places: int) -> str:
-    return f"round(({x})::decimal(28,10), {places})::double"
+    """Round a double half-up by its shortest decimal text, as Spark's round does.
+
+    A cast to decimal(28,10) would round twice: 225.78124999999997, the return
+    from 1.28 to 4.17, would become 225.7813.
+    """
+    return f"round(({x})::varchar::decimal(38,18), {places})::double"
 
 
 _RETURN = (

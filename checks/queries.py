@@ -73,7 +73,7 @@ def _drain(spark: SparkSession, sf_dir: str, root: str, *names: str) -> None:
         ingest_feed(records[name](events), f"{root}/{name}", f"{root}/state/{name}", "drain")
         for name in names
     ]
-    await_feeds(spark, queries, "drain")
+    await_feeds(queries, "drain")
 
 
 @register

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.functions import exact_total, inflow, outflow, rough_total, settle
+from fundflow.functions import (
+    exact_total,
+    inflow,
+    outflow,
+    rough_total,
+    settle,
+    signed_amount,
+)
 
 # decimal(37,10): two of these can be added or subtracted without losing places.
 _FLOW = "decimal(37,10)"
@@ -37,7 +44,7 @@ def aum_by_fund(days: DataFrame) -> DataFrame:
     kind = F.col("transaction_type")
 
     def exact(flow):
-        return F.sum(flow(kind, F.col("total"))).cast(_FLOW)
+        return F.try_sum(flow(kind, F.col("total"))).try_cast(_FLOW)
 
     def rough(flow):
         return F.sum(flow(kind, F.col("rough_total")))
@@ -48,16 +55,16 @@ def aum_by_fund(days: DataFrame) -> DataFrame:
         F.when(all_exact, exact(outflow)).alias("sold"),
         rough(inflow).alias("rough_bought"),
         rough(outflow).alias("rough_sold"),
+        rough(signed_amount).alias("rough_net"),
         F.sum("txn_count").alias("total_transactions"),
     )
     bought, sold = F.col("bought"), F.col("sold")
-    rough_bought, rough_sold = F.col("rough_bought"), F.col("rough_sold")
     return flows.select(
         "scheme_code",
         "ingestion_date",
-        settle(bought - sold, rough_bought - rough_sold, 2).alias("net_aum"),
-        settle(bought, rough_bought, 2).alias("total_buy_amount"),
-        settle(sold, rough_sold, 2).alias("total_sell_amount"),
+        settle(bought - sold, F.col("rough_net"), 2).alias("net_aum"),
+        settle(bought, F.col("rough_bought"), 2).alias("total_buy_amount"),
+        settle(sold, F.col("rough_sold"), 2).alias("total_sell_amount"),
         "total_transactions",
     )
 

@@ -81,9 +81,7 @@ def topic_streams(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
     }
 
 
-def run_bronze(
-    spark: SparkSession, cfg: LakeConfig, streams: dict[str, DataFrame], mode: Mode = "drain"
-) -> None:
+def run_bronze(cfg: LakeConfig, streams: dict[str, DataFrame], mode: Mode = "drain") -> None:
     """Land all feeds side by side. If one cannot start or fails, none is left running."""
     queries: list[StreamingQuery] = []
     try:
@@ -92,7 +90,7 @@ def run_bronze(
                 streams[feed.name], cfg.bronze(feed), cfg.checkpoint(feed), mode
             )
             queries.append(query)
-        await_feeds(spark, queries, mode)
+        await_feeds(queries, mode)
     finally:
         stop_feeds(queries)
 
@@ -122,6 +120,6 @@ def run_all(
     spark: SparkSession, cfg: LakeConfig, streams: dict[str, DataFrame] | None = None
 ) -> RunReport:
     """Drain the feeds, rebuild silver and gold, verify; the first failure ends it."""
-    run_bronze(spark, cfg, streams or topic_streams(spark, cfg))
+    run_bronze(cfg, streams or topic_streams(spark, cfg))
     quality = run_silver(spark, cfg)
     return RunReport(quality=quality, total_funds=run_gold(spark, cfg))

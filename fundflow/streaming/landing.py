@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from fundflow.operators.envelope import to_envelope
@@ -16,6 +16,8 @@ Mode = Literal["continuous", "drain"]
 # Fixed value: how often a continuous query writes files.
 INTERVAL = "30 seconds"
 
+POLL_SECONDS = 5
+
 
 def land_bronze(df: DataFrame, path: str, checkpoint: str, mode: Mode) -> StreamingQuery:
     """Append a stream of bronze rows to a table partitioned by day.
@@ -39,17 +41,21 @@ def ingest_feed(stream: DataFrame, path: str, checkpoint: str, mode: Mode) -> St
     return land_bronze(to_envelope(stream), path, checkpoint, mode)
 
 
-def await_feeds(spark: SparkSession, queries: Sequence[StreamingQuery], mode: Mode) -> None:
+def await_feeds(queries: Sequence[StreamingQuery], mode: Mode) -> None:
     """Wait for several feeds running side by side.
 
-    A continuous run ends with the first query that ends. A drain waits for every
-    one. The error of a failed query is raised; the caller stops the others.
+    A continuous run ends with the first of these queries that ends; other
+    queries of the session do not matter. A drain waits for every one. The error
+    of a failed query is raised; the caller stops the others.
     """
     if mode == "continuous":
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in queries):
+            queries[0].awaitTermination(POLL_SECONDS)
+        ended = [query for query in queries if not query.isActive]
     else:
-        for query in queries:
-            query.awaitTermination()
+        ended = list(queries)
+    for query in ended:
+        query.awaitTermination()
 
 
 def stop_feeds(queries: Sequence[StreamingQuery]) -> list[Exception]:

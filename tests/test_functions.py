@@ -114,6 +114,12 @@ def test_daily_return(spark):
     assert got == [1.5, -33.3333, None, None]
 
 
+def test_daily_return_is_rounded_once(spark):
+    """In doubles this return is 225.78124999999997."""
+    frame = spark.createDataFrame([(1.28, 4.17)], "o double, c double")
+    assert frame.select(daily_return(F.col("o"), F.col("c"))).first()[0] == 225.7812
+
+
 def test_rules_are_never_null(spark):
     values = [1.0, 0.0, -1.0, None, float("nan"), float("inf")]
     got = doubles(spark, values).select(positive("x")).collect()

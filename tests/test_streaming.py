@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import threading
+import time
 from datetime import datetime
 from pathlib import Path
 
@@ -12,6 +14,7 @@ from fundflow.sources.kafka import kafka_options
 from fundflow.sources.lake import read_bronze
 from fundflow.sources.warehouse import ParquetWarehouse
 from fundflow.sources.workspace import new_folder
+from fundflow.streaming import landing
 from fundflow.streaming.landing import await_feeds, ingest_feed, stop_feeds
 from tests.frames import bronze, price, rows, transaction
 
@@ -28,7 +31,7 @@ def source(spark, folder):
 
 def drain(spark, folder, root):
     query = ingest_feed(source(spark, folder), f"{root}/bronze", f"{root}/state", "drain")
-    await_feeds(spark, [query], "drain")
+    await_feeds([query], "drain")
 
 
 def test_restart_lands_only_what_is_new(spark):
@@ -69,6 +72,24 @@ def test_continuous_runs_until_stopped(spark):
     assert read_bronze(spark, f"{root}/bronze").count() == 1
 
 
+def test_continuous_ends_with_the_first_of_its_own_queries(spark, monkeypatch):
+    monkeypatch.setattr(landing, "POLL_SECONDS", 1)
+    folder, root = new_folder(spark, "topic"), new_folder(spark, "land")
+    send(spark, folder, [price()])
+    drain(spark, folder, f"{root}/earlier")  # an ended query of the session does not count
+    queries = [
+        ingest_feed(source(spark, folder), f"{root}/{n}", f"{root}/state{n}", "continuous")
+        for n in range(2)
+    ]
+    stopper = threading.Timer(3, queries[1].stop)
+    stopper.start()
+    began = time.monotonic()
+    await_feeds(queries, "continuous")
+    assert time.monotonic() - began > 1 and queries[0].isActive
+    stop_feeds(queries)
+    stopper.join()
+
+
 def test_stopping_goes_on_past_errors():
     class Query:
         def __init__(self, error=None):
