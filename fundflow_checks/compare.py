@@ -1,6 +1,6 @@
 """Run registered queries beside their SQL and report differences.
 
-``python -m checks.compare SF_DIR [NAME ...]``
+``python -m fundflow_checks.compare SF_DIR [NAME ...]``
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
-from checks.oracle import oracle_sql
-from checks.queries import REGISTRY
+from fundflow_checks.oracle import oracle_sql
+from fundflow_checks.queries import REGISTRY
 
 # Spark type name to the SQL types it may meet.
 _TYPES = {

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import feeds
+from fundflow_checks import feeds
 from fundflow.operators import prices, quality, ranking, summary, transactions
 from fundflow.operators.dedup import first_per_key
 from fundflow.plans import silver

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from checks import feeds
+from fundflow_checks import feeds
 from fundflow.operators.prices import fund_daily_returns, fund_days, nav_performance, open_close
 from fundflow.operators.quality import verify_gold
 from fundflow.operators.ranking import rank_descending, top_funds

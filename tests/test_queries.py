@@ -6,9 +6,9 @@ from pathlib import Path
 
 import pytest
 
-from checks import compare
-from checks.oracle import oracle_sql
-from checks.queries import REGISTRY
+from fundflow_checks import compare
+from fundflow_checks.oracle import oracle_sql
+from fundflow_checks.queries import REGISTRY
 from tests.frames import plan_text
 
 SMALL = "/root/testdata/sf0.001"

@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from checks import feeds, stepwise
+from fundflow_checks import feeds, stepwise
 from fundflow.plans import silver
 from fundflow.operators.envelope import to_envelope
 from fundflow.operators.payload import flatten_nav, flatten_txn, parse_payload
