@@ -85,7 +85,9 @@ def write_silver(df: DataFrame, path: str, dynamic: bool = False) -> None:
     """Replace a silver table.
 
     ``df`` must not be read from ``path``: Spark deletes the old files first, so
-    rows on a lost executor could not be read again. ``dynamic`` replaces only the days present in ``df``. Transactions are
+    rows on a lost executor could not be read again.
+
+    ``dynamic`` replaces only the days present in ``df``. Transactions are
     distinct over all days, so that is only safe for prices.
     """
     write_partitioned(by_day(df), path, dynamic)
