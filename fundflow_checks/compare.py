@@ -22,6 +22,7 @@ _TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
     "string": "VARCHAR",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
