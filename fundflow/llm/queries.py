@@ -5,9 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fundflow.llm import bpe
 from fundflow.llm.common import table
 from fundflow.llm.exact_dedup import DigestIndex
 from fundflow.sources.workspace import new_folder
@@ -34,3 +36,14 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumnRenamed("id", "doc_id").withColumn(
         "group_size", F.col("group_size").cast("long")
     )
+
+
+def word_tokenizer() -> bpe.Tokenizer:
+    return bpe.load(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded; digests of both."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip_digests(docs, word_tokenizer()).drop("text")
