@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundflow.llm import bpe
-from fundflow.llm.common import table
+from fundflow.llm import bpe, near_dedup, toxicity
+from fundflow.llm.common import id_fold, table
 from fundflow.llm.exact_dedup import DigestIndex
 from fundflow.sources.workspace import new_folder
 
@@ -47,3 +47,31 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded; digests of both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip_digests(docs, word_tokenizer()).drop("text")
+
+
+TOXIC_AT = 0.3
+
+
+def toxicity_lexicon(docs: DataFrame, labels: DataFrame) -> toxicity.Lexicon:
+    """Learned from labels outside the held-out fold."""
+    return toxicity.fit(docs, labels, learn=id_fold("doc_id", 4) != 2)
+
+
+@register
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = toxicity_lexicon(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_column(docs, lexicon).select(
+        "doc_id",
+        F.coalesce(id_fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"),
+    )
+
+
+@register
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies."""
+    found = near_dedup.classes(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
