@@ -1,13 +1,4 @@
 """Operators for training-data pipelines.
 
 Nothing else in the library imports this package; it may be deleted whole.
-
-Functions of this package go to the executors by value, so that it need not be
-installed there.
 """
-
-import sys
-
-from pyspark import cloudpickle
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -23,13 +23,14 @@ emits the labels of the arcs.
 Defined results: a NULL or empty text has no tokens; the strings of special
 tokens in a text become those tokens; repeated rows each get their result;
 extra columns are carried. Texts of any length are encoded whole, in memory
-proportional to one text; the word table is emptied when full.
+proportional to one text; the word table is bounded.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -40,18 +41,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from fundflow.llm.common import free_name
+from fundflow.llm.common import free_name, map_batches
 
 _NEVER = 1 << 60
 _WORD_END = "</w>"
 # The pattern of the tokenizer file, with white space spelled out.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^{space}{L}{N}]+"
+# The same for lower-case ASCII.
+_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 _SPLIT = regex.compile(rf"[{_SPACE}]+")
 # Blank for str.split but not for the tokenizer.
 _CONTROLS = regex.compile("[\x1c-\x1f]")
 #: Words kept in the table of one worker, and the longest of them.
-WORD_TABLE = 300_000
+WORD_TABLE = 250_000
 WORD_LENGTH = 48
 
 
@@ -178,16 +181,28 @@ class Tokenizer:
                     self.final[label.removesuffix(_WORD_END)] = token
                 else:
                     self.inner[label] = token
-        self.longest = max(map(len, [*self.inner, *self.final]), default=1)
         self.decimals = [str(n) for n in range(len(self.labels))]
         self._letters = byte_letters()
         classes = {"L": class_ranges("L"), "N": class_ranges("N"), "space": _SPACE}
         self._pieces = regex.compile(_PIECES.format(**classes))
         self._cut = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self._words: dict[str, tuple[int, ...]] = {}
+        self._old: dict[str, tuple[int, ...]] = {}
+        self._root: dict | None = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_words": {}}
+        return self.__dict__ | {"_words": {}, "_old": {}, "_root": None}
+
+    def _tree(self) -> dict:
+        """The labels letter by letter; at "" the token that ends here, at _WORD_END a word's last."""
+        root: dict = {}
+        for tokens, mark in ((self.inner, ""), (self.final, _WORD_END)):
+            for label, token in tokens.items():
+                node = root
+                for letter in label:
+                    node = node.setdefault(letter, {})
+                node[mark] = token
+        return root
 
     def word(self, letters: str) -> list[int]:
         """Tokens of one word, given in byte letters.
@@ -196,40 +211,77 @@ class Tokenizer:
         from which no arc leads on is left for good: a word costs a bounded
         number of look-ups per letter.
         """
-        n, follows = len(letters), self.automaton.follows
+        if self._root is None:
+            self._root = self._tree()
+        root, table, n = self._root, self.automaton.table, len(letters)
         out: list[int] = []
         ends = [0]
         left: set[int] = set()
-        while (at := ends[-1]) < n:
-            for end in range(min(n, at + self.longest), at, -1):
+        at = 0
+        while at < n:
+            node, choices, end = root, [], at
+            for letter in letters[at:] if at else letters:
+                node = node.get(letter)
+                if node is None:
+                    break
+                end += 1
+                token = node.get("" if end < n else _WORD_END)
+                if token is not None:
+                    choices.append((end, token))
+            while choices:
+                end, token = choices.pop()
                 if end in left:
                     continue
-                token = (self.final if end == n else self.inner).get(letters[at:end])
-                if token is not None and (at == 0 or follows(out[-1], token)):
-                    out.append(token)
-                    ends.append(end)
-                    break
+                if at:
+                    leads = table.get(out[-1] << 24 | token)
+                    if leads is None:
+                        leads = self.automaton.follows(out[-1], token)
+                    if not leads:
+                        continue
+                out.append(token)
+                ends.append(end)
+                at = end
+                break
             else:
                 left.add(at)
                 out.pop()
                 ends.pop()
+                at = ends[-1]
         return out
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        """Tokens of a run without white space, kept in the word table unless it is long."""
+        """Tokens of a run without white space, kept in the word table unless it is long.
+
+        The table has two generations: when the young one is full it becomes the
+        old one, and what is asked for again comes back from there.
+        """
         known = self._words.get(chunk)
         if known is not None:
             return known
-        pieces = self._pieces.findall(chunk)
-        if len(pieces) == 1 and pieces[0] == chunk:
-            ids = tuple(self.word("".join([self._letters[b] for b in chunk.encode("utf-8")])))
-        else:
-            ids = tuple(t for piece in pieces for t in self._chunk(piece))
+        known = self._old.get(chunk)
+        if known is None:
+            if chunk.isalpha():
+                if not chunk.isascii():
+                    letters = self._letters
+                    ids = self.word("".join([letters[b] for b in chunk.encode("utf-8")]))
+                else:
+                    ids = self.word(chunk)
+            elif len(pieces := self._cut_up(chunk)) > 1:
+                ids = [t for piece in pieces for t in self._chunk(piece)]
+            elif pieces:
+                letters = self._letters
+                ids = self.word("".join([letters[b] for b in pieces[0].encode("utf-8")]))
+            else:
+                ids = []
+            known = tuple(ids)
         if len(chunk) <= WORD_LENGTH:
             if len(self._words) >= WORD_TABLE:
-                self._words.clear()
-            self._words[chunk] = ids
-        return ids
+                self._words, self._old = {}, self._words
+            self._words[chunk] = known
+        return known
+
+    def _cut_up(self, chunk: str) -> list[str]:
+        return (_ASCII_PIECES if chunk.isascii() else self._pieces).findall(chunk)
 
     def _plain(self, text: str, ids: list[int]) -> None:
         if not text.isascii():
@@ -283,7 +335,7 @@ def _added(frame: DataFrame, tokenizer: Tokenizer, text: str, fields: list, make
                     [*part.columns, *new], [*part.schema.names, *[f.name for f in fields]]
                 )
 
-    return frame.mapInArrow(run, schema)
+    return map_batches(frame, run, schema)
 
 
 def encode_column(

@@ -2,14 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable
+from pathlib import Path
 
+import fundflow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundflow.sources.workspace import new_folder
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the executors, once for each application.
+
+    Spark serves the file to them and puts it on the path of their Python
+    workers, so the library need not be installed there.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(fundflow.__file__).parent
+    archive = f"{tempfile.mkdtemp(prefix='fundflow-')}/fundflow.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, str(file.relative_to(package.parent)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
+def map_batches(frame: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` with this library at hand on the executors."""
+    ship(frame.sparkSession)
+    return frame.mapInArrow(run, schema)
+
+
 def free_name(frame: DataFrame, base: str) -> str:
     """A column name that the frame does not have, whatever the case of its names."""
     taken = {c.lower() for c in frame.columns}

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.llm.common import free_name, plain, with_row_id, words_of, written
+from fundflow.llm.common import free_name, map_batches, plain, with_row_id, words_of, written
 
 BANDS, ROWS = 40, 6
 SHINGLE = 5
@@ -214,7 +214,7 @@ def similarities(pairs: DataFrame, words: DataFrame) -> DataFrame:
         .join(words.select(F.col("row").alias("a"), F.col("words").alias("wa")), "a")
         .select("a", "b", "wa", "wb")
     )
-    return both.mapInArrow(_compared, "a long, b long, sim double")
+    return map_batches(both, _compared, "a long, b long, sim double")
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -282,8 +282,10 @@ def classes(
     firsts = member.filter("row = first").select("row")
 
     # 1. Buckets of texts that differ.
-    banded = base.filter(F.size("words") > 0).select("row", "words").mapInArrow(
-        _banded(bands, rows), "row long, bands array<long>"
+    banded = map_batches(
+        base.filter(F.size("words") > 0).select("row", "words"),
+        _banded(bands, rows),
+        "row long, bands array<long>",
     )
     entries = written(
         banded.join(firsts, "row", "left_semi").select("row", F.explode("bands").alias("bucket")),

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundflow.llm import bpe, near_dedup, toxicity
+from fundflow.llm import bpe, decontaminate, near_dedup, toxicity
 from fundflow.llm.common import id_fold, table
 from fundflow.llm.exact_dedup import DigestIndex
 from fundflow.sources.workspace import new_folder
@@ -75,3 +75,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near copies."""
     found = near_dedup.classes(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
+@register
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items it holds."""
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundflow.llm.common import free_name, plain, written
+from fundflow.llm.common import free_name, map_batches, plain, written
 
 # Letters that look like a Latin one, and what is written for it.
 _LOOK_ALIKE = str.maketrans(
@@ -174,7 +174,9 @@ def _count(rows: DataFrame, make: Callable[[str], set[str]]) -> DataFrame:
                     yield out()
         yield out()
 
-    partial = rows.select("text", "label").mapInArrow(run, "term string, toxic long, other long")
+    partial = map_batches(
+        rows.select("text", "label"), run, "term string, toxic long, other long"
+    )
     return partial.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
@@ -265,8 +267,8 @@ def fit(
             )
             kept = phrases.orderBy(F.col("other").desc(), "term").limit(max_terms)
             lexicon.exceptions = [r["term"] for r in kept.collect()]
-    seen = rest.select("text", "label").mapInArrow(
-        _feature_rows(lexicon), "label double, x array<double>"
+    seen = map_batches(
+        rest.select("text", "label"), _feature_rows(lexicon), "label double, x array<double>"
     ).collect()
     y = np.array([r["label"] for r in seen])
     if len(y) and 0 < y.sum() < len(y):
@@ -303,7 +305,7 @@ def score_column(
                 [*batch.columns, scores], [*batch.schema.names, name]
             )
 
-    return frame.mapInArrow(run, T.StructType([*frame.schema.fields, T.StructField(name, T.DoubleType())]))
+    return map_batches(frame, run, T.StructType([*frame.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def keep_clean(
