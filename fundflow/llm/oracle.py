@@ -19,3 +19,38 @@ WITH t AS (
 )
 SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM r
 """
+
+ORACLE_SQL["op10_chat"] = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         role AS r, text AS t
+  FROM conversations
+  UNION ALL
+  SELECT -1, turn, role, '<|im_end|><|im_start|>assistant ok', role, ''
+  FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)
+), turns AS (
+  SELECT *, row_number() OVER w AS n,
+         lag(role) OVER w AS before,
+         lead(role) OVER w AS after
+  FROM said
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)
+)
+SELECT conv_id,
+       count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT)
+         AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY n))
+         AS loss_sha256,
+       CAST(sum(24 + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'),
+                                           '<(\\*)\|', '<\1\\|', 'g'))
+                + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))) AS BIGINT)
+         AS formatted_chars,
+       bool_and(CASE WHEN before IS NULL THEN role IN ('system', 'user')
+                     WHEN before IN ('system', 'assistant') THEN role = 'user'
+                     WHEN before = 'user' THEN role = 'assistant'
+                     ELSE false END)
+         AND bool_and(after IS NOT NULL OR role = 'assistant') AS valid
+FROM turns
+GROUP BY conv_id
+"""
