@@ -54,3 +54,25 @@ SELECT conv_id,
 FROM turns
 GROUP BY conv_id
 """
+
+# SHA-1 to base 32: eight groups of five bits for every five bytes.
+ORACLE_SQL["op2_warc"] = r"""
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS digest
+  FROM pages
+), r AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, digest,
+         max(page_id) OVER (PARTITION BY digest) AS holder
+  FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 4), lambda k:
+         array_to_string(list_transform(range(0, 8), lambda g:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+             (CAST('0x' || substr(digest, 1 + k * 10, 10) AS BIGINT) >> (35 - 5 * g)) & 31 AS INTEGER),
+             1)), '')), '') AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM holder AND holder IS NOT NULL THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM holder THEN holder END AS refers_to
+FROM r
+"""

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundflow.llm import bpe, chat, decontaminate, near_dedup, toxicity
-from fundflow.llm.common import id_fold, table
+from fundflow.llm import bpe, chat, decontaminate, near_dedup, toxicity, warc
+from fundflow.llm.common import id_fold, table, written
 from fundflow.llm.exact_dedup import DigestIndex
 from fundflow.sources.workspace import new_folder
 
@@ -98,3 +98,26 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select(*names).union(hostile)
     return chat.read_back(chat.segments(turns))
+
+
+@register
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back from the archives."""
+    path = new_folder(spark, "warc")
+    warc.write_warc(warc.page_records(table(spark, sf_dir, "pages")), path)
+    columns = ["record_id", "record_type", "payload_digest", "refers_to"]
+    responses = warc.read_warc(spark, path, [*columns, "payload_bytes"], verify=True).filter(
+        "record_type = 'response'"
+    )
+    responses = written(responses, "responses")
+    revisits = warc.read_warc(spark, path, columns).filter("record_type = 'revisit'")
+    # A revisit has the payload of the response with its digest.
+    held = responses.groupBy("payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
+    rows = responses.unionByName(revisits.join(held, "payload_digest", "left"))
+    return rows.select(
+        warc.page_id("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_id("refers_to").alias("refers_to"),
+    )
