@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundflow.llm import bpe, chat, decontaminate, near_dedup, toxicity, warc
+from fundflow.llm import bpe, chat, decontaminate, language, near_dedup, toxicity, warc
 from fundflow.llm.common import id_fold, table, written
 from fundflow.llm.exact_dedup import DigestIndex
 from fundflow.sources.workspace import new_folder
@@ -121,3 +121,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         warc.page_id("refers_to").alias("refers_to"),
     )
+
+
+@register
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the language of most of its letters."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(id_fold("doc_id", 5) != 0))
+    found = language.language_columns(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(id_fold("doc_id", 5) == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
