@@ -12,13 +12,16 @@ Components are cut into bands. Texts with an equal band are candidates:
 1. Texts with the same words are one from here on.
 2. In each bucket all are compared with the smallest, exactly. This is linear
    in the size of a bucket, however large, and links nearly everything.
-3. What a bucket still holds of different components is compared pair by pair,
-   but for pairs that the triangle inequality excludes: 1 - J is a metric, so
-   texts at distances d and e from the smallest are at least |d - e| apart.
+3. What a bucket still holds of different components is compared in blocks of
+   some thousand texts against one another. Within a block, pairs that are
+   already connected are passed over, so are those that the triangle inequality
+   excludes (1 - J is a metric: texts at distances d and e from the smallest are
+   at least |d - e| apart) and those whose components agree so seldom that J is
+   below the limit by five standard errors. The rest are compared exactly, the
+   likeliest first. No pairs are emitted, only the links that connect.
 
-No candidate pair is left out but those already connected or excluded by that
-bound, and nothing is capped. A pair at similarity 0.8 shares no band with
-probability 6e-6 at 40 bands of 6 rows.
+Nothing is capped. A pair at similarity 0.8 shares no band with probability
+6e-6 at 40 bands of 6 rows, and is passed over in step 3 with less than 3e-7.
 
 Defined results: a text with fewer than five words is one run; a text without
 words (NULL, empty) is in no group. Rows may repeat, ids too: every row counts
@@ -44,6 +47,8 @@ SIMILARITY = 0.8
 #: Texts whose components are computed together; their number fits 14 bits.
 _TOGETHER = 1_000
 _HASH_BITS = 50
+#: Texts of a bucket that are compared with one another in one block.
+BLOCK = 1_000
 
 _U = np.uint64
 
@@ -123,36 +128,38 @@ def components(
     return winner.reshape(n_texts, size)
 
 
-def band_keys(values: np.ndarray, offsets: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """A 64-bit key for each text and band; texts without words get no valid row."""
+def band_keys(
+    values: np.ndarray, offsets: np.ndarray, bands: int, rows: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit key for each text and band, and the components; every text needs a word."""
     n_texts = len(offsets) - 1
     text, run, count = _counted(values, offsets)
-    won = components_of(text, run, count, n_texts, bands * rows).reshape(n_texts, bands, rows)
+    parts = components(text, run, count.astype(float), n_texts, bands * rows)
+    won = parts.reshape(n_texts, bands, rows)
     keys = np.zeros((n_texts, bands), dtype=_U) + np.arange(1, bands + 1, dtype=_U)
     for k in range(rows):
         keys = _mix(keys * _U(0x9E3779B97F4A7C15) + won[:, :, k] + _U(1))
-    return keys.view(np.int64)
-
-
-def components_of(
-    text: np.ndarray, run: np.ndarray, count: np.ndarray, n_texts: int, size: int
-) -> np.ndarray:
-    """``components``, with zeros for texts without elements."""
-    out = np.zeros((n_texts, size), dtype=_U)
-    there, number = np.unique(text, return_inverse=True)
-    if len(there):
-        out[there] = components(number, run, count.astype(float), len(there), size)
-    return out
+    return keys.view(np.int64), parts
 
 
 def probability_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """J of two texts, given by the hashes of their words."""
-    (_, ra, ca), (_, rb, cb) = (
-        _counted(np.asarray(x), np.array([0, len(x)], dtype=np.int64)) for x in (a, b)
-    )
-    _, ia, ib = np.intersect1d(ra, rb, assume_unique=True, return_indices=True)
+    return _jaccard(*_runs(a), *_runs(b))
+
+
+def _runs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the distinct runs of one text, and their counts."""
+    return _counted(np.asarray(words), np.array([0, len(words)], dtype=np.int64))[1:]
+
+
+def _jaccard(ra: np.ndarray, ca: np.ndarray, rb: np.ndarray, cb: np.ndarray) -> float:
+    at = np.minimum(np.searchsorted(rb, ra), len(rb) - 1)
+    ia = np.flatnonzero(rb[at] == ra) if len(rb) else np.zeros(0, np.int64)
+    ib = at[ia]
     if not len(ia):
         return 0.0
+    if ca.max() == 1 and cb.max() == 1:
+        return len(ia) / (len(ra) + len(rb) - len(ia))
     x = np.concatenate([ca, np.zeros(len(rb) - len(ib), dtype=ca.dtype)]).astype(float)
     y = np.zeros(len(x))
     y[ia] = cb[ib]
@@ -181,11 +188,15 @@ def _banded(bands: int, rows: int):
             for lo in range(0, batch.num_rows, _TOGETHER):
                 part = batch.slice(lo, _TOGETHER)
                 values, offsets = _flat(part.column(1))
-                keys = band_keys(values, offsets, bands, rows)
+                keys, won = band_keys(values, offsets, bands, rows)
                 flat = pa.ListArray.from_arrays(
                     pa.array(np.arange(0, keys.size + 1, bands), pa.int32()), pa.array(keys.ravel())
                 )
-                yield pa.RecordBatch.from_arrays([part.column(0), flat], ["row", "bands"])
+                short = [w.tobytes() for w in _mix(won).astype(np.uint8)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), flat, pa.array(short, pa.binary())],
+                    ["row", "bands", "short"],
+                )
 
     return run
 
@@ -202,6 +213,57 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _linker(similarity: float, bands: int, rows: int):
+    """Links that connect the texts of one block, or of two blocks against one another."""
+    size = bands * rows
+    least = similarity * size - 5 * np.sqrt(size * similarity * (1 - similarity))
+
+    def run(block: pa.Table) -> pa.Table:
+        ids = block["row"].to_numpy()
+        order = np.argsort(ids, kind="stable")
+        block = block.take(pa.array(order))
+        ids = ids[order]
+        chunk = block["chunk"].to_numpy()
+        sim, band = block["sim"].to_numpy(), int(block["band"][0].as_py())
+        across = block["i"][0].as_py() != block["j"][0].as_py()
+        short = np.frombuffer(b"".join(block["short"].to_pylist()), dtype=np.uint8)
+        short = short.reshape(len(ids), size)
+        words = block["words"].combine_chunks()
+        names, root = np.unique(block["label"].to_numpy(), return_inverse=True)
+        runs: dict[int, tuple] = {}
+        out: list[tuple[int, int]] = []
+
+        def of(k: int) -> tuple:
+            if k not in runs:
+                runs[k] = _runs(words[k].values.to_numpy(zero_copy_only=False))
+            return runs[k]
+
+        for x in range(len(ids) - 1):
+            rest = np.arange(x + 1, len(ids))
+            rest = rest[
+                (root[rest] != root[x]) & (np.abs(sim[rest] - sim[x]) <= 1 - similarity + 1e-9)
+            ]
+            if across:
+                rest = rest[chunk[rest] != chunk[x]]
+            if not len(rest):
+                continue
+            same = short[rest] == short[x]
+            agree = same.sum(axis=1)
+            likely = agree >= least
+            rest, same, agree = rest[likely], same[likely], agree[likely]
+            # A pair belongs to its first common band.
+            first = same.reshape(len(rest), bands, rows).all(axis=2).argmax(axis=1)
+            rest, agree = rest[first == band], agree[first == band]
+            for y in rest[np.argsort(-agree, kind="stable")].tolist():
+                if root[y] != root[x] and _jaccard(*of(x), *of(y)) >= similarity:
+                    out.append((int(ids[x]), int(ids[y])))
+                    root[root == root[y]] = root[x]
+        columns = list(zip(*out)) or [[], []]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
+
+    return run
+
+
 def similarities(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """Exact J of pairs ``a``, ``b`` of row numbers.
 
@@ -285,12 +347,10 @@ def classes(
     banded = map_batches(
         base.filter(F.size("words") > 0).select("row", "words"),
         _banded(bands, rows),
-        "row long, bands array<long>",
-    )
-    entries = written(
-        banded.join(firsts, "row", "left_semi").select("row", F.explode("bands").alias("bucket")),
-        "bands",
+        "row long, bands array<long>, short binary",
     )
+    banded = written(banded.join(firsts, "row", "left_semi"), "bands")
+    entries = banded.select("row", F.posexplode("bands").alias("band", "bucket"))
     stars = (
         entries.groupBy("bucket")
         .agg(F.min("row").alias("star"), F.count("*").alias("n"))
@@ -306,29 +366,38 @@ def classes(
     links = sims.filter(F.col("sim") >= similarity)
     parts = connected(links)
 
-    # 3. Pairs across components that share a bucket and may be close enough.
+    # 3. Different components in one bucket, in blocks.
     placed = (
         inside.join(sims.select(F.col("a").alias("star"), F.col("b").alias("row"), "sim"),
                     ["star", "row"])
         .join(parts, "row", "left")
-        .select("bucket", "row", "sim", F.coalesce("label", "row").alias("label"))
+        .select("bucket", "band", "row", "sim", F.coalesce("label", "row").alias("label"))
+    )
+    placed = written(placed, "placed")
+    open_buckets = (
+        placed.groupBy("bucket")
+        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
+        .filter("lo < hi")
+        .select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("chunks"))
+    )
+    split = placed.join(open_buckets, "bucket").withColumn(
+        "chunk", F.pmod(F.xxhash64("row"), F.col("chunks")).cast("int")
+    )
+    split = split.join(words, "row").join(banded.select("row", "short"), "row")
+    met = split.withColumn(
+        "with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    ).select(
+        "bucket", "band", "row", "sim", "label", "words", "short", "chunk",
+        F.least("chunk", "with").alias("i"), F.greatest("chunk", "with").alias("j"),
     )
-    open_buckets = placed.groupBy("bucket").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi")
-    ).filter("lo < hi").select("bucket")
-    left = written(placed.join(open_buckets, "bucket"), "open-buckets")
-    one, two = left.alias("x"), left.alias("y")
-    rest = (
-        one.join(two, F.col("x.bucket") == F.col("y.bucket"))
-        .filter("x.row < y.row AND x.label <> y.label")
-        .filter(F.abs(F.col("x.sim") - F.col("y.sim")) <= 1 - similarity + 1e-9)
-        .select(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
-        .distinct()
-        .join(sims.select("a", "b"), ["a", "b"], "left_anti")
+    more = written(
+        met.groupBy("bucket", "i", "j").applyInArrow(
+            _linker(similarity, bands, rows), "a long, b long"
+        ),
+        "links",
     )
-    more = written(similarities(rest, words), "similarities").filter(F.col("sim") >= similarity)
     if more.limit(1).count():
-        parts = connected(links.select("a", "b").union(more.select("a", "b")))
+        parts = connected(links.select("a", "b").union(more))
 
     # Every row with its class; most rows are in none.
     grouped = member.join(parts.select(F.col("row").alias("first"), "label"), "first", "left").select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fundflow.llm import licenses
+
 ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["op4_exact_dedup"] = r"""
@@ -76,3 +78,41 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
        CASE WHEN page_id IS DISTINCT FROM holder THEN holder END AS refers_to
 FROM r
 """
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _license_sql() -> str:
+    flat = r"regexp_replace(lower(coalesce(text, '')), '(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*', '\1', 'g')"
+    flat = rf"regexp_replace({flat}, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+    flat = f"' ' || replace({flat}, chr(10), ' ' || chr(10) || ' ') || ' '"
+    for other, one in licenses.SPELLINGS:
+        flat = f"replace({flat}, ' {other} ', ' {one} ')"
+    lines = f"list_transform(string_split({flat}, chr(10)), lambda x: trim(x))"
+    whole = "array_to_string(list_filter(lines, lambda x: x <> ''), ' ')"
+    known = ", ".join(
+        f"({_quoted(name)}, {_quoted(text)})"
+        for name, texts in licenses.KNOWN.items()
+        for text in texts
+    )
+    return f"""
+WITH known AS (
+  SELECT DISTINCT license_id, sha256({whole}) AS digest
+  FROM (SELECT license_id, {lines} AS lines FROM (VALUES {known}) AS v(license_id, text))
+), d AS (
+  SELECT doc_id, {lines} AS lines FROM documents
+), units AS (
+  SELECT doc_id, unnest(list_prepend({whole}, lines)) AS unit,
+         CAST(generate_subscripts(list_prepend({whole}, lines), 1) - 1 AS INTEGER) AS line,
+         len(lines) AS n
+  FROM d
+)
+SELECT doc_id, line, license_id, digest
+FROM units JOIN known ON sha256(unit) = digest
+WHERE unit <> '' AND (n > 1 OR line = 0)
+"""
+
+
+ORACLE_SQL["op8_licenses"] = _license_sql()

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundflow.llm import bpe, chat, decontaminate, language, near_dedup, toxicity, warc
+from fundflow.llm import bpe, chat, decontaminate, language, licenses, near_dedup, toxicity, warc
 from fundflow.llm.common import id_fold, table, written
 from fundflow.llm.exact_dedup import DigestIndex
 from fundflow.sources.workspace import new_folder
@@ -131,3 +131,9 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.language_columns(docs.select("doc_id", "text"), model)
     held_out = F.coalesce(id_fold("doc_id", 5) == 0, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, and lines of them, that are known licence texts or notices."""
+    return licenses.matches(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
