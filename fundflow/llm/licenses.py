@@ -96,7 +96,7 @@ def canonical_lines(text: Column) -> Column:
     flat = F.concat(F.lit(" "), F.replace(flat, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
     for other, one in SPELLINGS:
         flat = F.replace(flat, F.lit(f" {other} "), F.lit(f" {one} "))
-    return F.transform(F.split(flat, "\n"), F.trim)
+    return F.transform(F.split(flat, "\n"), lambda x: F.trim(x))
 
 
 def canonical_text(lines: Column) -> Column:
