@@ -9,7 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundflow.llm import bpe, chat, decontaminate, language, licenses, near_dedup, toxicity, warc
+from fundflow.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    language,
+    licenses,
+    near_dedup,
+    secrets,
+    toxicity,
+    warc,
+)
 from fundflow.llm.common import id_fold, table, written
 from fundflow.llm.exact_dedup import DigestIndex
 from fundflow.sources.workspace import new_folder
@@ -137,3 +147,20 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, and lines of them, that are known licence texts or notices."""
     return licenses.matches(table(spark, sf_dir, "documents"), licenses.known_digests(spark))
+
+
+@register
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with the forest's score."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows = secrets.described(secrets.candidates(docs), secrets.Corpus.learn(docs))
+    scanner = secrets.Scanner.train(secrets.rule_labels(rows))
+    return scanner.score(rows).select(
+        F.col("id").alias("doc_id"),
+        "word",
+        "part",
+        F.sha2("candidate", 256).alias("candidate_sha256"),
+        F.length("candidate").alias("n_chars"),
+        F.round("score", 6).alias("score"),
+        (F.col("score") >= 0.5).alias("is_secret"),
+    )
