@@ -1,6 +1,6 @@
 """Secret scans with a random forest that removes false positives.
 
-Candidates are runs of sixteen or more characters of ``[A-Za-z0-9+/_=-]`` with a
+Candidates are runs of sixteen or more of ``[A-Za-z0-9+/_-]`` (and ``=`` after them) with a
 digit, or with both cases beyond the first letter. Each is described by its
 length and kinds of characters, the likelihood of its character transitions under
 those of all words of the corpus, its coverage by the corpus's dictionary, and
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from fundflow.llm.common import plain, with_row_id, words_of, written
 
-CANDIDATE = r"[A-Za-z0-9+/_=\-]{16,}"
+CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 _MIXED = r"[0-9]|[A-Za-z].*[a-z].*[A-Z]|[A-Za-z].*[A-Z].*[a-z]"
 # Words that name a credential.
 KEYWORDS = r"(?i)(^|[^a-z])(key|token|secret|passw(or)?d|passwd|pwd|auth|bearer|credential|apikey)s?([^a-z]|$)"
