@@ -1,19 +1,21 @@
 """Column expressions: exact sums, signed amounts, returns, row rules."""
 
-from fundflow.functions.exact import exact_mean, exact_total, rough_total, settle
+from fundflow.functions.exact import add_up, exact_mean, exact_sum, mean_of, minus, settle
 from fundflow.functions.measures import daily_return, inflow, outflow, signed_amount
 from fundflow.functions.rules import domain, positive, required
 
 __all__ = [
+    "add_up",
     "daily_return",
     "domain",
     "exact_mean",
-    "exact_total",
+    "exact_sum",
     "inflow",
+    "mean_of",
+    "minus",
     "outflow",
     "positive",
     "required",
-    "rough_total",
     "settle",
     "signed_amount",
 ]

@@ -1,17 +1,20 @@
-"""Sums of doubles that do not depend on the order of the rows.
+"""Sums and means of doubles that do not depend on the order of the rows.
 
 Adding doubles gives a last digit that changes with partitioning, task retries
 and adaptive re-planning; after rounding to cents that becomes a wrong cent.
-These aggregates add decimal digits instead, in a form that stays inside a hash
-aggregate and is about as fast as ``sum(double)``:
+``exact_sum`` adds decimal digits instead: those of the shortest text of each
+double. It stays inside a hash aggregate and keeps four parts:
 
-* A value with at most four decimals is a whole number of ten-thousandths. It is
+* A value with at most four decimals and below 10**8 is a whole number of ten-thousandths,
   added as two longs, the part above bit 20 and the 20 bits below, so neither
   can overflow below 2**43 rows in a group.
-* Any other value that fits ``decimal(28,10)`` is added as that decimal.
-* If a value fits neither (more than 18 digits before the point), the exact
-  total is NULL and ``settle`` falls back to the plain double sum, so no row is
-  ever left out of a result.
+* Any other value below 10**18 is added as ``decimal(28,10)``,
+* and what it has past ten places as ``decimal(36,28)``. Doubles of 10**8 and more have nothing there.
+* A value from 10**18 to 10**37 is added as ``decimal(38,0)``.
+
+Outside this range, and counted in ``outside``, are values from 10**37 on, NaN, values
+with digits past 28 places (which have to be below 10**-11), and sums that leave
+``decimal(38)``. Only a group that holds one of them is published from the plain sum.
 """
 
 from __future__ import annotations
@@ -22,45 +25,151 @@ from pyspark.sql import functions as F
 _GRID_LIMIT = 2**40
 _LOW = 2**20
 _WIDE = "DECIMAL(28,10)"
-_TOTAL = "DECIMAL(37,10)"
+_FINE = "DECIMAL(36,28)"
+_BASE = "DECIMAL(37,10)"
+# A total that can be published with a digit to spare, and with that digit.
+_TOTAL = "decimal(36,10)"
+_STICKY = "decimal(37,11)"
+
 
+def exact_sum(column: str) -> Column:
+    """Exact sum of the non-NULL values as a struct for ``settle``, ``mean_of`` and ``minus``.
 
-def exact_total(column: str) -> Column:
-    """Exact sum as ``decimal(38,10)``; NULL if no value, or if one does not fit."""
+    NULL if there are none.
+    """
     x = f"`{column}`"
     steps = f"rint({x} * 10000D)"
     on_grid = f"({steps} / 10000D = {x} AND abs({steps}) < {_GRID_LIMIT}D)"
     whole = f"CASE WHEN {on_grid} THEN CAST({steps} AS BIGINT) END"
-    other = f"CASE WHEN NOT {on_grid} THEN try_cast({x} AS {_WIDE}) END"
+    middle = f"CASE WHEN NOT {on_grid} AND abs({x}) < 1e18D THEN CAST({x} AS {_WIDE}) END"
+    fine = (
+        f"CASE WHEN NOT {on_grid} AND abs({x}) < 1e8D"
+        f" THEN CAST({x} AS {_FINE}) - CAST(CAST({x} AS {_WIDE}) AS {_FINE}) END"
+    )
+    big = f"CASE WHEN abs({x}) >= 1e18D AND abs({x}) < 1e37D THEN CAST({x} AS DECIMAL(38,0)) END"
+    lost = f"abs({x}) >= 1e37D OR (abs({x}) < 1e-11D AND CAST(CAST({x} AS {_FINE}) AS DOUBLE) <> {x})"
 
     high = f"CAST(sum(shiftright({whole}, 20)) AS DECIMAL(20,0))"
     low = f"CAST(sum(({whole}) & {_LOW - 1}) AS DECIMAL(20,0))"
-    on_total = f"CAST(({high} * {_LOW} + {low}) * 0.0001BD AS {_TOTAL})"
-    off_total = f"try_cast(try_sum({other}) AS {_TOTAL})"
+    on_total = f"CAST(({high} * {_LOW} + {low}) * 0.0001BD AS {_BASE})"
+
+    def part(value: str, kind: str) -> tuple[str, str]:
+        """The sum of a part, 0 if it has no values, and whether it overflowed."""
+        summed = f"try_cast(try_sum({value}) AS {kind})"
+        return (
+            f"coalesce({summed}, CAST(0 AS {kind}))",
+            f"CASE WHEN count({value}) > 0 AND {summed} IS NULL THEN 1L ELSE 0L END",
+        )
 
-    # A decimal sum that overflowed is NULL although it has rows.
-    covered = f"count({whole}) + count({other}) = count({x})"
-    summed = f"(count({other}) = 0 OR {off_total} IS NOT NULL)"
-    zero = f"CAST(0 AS {_TOTAL})"
+    (mid_total, mid_lost), (fine_total, fine_lost), (big_total, big_lost) = (
+        part(middle, "DECIMAL(36,10)"),
+        part(fine, "DECIMAL(38,28)"),
+        part(big, "DECIMAL(38,0)"),
+    )
     return F.expr(
-        f"CASE WHEN count({x}) > 0 AND {covered} AND {summed}"
-        f" THEN coalesce({on_total}, {zero}) + coalesce({off_total}, {zero}) END"
+        f"CASE WHEN count({x}) > 0 THEN named_struct("
+        f"'base', CAST(coalesce({on_total}, CAST(0 AS {_BASE})) + {mid_total} AS DECIMAL(38,10)),"
+        f"'fine', {fine_total}, 'big', {big_total},"
+        f"'outside', count_if({lost}) + {mid_lost} + {fine_lost} + {big_lost},"
+        f"'rough', sum({x})) END"
     )
 
 
-def rough_total(column: str) -> Column:
-    """The plain double sum, kept beside an exact total for ``settle``."""
-    return F.sum(column)
+def _kind(name: str) -> str:
+    return {"base": "decimal(38,10)", "fine": "decimal(38,28)", "big": "decimal(38,0)"}[name]
 
 
-def settle(exact: Column, rough: Column, places: int) -> Column:
-    """Round half-up and publish as double, from the exact total if there is one."""
-    return F.coalesce(F.round(exact, places).cast("double"), F.round(rough, places))
+def add_up(total: Column, where: Column) -> Column:
+    """Aggregate: the sum of the sums for which ``where`` holds, zero if there are none."""
+    chosen = F.when(where, total)
+    parts = {}
+    overflow = F.lit(0).cast("long")
+    for name in ("base", "fine", "big"):
+        summed = F.try_sum(chosen[name]).try_cast(_kind(name))
+        parts[name] = F.coalesce(summed, F.lit(0).cast(_kind(name)))
+        overflow += F.when((F.count(chosen[name]) > 0) & summed.isNull(), 1).otherwise(0)
+    return F.struct(
+        *[value.alias(name) for name, value in parts.items()],
+        (F.coalesce(F.sum(chosen["outside"]), F.lit(0)) + overflow).alias("outside"),
+        F.coalesce(F.sum(chosen["rough"]), F.lit(0.0)).alias("rough"),
+    )
 
 
-def exact_mean(column: str, places: int) -> Column:
-    """Mean of the non-NULL values, rounded half-up; NULL if there are none."""
-    n = F.count(column)
-    return settle(
-        F.try_divide(exact_total(column), n), F.try_divide(rough_total(column), n), places
+def minus(a: Column, b: Column) -> Column:
+    """Difference of two sums; NULL if one is."""
+    parts = {
+        name: F.try_subtract(a[name], b[name]).try_cast(_kind(name))
+        for name in ("base", "fine", "big")
+    }
+    lost = parts["base"].isNull() | parts["fine"].isNull() | parts["big"].isNull()
+    return F.when(
+        a.isNotNull() & b.isNotNull(),
+        F.struct(
+            *[value.alias(name) for name, value in parts.items()],
+            (a["outside"] + b["outside"] + F.when(lost, 1).otherwise(0)).alias("outside"),
+            (a["rough"] - b["rough"]).alias("rough"),
+        ),
     )
+
+
+def _sticky(total: Column) -> Column:
+    """The sum with an eleventh decimal that only says whether more follows.
+
+    Enough to round once to ten places or fewer. NULL from 10**26 on.
+    """
+    down = F.floor(total["fine"], F.lit(10)).cast("decimal(20,10)")
+    more = F.when(total["fine"] > down, F.expr("0.00000000001BD")).otherwise(
+        F.expr("0.00000000000BD")
+    )
+    base, big = total["base"].try_cast(_TOTAL), total["big"].try_cast(_TOTAL)
+    whole = F.try_add(F.try_add(base, big), down).try_cast(_TOTAL)
+    return F.try_add(whole.cast(_STICKY), more).try_cast(_STICKY)
+
+
+def _published(total: Column, fine: Column, coarse: Column, rough: Column) -> Column:
+    exact = F.coalesce(fine.cast("double"), coarse, rough)
+    return F.when(total["outside"] > 0, rough).otherwise(exact)
+
+
+def settle(total: Column, places: int) -> Column:
+    """A sum rounded half-up once, as double.
+
+    From 10**26 on the fraction is dropped: a double has no digits for it.
+    """
+    coarse = F.try_add(total["big"], total["base"].try_cast("decimal(38,0)")).cast("double")
+    return _published(
+        total, F.round(_sticky(total), places), coarse, F.round(total["rough"], places)
+    )
+
+
+def mean_of(total: Column, n: Column, places: int) -> Column:
+    """The mean rounded half-up once, to at most four places; NULL if there are no values.
+
+    Spark's quotient has eleven decimals, rounded. If those end in a tie, the
+    product with ``n`` tells in whole numbers whether the true mean lies below it.
+    """
+    value = _sticky(total)
+    size = F.abs(value)
+    quotient = F.try_divide(size, n.cast("decimal(19,0)")).try_cast("decimal(36,11)")
+    short = F.round(quotient, 5)
+    scaled = F.try_multiply(short.try_cast("decimal(30,5)"), F.lit(100_000)).try_cast("decimal(31,0)")
+    product = F.try_multiply(scaled.try_cast("decimal(19,0)"), n.cast("decimal(19,0)"))
+    exact = F.try_multiply(size, F.lit(100_000)).try_cast("decimal(38,6)")
+    below = (short == quotient) & (product > exact)
+    nudged = F.when(
+        F.coalesce(below, F.lit(False)), quotient - F.expr("0.00000000001BD")
+    ).otherwise(quotient)
+    rounded = F.round(nudged, places)
+    signed = F.when(value < 0, -rounded).otherwise(rounded)
+    coarse = F.try_divide(
+        F.try_add(total["big"], total["base"].try_cast("decimal(38,0)")).cast("double"), n
+    )
+    return F.when(
+        n > 0,
+        _published(total, signed, coarse, F.round(F.try_divide(total["rough"], n), places)),
+    )
+
+
+def exact_mean(column: str, places: int) -> Column:
+    """Mean of the non-NULL values, rounded half-up once; NULL if there are none."""
+    return mean_of(exact_sum(column), F.count(column), places)

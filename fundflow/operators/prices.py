@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundflow.functions import daily_return, exact_mean
+from fundflow.functions import daily_return, exact_sum, mean_of
 
 
 def fund_days(nav: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
@@ -24,7 +24,8 @@ def fund_days(nav: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
         F.max_by(price, at).alias("last_nav"),
         F.min(price).alias("min_nav"),
         F.max(price).alias("max_nav"),
-        exact_mean("nav", 4).alias("avg_nav"),
+        exact_sum("nav").alias("nav_total"),
+        F.count("nav").alias("navs"),
         F.stddev_samp(price).alias("deviation"),
         F.count("*").alias("nav_updates"),
     )
@@ -40,7 +41,7 @@ def fund_days(nav: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
         F.round(closing, 4).alias("closing_nav"),
         F.round("min_nav", 4).alias("min_nav"),
         F.round("max_nav", 4).alias("max_nav"),
-        "avg_nav",
+        mean_of(F.col("nav_total"), F.col("navs"), 4).alias("avg_nav"),
         F.round("deviation", 4).alias("nav_volatility"),
         "nav_updates",
     ).withColumn("daily_return_pct", daily_return(F.col("opening_nav"), F.col("closing_nav")))

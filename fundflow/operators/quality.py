@@ -62,6 +62,13 @@ def quality_report(judged: DataFrame, feed: Feed) -> DataFrame:
     )
 
 
+def enough_rows(total: int, min_rows: int) -> int:
+    """``total``, if it is at least ``min_rows``."""
+    if total < min_rows:
+        raise ValueError(f"ranking table has {total} rows, expected {min_rows}")
+    return total
+
+
 def verify_gold(ranking: DataFrame, min_rows: int = 0) -> DataFrame:
     """``(total_funds)`` of a loaded ranking table; fails below ``min_rows``."""
     total = F.count("*")

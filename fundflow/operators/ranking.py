@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.functions import exact_mean
+from fundflow.functions import exact_sum, mean_of
 
 
 def value_band(column: str) -> str:
@@ -59,13 +59,28 @@ def rank_descending(rows: DataFrame, by: str, out: str = "rank") -> DataFrame:
 
 def fund_totals(days: DataFrame) -> DataFrame:
     """Every fund with its means over days, from ``fund_days``."""
-    return days.groupBy("scheme_code", "scheme_name").agg(
-        exact_mean("daily_return_pct", 4).alias("avg_daily_return_pct"),
+    measures = {
+        "daily_return_pct": "avg_daily_return_pct",
+        "avg_nav": "avg_nav",
+        "nav_volatility": "avg_volatility",
+    }
+    sums = days.groupBy("scheme_code", "scheme_name").agg(
+        *[exact_sum(m).alias(f"{m}_sum") for m in measures],
+        *[F.count(m).alias(f"{m}_n") for m in measures],
         F.max("daily_return_pct").alias("best_daily_return_pct"),
-        exact_mean("avg_nav", 4).alias("avg_nav"),
-        exact_mean("nav_volatility", 4).alias("avg_volatility"),
         F.count("*").alias("trading_days"),
     )
+    # Means are taken in a step of their own, which keeps the generated code of each small.
+    means = [mean_of(F.col(f"{m}_sum"), F.col(f"{m}_n"), 4).alias(out) for m, out in measures.items()]
+    return sums.select(
+        "scheme_code",
+        "scheme_name",
+        means[0],
+        "best_daily_return_pct",
+        means[1],
+        means[2],
+        "trading_days",
+    )
 
 
 def top_funds(days: DataFrame) -> DataFrame:

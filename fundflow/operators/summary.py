@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundflow.functions import exact_total, rough_total, settle
+from fundflow.functions import exact_sum, settle
 
-# The order in which each table is shown.
+# The order in which each table is shown, and how many rows of it.
 _DISPLAY_ORDER = {
-    "gold_aum_by_fund": ["ingestion_date", "scheme_code"],
-    "gold_nav_performance": ["ingestion_date", "-daily_return_pct"],
-    "gold_txn_volume": ["ingestion_date", "transaction_type", "scheme_code"],
-    "gold_top_funds": ["rank"],
-    "summary_nav_by_date": ["ingestion_date"],
-    "summary_txn_by_date_type": ["ingestion_date", "transaction_type"],
+    "gold_aum_by_fund": [("ingestion_date", F.asc), ("scheme_code", F.asc)],
+    "gold_nav_performance": [("ingestion_date", F.asc), ("daily_return_pct", F.desc)],
+    "gold_txn_volume": [
+        ("ingestion_date", F.asc),
+        ("transaction_type", F.asc),
+        ("scheme_code", F.asc),
+    ],
+    "gold_top_funds": [("rank", F.asc)],
+    "summary_nav_by_date": [("ingestion_date", F.asc)],
+    "summary_txn_by_date_type": [("ingestion_date", F.asc), ("transaction_type", F.asc)],
+}
+_SHOWN = {
+    "gold_aum_by_fund": 10,
+    "gold_nav_performance": 10,
+    "gold_txn_volume": 10,
+    "gold_top_funds": 20,
+}
+# What tells rows apart that the order leaves level.
+_TIES = {
+    "gold_nav_performance": ("scheme_code", "scheme_name"),
+    "gold_top_funds": ("scheme_code", "scheme_name"),
 }
 
 
@@ -27,7 +42,7 @@ def txn_by_date_type(txn: DataFrame) -> DataFrame:
     """Number and total amount of transactions per day and type."""
     return txn.groupBy("ingestion_date", "transaction_type").agg(
         F.count("*").alias("count"),
-        settle(exact_total("amount"), rough_total("amount"), 2).alias("total_amount"),
+        settle(exact_sum("amount"), 2).alias("total_amount"),
     )
 
 
@@ -46,20 +61,30 @@ def silver_summary(nav: DataFrame, txn: DataFrame, sample: int = 5) -> dict[str,
         "summary_nav_by_date": nav_by_date(nav),
         "summary_txn_by_date_type": txn_by_date_type(txn),
     }
-    shown = {name: frame.orderBy(*display_order(name)) for name, frame in reports.items()}
+    ordered = {name: frame.orderBy(*display_order(name)) for name, frame in reports.items()}
     return {
         "summary_nav_sample": preview(nav, sample),
         "summary_txn_sample": preview(txn, sample),
-        **shown,
+        **ordered,
     }
 
 
 def display_order(table: str) -> list[Column]:
     """Sort columns for showing a table. Sinks do not sort."""
-    return [
-        F.desc(name[1:]) if name.startswith("-") else F.asc(name)
-        for name in _DISPLAY_ORDER[table]
-    ]
+    return [direction(name) for name, direction in _DISPLAY_ORDER[table]]
+
+
+def shown(table: str, frame: DataFrame, n: int | None = None) -> DataFrame:
+    """The rows shown of a table, in order, with their ``position`` from 1.
+
+    ``n`` defaults to what is usual for the table, or all rows. The limit comes
+    first, so only the rows shown are numbered.
+    """
+    order = [*display_order(table), *map(F.asc, _TIES.get(table, ()))]
+    n = n or _SHOWN.get(table)
+    ordered = frame.orderBy(*order)
+    place = F.row_number().over(Window.orderBy(*order))
+    return (ordered.limit(n) if n else ordered).withColumn("position", place)
 
 
 def preview(frame: DataFrame, n: int = 20, order: list[Column] | None = None) -> DataFrame:

@@ -5,31 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fundflow.functions import (
-    exact_total,
-    inflow,
-    outflow,
-    rough_total,
-    settle,
-    signed_amount,
-)
-
-# decimal(37,10): two of these can be added or subtracted without losing places.
-_FLOW = "decimal(37,10)"
+from fundflow.functions import add_up, exact_sum, mean_of, minus, settle
 
 
 def txn_days(txn: DataFrame) -> DataFrame:
     """Transactions reduced to one row per day, type and fund.
 
     Counts and totals merge map-side, so a hot fund shuffles one row per task.
-    Both transaction tables are computed from this frame; ``total`` is exact and
-    unrounded, or NULL where ``rough_total`` has to stand in.
+    Both transaction tables are computed from this frame; ``total`` is an exact
+    sum, not yet rounded.
     """
     return txn.groupBy("ingestion_date", "transaction_type", "scheme_code").agg(
         F.count("*").alias("txn_count"),
         F.count("amount").alias("amounts"),
-        exact_total("amount").alias("total"),
-        rough_total("amount").alias("rough_total"),
+        exact_sum("amount").alias("total"),
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
     )
@@ -41,44 +30,39 @@ def aum_by_fund(days: DataFrame) -> DataFrame:
     "AUM" is the net flow of the day, not a running balance. REDEEM adds nothing
     to any amount and is counted in ``total_transactions``.
     """
-    kind = F.col("transaction_type")
-
-    def exact(flow):
-        return F.try_sum(flow(kind, F.col("total"))).try_cast(_FLOW)
 
-    def rough(flow):
-        return F.sum(flow(kind, F.col("rough_total")))
+    def flow(kind: str):
+        mine = F.coalesce(F.col("transaction_type") == kind, F.lit(False))
+        # A row of another type counts as 0, one of this type without an amount as nothing.
+        known = F.count(F.when(~mine | F.col("total").isNotNull(), 1)) > 0
+        return F.when(known, add_up(F.col("total"), mine))
 
-    all_exact = F.count_if(F.col("total").isNull() & (F.col("amounts") > 0)) == 0
     flows = days.groupBy("scheme_code", "ingestion_date").agg(
-        F.when(all_exact, exact(inflow)).alias("bought"),
-        F.when(all_exact, exact(outflow)).alias("sold"),
-        rough(inflow).alias("rough_bought"),
-        rough(outflow).alias("rough_sold"),
-        rough(signed_amount).alias("rough_net"),
+        flow("BUY").alias("bought"),
+        flow("SELL").alias("sold"),
         F.sum("txn_count").alias("total_transactions"),
     )
     bought, sold = F.col("bought"), F.col("sold")
     return flows.select(
         "scheme_code",
         "ingestion_date",
-        settle(bought - sold, F.col("rough_net"), 2).alias("net_aum"),
-        settle(bought, F.col("rough_bought"), 2).alias("total_buy_amount"),
-        settle(sold, F.col("rough_sold"), 2).alias("total_sell_amount"),
+        settle(minus(bought, sold), 2).alias("net_aum"),
+        settle(bought, 2).alias("total_buy_amount"),
+        settle(sold, 2).alias("total_sell_amount"),
         "total_transactions",
     )
 
 
 def txn_volume(days: DataFrame) -> DataFrame:
     """Count, total, mean and range per day, type and fund, from ``txn_days``."""
-    total, rough, n = F.col("total"), F.col("rough_total"), F.col("amounts")
+    total, n = F.col("total"), F.col("amounts")
     return days.select(
         "ingestion_date",
         "transaction_type",
         "scheme_code",
         "txn_count",
-        settle(total, rough, 2).alias("total_amount"),
-        settle(F.try_divide(total, n), F.try_divide(rough, n), 2).alias("avg_amount"),
+        settle(total, 2).alias("total_amount"),
+        mean_of(total, n, 2).alias("avg_amount"),
         F.round("min_amount", 2).alias("min_amount"),
         F.round("max_amount", 2).alias("max_amount"),
     )

@@ -12,16 +12,24 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from fundflow.operators.quality import verify_gold
+from fundflow.operators.quality import enough_rows
 from fundflow.plans.gold import shared_gold_tables
 from fundflow.plans.silver import build_silver
 from fundflow.schemas import NAV, TXN, Feed
 from fundflow.sources.kafka import kafka_stream
 from fundflow.sources.lake import read_bronze, read_silver, silver_path
 from fundflow.sources.warehouse import Warehouse
-from fundflow.streaming.landing import Mode, await_feeds, ingest_feed, stop_feeds
+from fundflow.streaming.landing import (
+    FILES_PER_DAY,
+    INTERVAL,
+    Mode,
+    await_feeds,
+    ingest_feed,
+    stop_feeds,
+)
 
 FEEDS = (NAV, TXN)
+_UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 Item = TypeVar("Item")
 Result = TypeVar("Result")
 
@@ -30,7 +38,10 @@ Result = TypeVar("Result")
 class LakeConfig:
     """Where the layers live. ``root`` is any URI the cluster can write.
 
-    ``topic_options`` goes to the topic readers (see ``kafka_options``).
+    ``topic_options`` goes to the topic readers (see ``kafka_options``). Bronze is
+    landed below ``period``, a name of the caller's, and read from that and
+    ``earlier`` periods: a new period begins a new file log. A new period also
+    begins a new checkpoint, so give the topics' starting offsets with it.
     """
 
     root: str
@@ -39,12 +50,22 @@ class LakeConfig:
     topic_options: Mapping[str, str] = field(default_factory=dict)
     min_funds: int = 0
     silver_root: str | None = None
+    period: str = ""
+    earlier: Sequence[str] = ()
+    interval: str = INTERVAL
+    files_per_day: int = FILES_PER_DAY
+
+    def _below(self, top: str, feed: Feed, period: str) -> str:
+        return f"{self.root}/{top}/{feed.folder}" + (f"-{period}" if period else "")
 
     def bronze(self, feed: Feed) -> str:
-        return f"{self.root}/bronze/{feed.folder}"
+        return self._below("bronze", feed, self.period)
+
+    def all_bronze(self, feed: Feed) -> list[str]:
+        return [self._below("bronze", feed, p) for p in (*self.earlier, self.period)]
 
     def checkpoint(self, feed: Feed) -> str:
-        return f"{self.root}/checkpoints/{feed.folder}"
+        return self._below("checkpoints", feed, self.period)
 
     @property
     def silver(self) -> str:
@@ -81,25 +102,47 @@ def topic_streams(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
     }
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Days are those of the session's zone, so it has to be UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in _UTC:
+        raise ValueError(f"spark.sql.session.timeZone is {zone}, not UTC")
+
+
 def run_bronze(cfg: LakeConfig, streams: dict[str, DataFrame], mode: Mode = "drain") -> None:
-    """Land all feeds side by side. If one cannot start or fails, none is left running."""
+    """Land all feeds side by side. If one cannot start or fails, none is left running.
+
+    A query that will not stop is an error of its own, or a note on the first one.
+    """
+    for stream in streams.values():
+        require_utc(stream.sparkSession)
     queries: list[StreamingQuery] = []
     try:
         for feed in FEEDS:
             query = ingest_feed(
-                streams[feed.name], cfg.bronze(feed), cfg.checkpoint(feed), mode
+                streams[feed.name],
+                cfg.bronze(feed),
+                cfg.checkpoint(feed),
+                mode,
+                cfg.interval,
+                cfg.files_per_day,
             )
             queries.append(query)
         await_feeds(queries, mode)
-    finally:
-        stop_feeds(queries)
+    except BaseException as error:
+        for other in stop_feeds(queries):
+            error.add_note(f"a query did not stop: {other}")
+        raise
+    if stuck := stop_feeds(queries):
+        raise stuck[0]
 
 
 def run_silver(spark: SparkSession, cfg: LakeConfig) -> dict[str, dict[str, int]]:
     """Rewrite both silver tables, one pass per feed."""
+    require_utc(spark)
 
     def build(feed: Feed) -> tuple[str, dict[str, int]]:
-        bronze = read_bronze(spark, cfg.bronze(feed))
+        bronze = read_bronze(spark, cfg.all_bronze(feed))
         return feed.name, build_silver(bronze, feed, silver_path(cfg.silver, feed.folder))
 
     return dict(_side_by_side(spark, build, FEEDS))
@@ -112,14 +155,14 @@ def run_gold(spark: SparkSession, cfg: LakeConfig) -> int:
         _side_by_side(
             spark, lambda name: cfg.warehouse.replace(name, tables[name]), list(tables)
         )
-    loaded = cfg.warehouse.read(spark, "gold_top_funds")
-    return verify_gold(loaded, cfg.min_funds).first()["total_funds"]
+    return enough_rows(cfg.warehouse.count(spark, "gold_top_funds"), cfg.min_funds)
 
 
 def run_all(
     spark: SparkSession, cfg: LakeConfig, streams: dict[str, DataFrame] | None = None
 ) -> RunReport:
     """Drain the feeds, rebuild silver and gold, verify; the first failure ends it."""
+    require_utc(spark)
     run_bronze(cfg, streams or topic_streams(spark, cfg))
     quality = run_silver(spark, cfg)
     return RunReport(quality=quality, total_funds=run_gold(spark, cfg))

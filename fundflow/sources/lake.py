@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,14 +48,20 @@ def _scan(
 
 
 def read_bronze(
-    spark: SparkSession, path: str, since: date | None = None, until: date | None = None
+    spark: SparkSession,
+    path: str | Sequence[str],
+    since: date | None = None,
+    until: date | None = None,
 ) -> DataFrame:
     """A bronze table, read at its root so that the stream's file log is honoured.
 
-    The schema is given, not inferred: an empty table gives an empty frame. A
+    Several roots, one per period, are read one by one, each by its own log, and put
+    together. The schema is given, not inferred: an empty table gives an empty frame. A
     missing path raises. ``since`` and ``until`` prune whole days.
     """
-    return _scan(spark, path, BRONZE_SCHEMA, since, until)
+    roots = [path] if isinstance(path, str) else list(path)
+    parts = [_scan(spark, root, BRONZE_SCHEMA, since, until) for root in roots]
+    return reduce(DataFrame.union, parts)
 
 
 def silver_path(root: str, folder: str) -> str:
@@ -81,24 +89,20 @@ def by_day(frame: DataFrame) -> DataFrame:
     return frame.hint("rebalance", DAY)
 
 
-def write_silver(df: DataFrame, path: str, dynamic: bool = False) -> None:
-    """Replace a silver table.
+def write_silver(df: DataFrame, path: str) -> None:
+    """Replace a silver table, always as a whole: rows are distinct over all days.
 
     ``df`` must not be read from ``path``: Spark deletes the old files first, so
     rows on a lost executor could not be read again.
-
-    ``dynamic`` replaces only the days present in ``df``. Transactions are
-    distinct over all days, so that is only safe for prices.
     """
-    write_partitioned(by_day(df), path, dynamic)
+    write_partitioned(by_day(df), path)
 
 
-def write_partitioned(df: DataFrame, path: str, dynamic: bool = False) -> None:
+def write_partitioned(df: DataFrame, path: str) -> None:
     """Overwrite a table partitioned by day, with rows already placed."""
-    mode = "dynamic" if dynamic else "static"
     (
         with_audit(df)
         .write.partitionBy(DAY)
-        .option("partitionOverwriteMode", mode)
+        .option("partitionOverwriteMode", "static")
         .parquet(path, mode="overwrite")
     )

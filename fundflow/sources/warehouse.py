@@ -34,12 +34,14 @@ def write_jdbc(
 
     ``truncate`` keeps the table and its grants when the schema is unchanged.
     ``connections`` bounds the number of tasks that write at once, whatever the
-    size of the frame. Each task commits on its own: replacing several tables,
+    size of the frame: rows are dealt to them by a shuffle of their own, so that
+    what computes the frame keeps its tasks. Each task commits on its own: replacing several tables,
     or one table from several tasks, is not one transaction, so re-run the step
     if it fails.
     """
     (
-        df.write.mode("overwrite")
+        df.repartition(connections)
+        .write.mode("overwrite")
         .option("truncate", str(truncate).lower())
         .option("numPartitions", connections)
         .option("batchsize", batch_rows)
@@ -54,6 +56,8 @@ class Warehouse(Protocol):
 
     def read(self, spark: SparkSession, table: str) -> DataFrame: ...
 
+    def count(self, spark: SparkSession, table: str) -> int: ...
+
 
 @dataclass(frozen=True)
 class JdbcWarehouse:
@@ -69,6 +73,12 @@ class JdbcWarehouse:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.jdbc(self.url, table, properties=dict(self.props))
 
+    def count(self, spark: SparkSession, table: str) -> int:
+        """Counted by the database, so one row comes back."""
+        counted = f"(SELECT count(*) AS n FROM {table}) AS counted"
+        row = spark.read.jdbc(self.url, counted, properties=dict(self.props)).first()
+        return int(row["n"])
+
 
 @dataclass(frozen=True)
 class ParquetWarehouse:
@@ -81,3 +91,6 @@ class ParquetWarehouse:
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(f"{self.root}/{table}")
+
+    def count(self, spark: SparkSession, table: str) -> int:
+        return self.read(spark, table).count()

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from typing import Literal
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fundflow.operators.envelope import to_envelope
@@ -13,22 +14,37 @@ from fundflow.sources.lake import DAY
 
 Mode = Literal["continuous", "drain"]
 
-# Fixed value: how often a continuous query writes files.
+# How often a continuous query writes files, and how many at most for one day.
 INTERVAL = "30 seconds"
+FILES_PER_DAY = 16
 
 POLL_SECONDS = 5
 
 
-def land_bronze(df: DataFrame, path: str, checkpoint: str, mode: Mode) -> StreamingQuery:
+def land_bronze(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: Mode,
+    interval: str = INTERVAL,
+    files_per_day: int = FILES_PER_DAY,
+) -> StreamingQuery:
     """Append a stream of bronze rows to a table partitioned by day.
 
     ``continuous`` runs until stopped; ``drain`` takes what is there now and
     ends, which is what a scheduled step needs. Either resumes from the
     checkpoint, and no message is written twice.
+
+    A batch writes at most ``files_per_day`` files into a day, whatever the number of
+    source partitions: rows of a day are dealt to that many tasks by their place in the topic.
+    The sink's log names every file, so choose a long ``interval`` and few files
+    where messages are many, and begin a new root from time to time.
     """
-    schedule = {"availableNow": True} if mode == "drain" else {"processingTime": INTERVAL}
+    schedule = {"availableNow": True} if mode == "drain" else {"processingTime": interval}
+    slot = F.pmod(F.hash("partition", "offset"), F.lit(files_per_day))
     return (
-        df.writeStream.outputMode("append")
+        df.repartition(F.col(DAY), slot)
+        .writeStream.outputMode("append")
         .format("parquet")
         .partitionBy(DAY)
         .trigger(**schedule)
@@ -36,9 +52,16 @@ def land_bronze(df: DataFrame, path: str, checkpoint: str, mode: Mode) -> Stream
     )
 
 
-def ingest_feed(stream: DataFrame, path: str, checkpoint: str, mode: Mode) -> StreamingQuery:
+def ingest_feed(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: Mode,
+    interval: str = INTERVAL,
+    files_per_day: int = FILES_PER_DAY,
+) -> StreamingQuery:
     """Broker records to bronze files."""
-    return land_bronze(to_envelope(stream), path, checkpoint, mode)
+    return land_bronze(to_envelope(stream), path, checkpoint, mode, interval, files_per_day)
 
 
 def await_feeds(queries: Sequence[StreamingQuery], mode: Mode) -> None:

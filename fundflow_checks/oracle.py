@@ -70,8 +70,12 @@ def _rsum(x: str, places: int) -> str:
 
 
 def _ravg(x: str, places: int) -> str:
-    mean = f"(sum(({x})::decimal(28,10)) / count({x}))::decimal(38,10)"
-    return f"round({mean}, {places})::double"
+    """Mean in whole numbers: half up means twice the total plus the count, by twice the count."""
+    total = f"sum((({x})::decimal(28,10) * 10000000000)::hugeint)::hugeint"
+    twice = f"2 * abs({total}) * {10**places}"
+    n = f"(count({x})::hugeint * 10000000000)"
+    whole = f"(({twice} + {n}) // nullif(2 * {n}, 0))"
+    return f"(sign({total}) * ({whole})::double / {10**places}::double)"
 
 
 def _r(x: str, places: int) -> str:
@@ -220,8 +224,43 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{name}' AS \"table\", count(*) AS rows FROM {source}"
         for name, source in nav_counts.items()
     )
+    def first(table: str, order: str, n: int | None = None) -> str:
+        rows = f"SELECT *, row_number() OVER (ORDER BY {order})::int AS position FROM ({table})"
+        return f"{rows} QUALIFY position <= {n}" if n else rows
+
+    by_date = "SELECT ingestion_date, count(*) AS count FROM silver GROUP BY ALL"
+    by_type = f"""SELECT ingestion_date, transaction_type, count(*) AS count,
+                 {_rsum("amount", 2)} AS total_amount
+          FROM silver GROUP BY ingestion_date, transaction_type"""
+    top = f"SELECT *, {ranked} FROM funds"
+    quality = _quality("nav", _NAV, "nav"), _quality("txn", _TXN, "amount")
+    by_day = "ingestion_date NULLS FIRST"
+    by_fund = "scheme_code NULLS FIRST"
+    by_name = f"{by_fund}, scheme_name NULLS FIRST"
+    by_kind = f"{by_day}, transaction_type NULLS FIRST"
+    best = f"{by_day}, daily_return_pct DESC NULLS LAST, {by_name}"
+    shown = {
+        "summary_txn_sample": f"WITH {_TXN} SELECT * FROM silver ORDER BY transaction_id LIMIT 5",
+        "summary_nav_by_date_shown": f"WITH {_NAV} {first(by_date, by_day)}",
+        "summary_txn_by_date_type_shown": f"WITH {_TXN} {first(by_type, by_kind)}",
+        "shown_aum_by_fund": f"WITH {_TXN} {first(_net_flow('silver'), f'{by_day}, {by_fund}', 10)}",
+        "shown_nav_performance": f"WITH {_NAV}, {_DAYS} {first(_PERFORMANCE, best, 10)}",
+        "shown_txn_volume": f"WITH {_TXN} {first(_volume('silver'), f'{by_kind}, {by_fund}', 10)}",
+        "shown_top_funds": f"WITH {_NAV}, {_FUNDS} {first(top, f'rank, {by_name}', 20)}",
+    }
+    layers = {
+        "silver_nav_roundtrip": f"WITH {_NAV} SELECT * FROM silver",
+        "silver_txn_roundtrip": f"WITH {_TXN} SELECT * FROM silver",
+        "layers_silver_nav": f"WITH {_NAV} SELECT * FROM silver",
+        "layers_silver_txn": f"WITH {_TXN} SELECT * FROM silver",
+        "layers_gold_aum_by_fund": f"WITH {_TXN} {_net_flow('silver')}",
+        "layers_gold_nav_performance": f"WITH {_NAV}, {_DAYS} {_PERFORMANCE}",
+        "layers_gold_txn_volume": f"WITH {_TXN} {_volume('silver')}",
+        "layers_gold_top_funds": f"WITH {_NAV}, {_FUNDS} {top}",
+        "layers_quality": f"SELECT * FROM ({quality[0]}) UNION ALL SELECT * FROM ({quality[1]})",
+    }
     renamed = _nav_typed("'Fund ' || user_id || '-' || (event_id % 3)")
-    return {
+    return shown | layers | {
         "bronze_envelope": f"WITH {_COPIES} {_NAV_BRONZE} UNION ALL {_TXN_BRONZE}",
         "bronze_stream_landing": f"WITH {_COPIES} {_NAV_BRONZE}",
         "bronze_stream_restart": f"""WITH {_COPIES}

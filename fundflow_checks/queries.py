@@ -11,7 +11,7 @@ from fundflow_checks import feeds
 from fundflow.operators import prices, quality, ranking, summary, transactions
 from fundflow.operators.dedup import first_per_key
 from fundflow.plans import silver
-from fundflow.plans.medallion import LakeConfig, run_all
+from fundflow.plans.medallion import LakeConfig, RunReport, run_all
 from fundflow.schemas import NAV, TXN, Feed
 from fundflow.sources.lake import read_bronze, read_silver, silver_path, write_silver
 from fundflow.sources.warehouse import ParquetWarehouse
@@ -174,6 +174,24 @@ def silver_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
+    """A silver table written and read back, with every column of the feed."""
+    path = silver_path(new_folder(spark, "silver"), feed.folder)
+    rows = _nav(spark, sf_dir) if feed is NAV else _txn(spark, sf_dir)
+    write_silver(rows, path)
+    return _published(spark.read.schema(feed.silver).parquet(path), feed)
+
+
+@register
+def silver_nav_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, NAV)
+
+
+@register
+def silver_txn_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, TXN)
+
+
 @register
 def summary_nav_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.nav_by_date(_nav(spark, sf_dir))
@@ -190,6 +208,21 @@ def summary_nav_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(summary.preview(_nav(spark, sf_dir), 5, order))
 
 
+@register
+def summary_txn_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain_times(summary.preview(_txn(spark, sf_dir), 5, [F.col("transaction_id")]))
+
+
+@register
+def summary_nav_by_date_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.shown("summary_nav_by_date", summary_nav_by_date(spark, sf_dir))
+
+
+@register
+def summary_txn_by_date_type_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.shown("summary_txn_by_date_type", summary_txn_by_date_type(spark, sf_dir))
+
+
 # Gold
 
 
@@ -226,9 +259,10 @@ def gold_fund_daily_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def gold_top_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # One row per fund, kept because the ranking reads it twice.
-    funds = ranking.fund_totals(prices.fund_days(_nav(spark, sf_dir))).persist()
-    return ranking.rank_descending(funds, by="avg_daily_return_pct")
+    # One row per fund, written because the ranking reads it twice.
+    path = new_folder(spark, "funds")
+    ranking.fund_totals(prices.fund_days(_nav(spark, sf_dir))).write.parquet(path)
+    return ranking.rank_descending(spark.read.parquet(path), by="avg_daily_return_pct")
 
 
 @register
@@ -236,13 +270,96 @@ def gold_verify_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verify_gold(gold_top_funds(spark, sf_dir), min_rows=1)
 
 
+@register
+def shown_aum_by_fund(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.shown("gold_aum_by_fund", gold_aum_by_fund(spark, sf_dir))
+
+
+@register
+def shown_nav_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.shown("gold_nav_performance", gold_nav_performance(spark, sf_dir))
+
+
+@register
+def shown_txn_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.shown("gold_txn_volume", gold_txn_volume(spark, sf_dir))
+
+
+@register
+def shown_top_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.shown("gold_top_funds", gold_top_funds(spark, sf_dir))
+
+
+# All layers by one run
+
+
+_RUNS: dict[tuple[str, str], tuple[LakeConfig, RunReport]] = {}
+
+
+def _run(spark: SparkSession, sf_dir: str) -> tuple[LakeConfig, RunReport]:
+    """One run over all layers for each session and input; the queries below read its files."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        root = new_folder(spark, "layers")
+        cfg = LakeConfig(root=root, warehouse=ParquetWarehouse(f"{root}/gold"), min_funds=1)
+        events = feeds.table_stream(spark, sf_dir, "events")
+        streams = {"nav": feeds.nav_records(events), "txn": feeds.txn_records(events)}
+        _RUNS[key] = cfg, run_all(spark, cfg, streams)
+    return _RUNS[key]
+
+
+def _layer(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
+    nav, txn = read_silver(spark, _run(spark, sf_dir)[0].silver)
+    return _published(nav if feed is NAV else txn, feed)
+
+
+def _gold(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    cfg, _ = _run(spark, sf_dir)
+    return cfg.warehouse.read(spark, table).drop("processed_at")
+
+
+@register
+def layers_silver_nav(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layer(spark, sf_dir, NAV)
+
+
+@register
+def layers_silver_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layer(spark, sf_dir, TXN)
+
+
+@register
+def layers_gold_aum_by_fund(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold(spark, sf_dir, "gold_aum_by_fund")
+
+
+@register
+def layers_gold_nav_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold(spark, sf_dir, "gold_nav_performance")
+
+
+@register
+def layers_gold_txn_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold(spark, sf_dir, "gold_txn_volume")
+
+
+@register
+def layers_gold_top_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold(spark, sf_dir, "gold_top_funds")
+
+
+@register
+def layers_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the run reported while it wrote."""
+    _, report = _run(spark, sf_dir)
+    counts = [(f, rule, n) for f, rules in report.quality.items() for rule, n in rules.items()]
+    return spark.createDataFrame(counts, "feed string, rule string, rows long")
+
+
 @register
 def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both feeds through every layer; the number of rows in each table."""
-    root = new_folder(spark, "layers")
-    cfg = LakeConfig(root=root, warehouse=ParquetWarehouse(f"{root}/gold"), min_funds=1)
-    events = feeds.table_stream(spark, sf_dir, "events")
-    run_all(spark, cfg, {"nav": feeds.nav_records(events), "txn": feeds.txn_records(events)})
+    cfg, _ = _run(spark, sf_dir)
     nav, txn = read_silver(spark, cfg.silver)
     tables = {
         "bronze_nav": read_bronze(spark, cfg.bronze(NAV)),

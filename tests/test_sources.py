@@ -32,7 +32,7 @@ def test_silver_round_trip(spark):
     assert nav_back.filter("processed_at is null").count() == 0
 
 
-def test_overwrite_replaces_all_days_or_only_its_own(spark):
+def test_overwrite_replaces_all_days(spark):
     path = workspace.new_folder(spark, "silver")
 
     def stored():
@@ -40,12 +40,28 @@ def test_overwrite_replaces_all_days_or_only_its_own(spark):
         return sorted(r[0].day for r in frame.collect())
 
     lake.write_silver(days(spark, 1, 2), path)
-    lake.write_silver(days(spark, 2, 3), path, dynamic=True)
-    assert stored() == [1, 2, 3]
     lake.write_silver(days(spark, 5), path)
     assert stored() == [5]
 
 
+def test_a_repeat_after_midnight_stays_one_row(spark):
+    path = workspace.new_folder(spark, "silver")
+    first = price(offset=1, sent=datetime(2024, 3, 1, 23, 59))
+    again = price(offset=2, sent=datetime(2024, 3, 2, 0, 1))
+    lake.write_silver(silver_nav(bronze(spark, [first])), path)
+    lake.write_silver(silver_nav(bronze(spark, [again, first])), path)
+    stored = spark.read.parquet(path).collect()
+    assert [(r["kafka_offset"], r["ingestion_date"].day) for r in stored] == [(1, 1)]
+
+
+def test_bronze_of_several_roots(spark):
+    roots = [workspace.new_folder(spark, "bronze") for _ in range(2)]
+    for n, root in enumerate(roots):
+        bronze(spark, [price(offset=n)]).write.partitionBy(lake.DAY).parquet(root)
+    offsets = [r["offset"] for r in lake.read_bronze(spark, roots).collect()]
+    assert sorted(offsets) == [0, 1]
+
+
 def test_one_file_per_small_day(spark):
     path = workspace.new_folder(spark, "silver")
     lake.write_silver(days(spark, *range(1, 11)).repartition(8), path)
@@ -113,7 +129,11 @@ class Writer:
 
 class Frame:
     def __init__(self):
-        self.write = Writer()
+        self.write, self.dealt = Writer(), None
+
+    def repartition(self, n):
+        self.dealt = n
+        return self
 
 
 def test_database_write():
@@ -121,6 +141,7 @@ def test_database_write():
     url = warehouse.postgres_url("db", 5432, "funds")
     props = warehouse.jdbc_properties("user", "secret")
     warehouse.write_jdbc(frame, "gold_top_funds", url, props, connections=4)
+    assert frame.dealt == 4
     assert frame.write.saved == (
         "jdbc:postgresql://db:5432/funds",
         "gold_top_funds",
@@ -134,6 +155,31 @@ def test_database_write():
     }
 
 
+class Reader:
+    """Records what a database is asked, and answers with one row."""
+
+    def __init__(self):
+        self.read, self.asked = self, None
+
+    def jdbc(self, url, table, properties):
+        self.asked = (url, table, properties)
+        return self
+
+    def first(self):
+        return {"n": 7}
+
+
+def test_rows_are_counted_by_the_database():
+    session = Reader()
+    target = warehouse.JdbcWarehouse("jdbc:x", {"user": "u"})
+    assert target.count(session, "gold_top_funds") == 7
+    assert session.asked == (
+        "jdbc:x",
+        "(SELECT count(*) AS n FROM gold_top_funds) AS counted",
+        {"user": "u"},
+    )
+
+
 def test_secrets_stay_out_of_the_text_form():
     props = warehouse.jdbc_properties("user", "secret")
     assert "secret" not in repr(warehouse.JdbcWarehouse("jdbc:x", props))

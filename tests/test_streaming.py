@@ -173,3 +173,48 @@ def test_topics_need_the_connector(spark):
     cfg = medallion.LakeConfig(root="x", warehouse=ParquetWarehouse("x"), servers="b:1")
     with pytest.raises(Exception, match="(?i)kafka"):
         medallion.topic_streams(spark, cfg)
+
+
+def test_a_batch_writes_a_bounded_number_of_files_per_day(spark):
+    folder, root = new_folder(spark, "topic"), new_folder(spark, "land")
+    sent = [price(offset=k, sent=LATE) for k in range(60)]
+    spark.createDataFrame(sent, KAFKA_SCHEMA).repartition(12).write.parquet(folder)
+    query = ingest_feed(
+        source(spark, folder), f"{root}/bronze", f"{root}/state", "drain", files_per_day=3
+    )
+    await_feeds([query], "drain")
+    assert 1 <= len(list(Path(f"{root}/bronze").glob("*/*.parquet"))) <= 3
+    assert read_bronze(spark, f"{root}/bronze").count() == 60
+
+
+def test_another_zone_is_refused(spark):
+    cfg = medallion.LakeConfig(root="x", warehouse=ParquetWarehouse("x"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for run in (
+            lambda: medallion.run_all(spark, cfg, {}),
+            lambda: medallion.run_silver(spark, cfg),
+            lambda: medallion.run_bronze(cfg, {"nav": spark.range(1)}),
+        ):
+            with pytest.raises(ValueError, match="not UTC"):
+                run()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_query_that_will_not_stop_is_reported(monkeypatch, spark):
+    stuck = RuntimeError("stuck")
+    monkeypatch.setattr(medallion, "ingest_feed", lambda *_: None)
+    monkeypatch.setattr(medallion, "await_feeds", lambda *_: None)
+    monkeypatch.setattr(medallion, "stop_feeds", lambda _: [stuck])
+    cfg = medallion.LakeConfig(root="x", warehouse=ParquetWarehouse("x"))
+    with pytest.raises(RuntimeError, match="stuck"):
+        medallion.run_bronze(cfg, {"nav": spark.range(1), "txn": spark.range(1)})
+
+
+def test_periods_have_folders_of_their_own():
+    cfg = medallion.LakeConfig("r", ParquetWarehouse("w"), period="2024-04", earlier=("2024-03",))
+    assert cfg.bronze(NAV) == f"r/bronze/{NAV.folder}-2024-04"
+    assert cfg.all_bronze(NAV) == [f"r/bronze/{NAV.folder}-{m}" for m in ("2024-03", "2024-04")]
+    assert cfg.checkpoint(NAV).endswith("-2024-04")
