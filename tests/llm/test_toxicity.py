@@ -12,7 +12,7 @@ LABELS = "doc_id long, toxic int"
 def test_folding():
     assert fold("You 1D10T!") == " you idiot "
     assert fold("stуpid tr@sh lоs3r") == fold("stypid trash loser")
-    assert fold("a$$ $5 100 cats***") == " ass 5 100 cats "
+    assert fold("a$s a$$ $5 100 cats***") == " ass a 5 100 cats "
     assert fold(None) == fold(" .. ") == ""
 
 
