@@ -82,6 +82,36 @@ GOLD_STEPS = {
 }
 
 
+# Windows over every tick; the first row of every key in a stated order.
+TICK_STEPS = {
+    "gold_open_close": """
+      SELECT scheme_code, ingestion_date, event_timestamp, nav,
+             first_value(nav) OVER (PARTITION BY scheme_code, ingestion_date
+                                    ORDER BY event_timestamp) AS opening_nav,
+             first_value(nav) OVER (PARTITION BY scheme_code, ingestion_date
+                                    ORDER BY event_timestamp DESC) AS closing_nav
+      FROM silver_nav_files""",
+    "lineitem_txn_dedup": """
+      SELECT transaction_id, scheme_code, transaction_type, amount, ingestion_date FROM (
+        SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY
+                    l_shipdate, l_partkey, l_suppkey, l_quantity, amount, l_discount, l_tax) AS n
+        FROM silver_txn_files) WHERE n = 1""",
+}
+#: Queries of the library with the steps that give the same rows, but for the last digits of sums.
+QUERY_STEPS = {
+    **{name: name for name in (*GOLD_STEPS, *TICK_STEPS)},
+    "lineitem_txn_volume": "gold_txn_volume",
+    "lineitem_net_flow": "gold_aum_by_fund",
+}
+
+
+def query_steps(spark: SparkSession, name: str, nav: DataFrame, txn: DataFrame) -> DataFrame:
+    """One query by its steps, from silver rows."""
+    _view(nav, "silver_nav_files")
+    _view(txn, "silver_txn_files")
+    return spark.sql((GOLD_STEPS | TICK_STEPS)[QUERY_STEPS[name]])
+
+
 def gold_steps(spark: SparkSession, nav: DataFrame, txn: DataFrame) -> dict[str, DataFrame]:
     """The gold tables, each with a plan of its own."""
     _view(nav, "silver_nav_files")
