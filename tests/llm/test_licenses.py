@@ -28,9 +28,7 @@ def test_equivalent_spellings_and_empty_table(spark):
         [("The Licence, sub-licence and http://x",), ("the license sub license and https x",)], "t string"
     )
     forms = frame.select(licenses.canonical_text(licenses.canonical_lines(frame["t"])).alias("c"))
-    assert [r["c"] for r in forms.collect()] == [
-        "the license sub license and https x", "the license sublicense and https x",
-    ]
+    assert {r["c"] for r in forms.collect()} == {"the license sublicense and https x"}
     known = licenses.known_digests(spark, {"A": ["same"], "B": ["Same!"]})
     two = spark.createDataFrame([(1, "SAME", "", 0, 0)], SCHEMA)
     assert sorted(r["license_id"] for r in licenses.matches(two, known).collect()) == ["A", "B"]

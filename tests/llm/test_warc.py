@@ -58,7 +58,7 @@ ROWS = [
 def test_round_trip_with_revisits(spark):
     pages = spark.createDataFrame([(*r, "d", 3) for r in ROWS], PAGES).repartition(3)
     path = new_folder(spark, "warc")
-    warc.write_warc(warc.page_records(pages), path, file_bytes=2_000)
+    warc.write_warc(warc.page_records(pages), path, file_bytes=200)
     files = list(Path(path).glob("*"))
     assert len(files) > 3 and not [f for f in files if f.name.startswith(".")]
     got = warc.read_warc(spark, path, verify=True).collect()
