@@ -41,9 +41,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its tokens, their number, and the text they decode to."""
-    tokenizer = word_tokenizer()
-    encoded = bpe.encode_column(docs.select("doc_id", "text"), tokenizer).drop("text")
-    return bpe.decode_column(encoded, tokenizer)
+    return bpe.coded_columns(docs.select("doc_id", "text"), word_tokenizer()).drop("text")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -54,8 +54,10 @@ _SPLIT = regex.compile(rf"[{_SPACE}]+")
 # Blank for str.split but not for the tokenizer.
 _CONTROLS = regex.compile("[\x1c-\x1f]")
 #: Words kept in the table of one worker, and the longest of them.
-WORD_TABLE = 250_000
+WORD_TABLE = 150_000
 WORD_LENGTH = 48
+#: Answers of the automaton kept in its table.
+ARC_TABLE = 300_000
 
 
 def byte_letters() -> list[str]:
@@ -149,7 +151,7 @@ class TokenAutomaton:
         key = state << 24 | token
         known = self.table.get(key)
         if known is None:
-            if len(self.table) > 1_000_000:
+            if len(self.table) > ARC_TABLE:
                 self.table.clear()
             known = self.table[key] = self._follows(state, token)
         return known
@@ -362,6 +364,21 @@ def decode_column(
     return _added(frame, tokenizer, tokens, fields, lambda tok, ids: (tok.decode(ids or ()),))
 
 
+def coded_columns(frame: DataFrame, tokenizer: Tokenizer, text: str = "text") -> DataFrame:
+    """``encode_column`` and ``decode_column`` in one pass, so that a task needs one worker."""
+    fields = [
+        T.StructField(free_name(frame, "tokens"), T.ArrayType(T.IntegerType())),
+        T.StructField(free_name(frame, "n_tokens"), T.LongType()),
+        T.StructField(free_name(frame, "decoded"), T.StringType()),
+    ]
+
+    def make(tok: Tokenizer, x: str | None) -> tuple:
+        ids = tok.encode(x)
+        return ids, len(ids), tok.decode(ids)
+
+    return _added(frame, tokenizer, text, fields, make)
+
+
 def round_trip_digests(frame: DataFrame, tokenizer: Tokenizer, text: str = "text") -> DataFrame:
     """Encode, decode, and add the number of tokens and digests of ids and decoded text.
 
