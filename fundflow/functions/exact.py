@@ -3,18 +3,18 @@
 Adding doubles gives a last digit that changes with partitioning, task retries
 and adaptive re-planning; after rounding to cents that becomes a wrong cent.
 ``exact_sum`` adds decimal digits instead: those of the shortest text of each
-double. It stays inside a hash aggregate and keeps four parts:
-
-* A value with at most four decimals and below 10**8 is a whole number of ten-thousandths,
-  added as two longs, the part above bit 20 and the 20 bits below, so neither
-  can overflow below 2**43 rows in a group.
-* Any other value below 10**18 is added as ``decimal(28,10)``,
-* and what it has past ten places as ``decimal(36,28)``. Doubles of 10**8 and more have nothing there.
-* A value from 10**18 to 10**37 is added as ``decimal(38,0)``.
-
-Outside this range, and counted in ``outside``, are values from 10**37 on, NaN, values
-with digits past 28 places (which have to be below 10**-11), and sums that leave
-``decimal(38)``. Only a group that holds one of them is published from the plain sum.
+double. It stays inside a hash aggregate, whose buffers are all longs:
+
+* A value with at most four decimals and below 10**8 is a whole number of
+  ten-thousandths, added as the part above bit 20 and the 20 bits below.
+* Of any other value below 10**36 the whole part below 10**18 is added as the part
+  above bit 30 and the 30 bits below, what is above in two groups of nine digits,
+  and the fraction in groups of nine, nine and eight digits.
+
+No sum can overflow below 2**33 rows in a group. Outside this range, and counted
+in ``outside``, are values from 10**36 on, NaN, values with digits past 26 places (which have
+to be below 10**-9), and sums that leave ``decimal(38)``. Only a group that holds one
+of them is published from the plain sum.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 _GRID_LIMIT = 2**40
 _LOW = 2**20
-_WIDE = "DECIMAL(28,10)"
-_FINE = "DECIMAL(36,28)"
+_HALF = 30
 _BASE = "DECIMAL(37,10)"
+_FRACTION = "DECIMAL(27,26)"
 # A total that can be published with a digit to spare, and with that digit.
 _TOTAL = "decimal(36,10)"
 _STICKY = "decimal(37,11)"
@@ -40,43 +40,70 @@ def exact_sum(column: str) -> Column:
     x = f"`{column}`"
     steps = f"rint({x} * 10000D)"
     on_grid = f"({steps} / 10000D = {x} AND abs({steps}) < {_GRID_LIMIT}D)"
-    whole = f"CASE WHEN {on_grid} THEN CAST({steps} AS BIGINT) END"
-    middle = f"CASE WHEN NOT {on_grid} AND abs({x}) < 1e18D THEN CAST({x} AS {_WIDE}) END"
+    grid = f"CASE WHEN {on_grid} THEN CAST({steps} AS BIGINT) END"
+
+    def off(value: str, condition: str) -> str:
+        return f"CASE WHEN NOT {on_grid} AND {condition} THEN {value} END"
+
+    quintillion = "CAST(1000000000000000000BD AS DECIMAL(19,0))"
+    digits = f"CAST({x} AS DECIMAL(38,0))"
+    whole = (
+        f"CASE WHEN abs({x}) < 1e18D THEN CAST({x} AS BIGINT)"
+        f" ELSE CAST({digits} % {quintillion} AS BIGINT) END"
+    )
+    above = f"({digits} div {quintillion})"
+    # From 10**10 on a double has fewer than nine decimals.
+    fraction = (
+        f"CASE WHEN abs({x}) < 1e10D THEN CAST(CAST({x} AS DECIMAL(38,26)) % 1BD AS {_FRACTION})"
+        f" ELSE CAST(CAST({x} AS DECIMAL(38,9)) % 1BD AS {_FRACTION}) END"
+    )
+    nine = "CAST(1000000000BD AS DECIMAL(10,0))"
+    one = f"({fraction}) * {nine}"
+    two = f"CAST({one} % 1BD AS {_FRACTION}) * {nine}"
+    three = f"CAST({two} % 1BD AS {_FRACTION}) * CAST(100000000BD AS DECIMAL(9,0))"
+    has_fraction = f"abs({x}) < 1e18D AND {x} <> rint({x})"
+
+    def total(value: str) -> str:
+        return f"CAST(coalesce(sum({value}), 0L) AS DECIMAL(19,0))"
+
+    high, low = total(f"shiftright({grid}, 20)"), total(f"({grid}) & {_LOW - 1}")
+    base = f"CAST(({high} * {_LOW} + {low}) * 0.0001BD AS {_BASE})"
+    up = total(f"shiftright({off(whole, f'abs({x}) < 1e36D')}, {_HALF})")
+    down = total(f"({off(whole, f'abs({x}) < 1e36D')}) & {2**_HALF - 1}")
+    huge = f"abs({x}) >= 1e18D AND abs({x}) < 1e36D"
+    top, next_ = total(off(f"{above} div 1000000000", huge)), total(off(f"{above} % 1000000000", huge))
+    big = (
+        f"CAST({up} * CAST({2**_HALF} AS DECIMAL(10,0)) + {down} AS DECIMAL(38,0)) +"
+        f" try_cast(try_multiply(CAST({top} * {nine} + {next_} AS DECIMAL(30,0)), {quintillion})"
+        f" AS DECIMAL(37,0))"
+    )
+    big = f"try_cast({big} AS DECIMAL(38,0))"
+    first = total(off(f"CAST({one} AS BIGINT)", has_fraction))
+    second = total(off(f"CAST({two} AS BIGINT)", has_fraction))
+    third = total(off(f"CAST({three} AS BIGINT)", has_fraction))
+
+    nano = "0.000000001BD"
+    tenth = f"CAST({second} * {nano} AS DECIMAL(19,9)) * {nano}"
+    last = f"CAST(CAST({third} * {nano} AS DECIMAL(19,9)) * {nano} AS DECIMAL(19,18)) * 0.00000001BD"
     fine = (
-        f"CASE WHEN NOT {on_grid} AND abs({x}) < 1e8D"
-        f" THEN CAST({x} AS {_FINE}) - CAST(CAST({x} AS {_WIDE}) AS {_FINE}) END"
+        f"CAST({first} * {nano} AS DECIMAL(36,26)) + CAST({tenth} AS DECIMAL(36,26))"
+        f" + CAST({last} AS DECIMAL(36,26))"
     )
-    big = f"CASE WHEN abs({x}) >= 1e18D AND abs({x}) < 1e37D THEN CAST({x} AS DECIMAL(38,0)) END"
-    lost = f"abs({x}) >= 1e37D OR (abs({x}) < 1e-11D AND CAST(CAST({x} AS {_FINE}) AS DOUBLE) <> {x})"
-
-    high = f"CAST(sum(shiftright({whole}, 20)) AS DECIMAL(20,0))"
-    low = f"CAST(sum(({whole}) & {_LOW - 1}) AS DECIMAL(20,0))"
-    on_total = f"CAST(({high} * {_LOW} + {low}) * 0.0001BD AS {_BASE})"
-
-    def part(value: str, kind: str) -> tuple[str, str]:
-        """The sum of a part, 0 if it has no values, and whether it overflowed."""
-        summed = f"try_cast(try_sum({value}) AS {kind})"
-        return (
-            f"coalesce({summed}, CAST(0 AS {kind}))",
-            f"CASE WHEN count({value}) > 0 AND {summed} IS NULL THEN 1L ELSE 0L END",
-        )
-
-    (mid_total, mid_lost), (fine_total, fine_lost), (big_total, big_lost) = (
-        part(middle, "DECIMAL(36,10)"),
-        part(fine, "DECIMAL(38,28)"),
-        part(big, "DECIMAL(38,0)"),
+    lost = (
+        f"abs({x}) >= 1e36D"
+        f" OR (abs({x}) < 1e-9D AND CAST(CAST({x} AS DECIMAL(38,26)) AS DOUBLE) <> {x})"
     )
     return F.expr(
         f"CASE WHEN count({x}) > 0 THEN named_struct("
-        f"'base', CAST(coalesce({on_total}, CAST(0 AS {_BASE})) + {mid_total} AS DECIMAL(38,10)),"
-        f"'fine', {fine_total}, 'big', {big_total},"
-        f"'outside', count_if({lost}) + {mid_lost} + {fine_lost} + {big_lost},"
+        f"'base', CAST({base} AS DECIMAL(38,10)), 'fine', CAST({fine} AS DECIMAL(38,26)),"
+        f"'big', coalesce({big}, CAST(0 AS DECIMAL(38,0))),"
+        f"'outside', count_if({lost}) + CASE WHEN {big} IS NULL THEN 1L ELSE 0L END,"
         f"'rough', sum({x})) END"
     )
 
 
 def _kind(name: str) -> str:
-    return {"base": "decimal(38,10)", "fine": "decimal(38,28)", "big": "decimal(38,0)"}[name]
+    return {"base": "decimal(38,10)", "fine": "decimal(38,26)", "big": "decimal(38,0)"}[name]
 
 
 def add_up(total: Column, where: Column) -> Column:
