@@ -19,13 +19,15 @@ of them is published from the plain sum.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _GRID_LIMIT = 2**40
 _LOW = 2**20
 _HALF = 30
-_BASE = "DECIMAL(37,10)"
+_PARTS = ("high", "low", "up", "down", "top", "next", "first", "second", "third")
 _FRACTION = "DECIMAL(27,26)"
 # A total that can be published with a digit to spare, and with that digit.
 _TOTAL = "decimal(36,10)"
@@ -51,7 +53,9 @@ def exact_sum(column: str) -> Column:
         f"CASE WHEN abs({x}) < 1e18D THEN CAST({x} AS BIGINT)"
         f" ELSE CAST({digits} % {quintillion} AS BIGINT) END"
     )
+    whole = off(whole, f"abs({x}) < 1e36D")
     above = f"({digits} div {quintillion})"
+    huge = f"abs({x}) >= 1e18D AND abs({x}) < 1e36D"
     # From 10**10 on a double has fewer than nine decimals.
     fraction = (
         f"CASE WHEN abs({x}) < 1e10D THEN CAST(CAST({x} AS DECIMAL(38,26)) % 1BD AS {_FRACTION})"
@@ -62,95 +66,104 @@ def exact_sum(column: str) -> Column:
     two = f"CAST({one} % 1BD AS {_FRACTION}) * {nine}"
     three = f"CAST({two} % 1BD AS {_FRACTION}) * CAST(100000000BD AS DECIMAL(9,0))"
     has_fraction = f"abs({x}) < 1e18D AND {x} <> rint({x})"
-
-    def total(value: str) -> str:
-        return f"CAST(coalesce(sum({value}), 0L) AS DECIMAL(19,0))"
-
-    high, low = total(f"shiftright({grid}, 20)"), total(f"({grid}) & {_LOW - 1}")
-    base = f"CAST(({high} * {_LOW} + {low}) * 0.0001BD AS {_BASE})"
-    up = total(f"shiftright({off(whole, f'abs({x}) < 1e36D')}, {_HALF})")
-    down = total(f"({off(whole, f'abs({x}) < 1e36D')}) & {2**_HALF - 1}")
-    huge = f"abs({x}) >= 1e18D AND abs({x}) < 1e36D"
-    top, next_ = total(off(f"{above} div 1000000000", huge)), total(off(f"{above} % 1000000000", huge))
-    big = (
-        f"CAST({up} * CAST({2**_HALF} AS DECIMAL(10,0)) + {down} AS DECIMAL(38,0)) +"
-        f" try_cast(try_multiply(CAST({top} * {nine} + {next_} AS DECIMAL(30,0)), {quintillion})"
-        f" AS DECIMAL(37,0))"
-    )
-    big = f"try_cast({big} AS DECIMAL(38,0))"
-    first = total(off(f"CAST({one} AS BIGINT)", has_fraction))
-    second = total(off(f"CAST({two} AS BIGINT)", has_fraction))
-    third = total(off(f"CAST({three} AS BIGINT)", has_fraction))
-
-    nano = "0.000000001BD"
-    tenth = f"CAST({second} * {nano} AS DECIMAL(19,9)) * {nano}"
-    last = f"CAST(CAST({third} * {nano} AS DECIMAL(19,9)) * {nano} AS DECIMAL(19,18)) * 0.00000001BD"
-    fine = (
-        f"CAST({first} * {nano} AS DECIMAL(36,26)) + CAST({tenth} AS DECIMAL(36,26))"
-        f" + CAST({last} AS DECIMAL(36,26))"
-    )
     lost = (
         f"abs({x}) >= 1e36D"
         f" OR (abs({x}) < 1e-9D AND CAST(CAST({x} AS DECIMAL(38,26)) AS DOUBLE) <> {x})"
     )
+    sums = {
+        "high": f"shiftright({grid}, 20)",
+        "low": f"({grid}) & {_LOW - 1}",
+        "up": f"shiftright({whole}, {_HALF})",
+        "down": f"({whole}) & {2**_HALF - 1}",
+        "top": off(f"{above} div 1000000000", huge),
+        "next": off(f"{above} % 1000000000", huge),
+        "first": off(f"CAST({one} AS BIGINT)", has_fraction),
+        "second": off(f"CAST({two} AS BIGINT)", has_fraction),
+        "third": off(f"CAST({three} AS BIGINT)", has_fraction),
+    }
+    fields = ", ".join(f"'{name}', coalesce(sum({value}), 0L)" for name, value in sums.items())
     return F.expr(
-        f"CASE WHEN count({x}) > 0 THEN named_struct("
-        f"'base', CAST({base} AS DECIMAL(38,10)), 'fine', CAST({fine} AS DECIMAL(38,26)),"
-        f"'big', coalesce({big}, CAST(0 AS DECIMAL(38,0))),"
-        f"'outside', count_if({lost}) + CASE WHEN {big} IS NULL THEN 1L ELSE 0L END,"
-        f"'rough', sum({x})) END"
+        f"CASE WHEN count({x}) > 0 THEN named_struct({fields},"
+        f" 'outside', count_if({lost}), 'rough', sum({x})) END"
     )
 
 
-def _kind(name: str) -> str:
-    return {"base": "decimal(38,10)", "fine": "decimal(38,26)", "big": "decimal(38,0)"}[name]
-
-
 def add_up(total: Column, where: Column) -> Column:
     """Aggregate: the sum of the sums for which ``where`` holds, zero if there are none."""
     chosen = F.when(where, total)
-    parts = {}
-    overflow = F.lit(0).cast("long")
-    for name in ("base", "fine", "big"):
-        summed = F.try_sum(chosen[name]).try_cast(_kind(name))
-        parts[name] = F.coalesce(summed, F.lit(0).cast(_kind(name)))
-        overflow += F.when((F.count(chosen[name]) > 0) & summed.isNull(), 1).otherwise(0)
     return F.struct(
-        *[value.alias(name) for name, value in parts.items()],
-        (F.coalesce(F.sum(chosen["outside"]), F.lit(0)) + overflow).alias("outside"),
+        *[F.coalesce(F.sum(chosen[name]), F.lit(0)).alias(name) for name in _PARTS],
+        F.coalesce(F.sum(chosen["outside"]), F.lit(0)).alias("outside"),
         F.coalesce(F.sum(chosen["rough"]), F.lit(0.0)).alias("rough"),
     )
 
 
 def minus(a: Column, b: Column) -> Column:
     """Difference of two sums; NULL if one is."""
-    parts = {
-        name: F.try_subtract(a[name], b[name]).try_cast(_kind(name))
-        for name in ("base", "fine", "big")
-    }
-    lost = parts["base"].isNull() | parts["fine"].isNull() | parts["big"].isNull()
     return F.when(
         a.isNotNull() & b.isNotNull(),
         F.struct(
-            *[value.alias(name) for name, value in parts.items()],
-            (a["outside"] + b["outside"] + F.when(lost, 1).otherwise(0)).alias("outside"),
+            *[(a[name] - b[name]).alias(name) for name in _PARTS],
+            (a["outside"] + b["outside"]).alias("outside"),
             (a["rough"] - b["rough"]).alias("rough"),
         ),
     )
 
 
+def _number(part: Column) -> Column:
+    return part.cast("decimal(19,0)")
+
+
+def base_of(total: Column) -> Column:
+    """What the values with at most four decimals add up to."""
+    whole = _number(total["high"]) * F.lit(_LOW).cast("decimal(10,0)") + _number(total["low"])
+    return (whole * F.expr("0.0001BD")).cast("decimal(38,10)")
+
+
+def whole_of(total: Column) -> Column:
+    """The whole parts of the other values; NULL beyond 38 digits."""
+    below = _number(total["up"]) * F.lit(2**_HALF).cast("decimal(10,0)") + _number(total["down"])
+    nine = F.lit(10**9).cast("decimal(10,0)")
+    above = (_number(total["top"]) * nine + _number(total["next"])).cast("decimal(30,0)")
+    scale = F.expr("CAST(1000000000000000000BD AS DECIMAL(19,0))")
+    above = F.try_multiply(above, scale).try_cast("decimal(37,0)")
+    return F.try_add(below.cast("decimal(37,0)"), above).try_cast("decimal(38,0)")
+
+
+def fraction_of(total: Column) -> Column:
+    """Their fractions."""
+    nano, kind = F.expr("0.000000001BD"), "decimal(36,26)"
+    first = (_number(total["first"]) * nano).cast(kind)
+    second = ((_number(total["second"]) * nano).cast("decimal(19,9)") * nano).cast(kind)
+    third = (_number(total["third"]) * nano).cast("decimal(19,9)") * nano
+    third = (third.cast("decimal(19,18)") * F.expr("0.00000001BD")).cast(kind)
+    return (first + second + third).cast("decimal(38,26)")
+
+
 def _sticky(total: Column) -> Column:
     """The sum with an eleventh decimal that only says whether more follows.
 
     Enough to round once to ten places or fewer. NULL from 10**26 on.
     """
-    down = F.floor(total["fine"], F.lit(10)).cast("decimal(20,10)")
-    more = F.when(total["fine"] > down, F.expr("0.00000000001BD")).otherwise(
-        F.expr("0.00000000000BD")
-    )
-    base, big = total["base"].try_cast(_TOTAL), total["big"].try_cast(_TOTAL)
-    whole = F.try_add(F.try_add(base, big), down).try_cast(_TOTAL)
-    return F.try_add(whole.cast(_STICKY), more).try_cast(_STICKY)
+    fine = fraction_of(total)
+    down = F.floor(fine, F.lit(10)).cast("decimal(20,10)")
+    more = F.when(fine > down, F.expr("0.00000000001BD")).otherwise(F.expr("0.00000000000BD"))
+    base, whole = base_of(total).try_cast(_TOTAL), whole_of(total).try_cast(_TOTAL)
+    exact = F.try_add(F.try_add(base, whole), down).try_cast(_TOTAL)
+    return F.try_add(exact.cast(_STICKY), more).try_cast(_STICKY)
+
+
+def _coarse(total: Column) -> Column:
+    return F.try_add(whole_of(total), base_of(total).try_cast("decimal(38,0)")).cast("double")
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with the value computed once and named within a lambda.
+
+    Publishing is done once per group; kept out of the generated code of the
+    aggregate, its many decimal steps do not make that too long to compile.
+    """
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def _published(total: Column, fine: Column, coarse: Column, rough: Column) -> Column:
@@ -163,38 +176,45 @@ def settle(total: Column, places: int) -> Column:
 
     From 10**26 on the fraction is dropped: a double has no digits for it.
     """
-    coarse = F.try_add(total["big"], total["base"].try_cast("decimal(38,0)")).cast("double")
-    return _published(
-        total, F.round(_sticky(total), places), coarse, F.round(total["rough"], places)
-    )
 
+    def one(t: Column) -> Column:
+        return _published(t, F.round(_sticky(t), places), _coarse(t), F.round(t["rough"], places))
 
-def mean_of(total: Column, n: Column, places: int) -> Column:
-    """The mean rounded half-up once, to at most four places; NULL if there are no values.
+    return _let(total, one)
+
+
+def _rounded(value: Column, n: Column, places: int) -> Column:
+    """``value / n``, half up.
 
     Spark's quotient has eleven decimals, rounded. If those end in a tie, the
     product with ``n`` tells in whole numbers whether the true mean lies below it.
     """
-    value = _sticky(total)
     size = F.abs(value)
     quotient = F.try_divide(size, n.cast("decimal(19,0)")).try_cast("decimal(36,11)")
-    short = F.round(quotient, 5)
-    scaled = F.try_multiply(short.try_cast("decimal(30,5)"), F.lit(100_000)).try_cast("decimal(31,0)")
-    product = F.try_multiply(scaled.try_cast("decimal(19,0)"), n.cast("decimal(19,0)"))
-    exact = F.try_multiply(size, F.lit(100_000)).try_cast("decimal(38,6)")
-    below = (short == quotient) & (product > exact)
-    nudged = F.when(
-        F.coalesce(below, F.lit(False)), quotient - F.expr("0.00000000001BD")
-    ).otherwise(quotient)
-    rounded = F.round(nudged, places)
-    signed = F.when(value < 0, -rounded).otherwise(rounded)
-    coarse = F.try_divide(
-        F.try_add(total["big"], total["base"].try_cast("decimal(38,0)")).cast("double"), n
-    )
-    return F.when(
-        n > 0,
-        _published(total, signed, coarse, F.round(F.try_divide(total["rough"], n), places)),
-    )
+
+    def decide(q: Column) -> Column:
+        short = F.round(q, 5)
+        scaled = F.try_multiply(short.try_cast("decimal(30,5)"), F.lit(100_000))
+        product = F.try_multiply(scaled.try_cast("decimal(19,0)"), n.cast("decimal(19,0)"))
+        exact = F.try_multiply(size, F.lit(100_000)).try_cast("decimal(38,6)")
+        below = F.coalesce((short == q) & (product > exact), F.lit(False))
+        nudged = F.when(below, q - F.expr("0.00000000001BD")).otherwise(q)
+        return F.round(nudged, places)
+
+    rounded = _let(quotient, decide)
+    return F.when(value < 0, -rounded).otherwise(rounded)
+
+
+def mean_of(total: Column, n: Column, places: int) -> Column:
+    """The mean rounded half-up once, to at most four places; NULL if there are no values."""
+
+    def one(s: Column) -> Column:
+        t, count = s["t"], s["n"]
+        exact = _let(_sticky(t), lambda value: _rounded(value, count, places))
+        rough = F.round(F.try_divide(t["rough"], count), places)
+        return F.when(count > 0, _published(t, exact, F.try_divide(_coarse(t), count), rough))
+
+    return _let(F.struct(total.alias("t"), n.alias("n")), one)
 
 
 def exact_mean(column: str, places: int) -> Column:

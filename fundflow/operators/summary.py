@@ -40,9 +40,11 @@ def nav_by_date(nav: DataFrame) -> DataFrame:
 
 def txn_by_date_type(txn: DataFrame) -> DataFrame:
     """Number and total amount of transactions per day and type."""
-    return txn.groupBy("ingestion_date", "transaction_type").agg(
-        F.count("*").alias("count"),
-        settle(exact_sum("amount"), 2).alias("total_amount"),
+    sums = txn.groupBy("ingestion_date", "transaction_type").agg(
+        F.count("*").alias("count"), exact_sum("amount").alias("total")
+    )
+    return sums.select(
+        "ingestion_date", "transaction_type", "count", settle(F.col("total"), 2).alias("total_amount")
     )
 
 
