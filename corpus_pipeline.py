@@ -41,7 +41,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its tokens, their number, and the text they decode to."""
-    return bpe.coded_columns(docs.select("doc_id", "text"), word_tokenizer()).drop("text")
+    return bpe.coded_columns(docs.select("doc_id", "text"), word_tokenizer(), keep=False)
 
 
 STAGES: list[tuple[str, Stage]] = [

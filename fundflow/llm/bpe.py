@@ -54,10 +54,10 @@ _SPLIT = regex.compile(rf"[{_SPACE}]+")
 # Blank for str.split but not for the tokenizer.
 _CONTROLS = regex.compile("[\x1c-\x1f]")
 #: Words kept in the table of one worker, and the longest of them.
-WORD_TABLE = 150_000
+WORD_TABLE = 60_000
 WORD_LENGTH = 48
 #: Answers of the automaton kept in its table.
-ARC_TABLE = 300_000
+ARC_TABLE = 150_000
 
 
 def byte_letters() -> list[str]:
@@ -315,26 +315,31 @@ def load(path: str) -> Tokenizer:
         return Tokenizer(file.read())
 
 
-def _added(frame: DataFrame, tokenizer: Tokenizer, text: str, fields: list, make) -> DataFrame:
+def _added(
+    frame: DataFrame, tokenizer: Tokenizer, text: str, fields: list, make, keep: bool = True
+) -> DataFrame:
     """The frame with columns that ``make(tokenizer, text)`` gives, one tuple per row.
 
+    Without ``keep`` the text itself does not come back.
+
     The automaton goes out as a broadcast; its size is that of the tokenizer
     file (some MB) and does not depend on the data.
     """
     sent = frame.sparkSession.sparkContext.broadcast(tokenizer)
-    schema = T.StructType(frame.schema.fields + fields)
-    types = [to_arrow_type(f.dataType) for f in fields]
     at = frame.columns.index(text)
+    kept = [k for k in range(len(frame.columns)) if keep or k != at]
+    schema = T.StructType([frame.schema.fields[k] for k in kept] + fields)
+    types = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = sent.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for lo in range(0, batch.num_rows, 100):
+                part = batch.slice(lo, 100)
                 rows = [make(tok, x) for x in part.column(at).to_pylist()]
                 new = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, *new], [*part.schema.names, *[f.name for f in fields]]
+                    [*[part.column(k) for k in kept], *new], schema.names
                 )
 
     return map_batches(frame, run, schema)
@@ -364,7 +369,9 @@ def decode_column(
     return _added(frame, tokenizer, tokens, fields, lambda tok, ids: (tok.decode(ids or ()),))
 
 
-def coded_columns(frame: DataFrame, tokenizer: Tokenizer, text: str = "text") -> DataFrame:
+def coded_columns(
+    frame: DataFrame, tokenizer: Tokenizer, text: str = "text", keep: bool = True
+) -> DataFrame:
     """``encode_column`` and ``decode_column`` in one pass, so that a task needs one worker."""
     fields = [
         T.StructField(free_name(frame, "tokens"), T.ArrayType(T.IntegerType())),
@@ -376,10 +383,12 @@ def coded_columns(frame: DataFrame, tokenizer: Tokenizer, text: str = "text") ->
         ids = tok.encode(x)
         return ids, len(ids), tok.decode(ids)
 
-    return _added(frame, tokenizer, text, fields, make)
+    return _added(frame, tokenizer, text, fields, make, keep)
 
 
-def round_trip_digests(frame: DataFrame, tokenizer: Tokenizer, text: str = "text") -> DataFrame:
+def round_trip_digests(
+    frame: DataFrame, tokenizer: Tokenizer, text: str = "text", keep: bool = True
+) -> DataFrame:
     """Encode, decode, and add the number of tokens and digests of ids and decoded text.
 
     The same as ``encode_column``, ``decode_column`` and hashing, without
@@ -399,4 +408,4 @@ def round_trip_digests(frame: DataFrame, tokenizer: Tokenizer, text: str = "text
             hashlib.sha256(tok.decode(ids).encode("utf-8")).hexdigest(),
         )
 
-    return _added(frame, tokenizer, text, fields, make)
+    return _added(frame, tokenizer, text, fields, make, keep)

@@ -36,10 +36,24 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+#: Rows that Python turns into objects at a time.
+BATCH_ROWS = 400
+
+
 def map_batches(frame: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` with this library at hand on the executors."""
+    """``mapInArrow`` with this library at hand on the executors.
+
+    Batches come in slices of ``BATCH_ROWS``, so that a worker holds few texts
+    as Python objects whatever the session's batch size.
+    """
     ship(frame.sparkSession)
-    return frame.mapInArrow(run, schema)
+
+    def sliced(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, BATCH_ROWS):
+                yield batch.slice(lo, BATCH_ROWS)
+
+    return frame.mapInArrow(lambda batches: run(sliced(batches)), schema)
 
 
 def free_name(frame: DataFrame, base: str) -> str:

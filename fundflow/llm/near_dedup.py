@@ -45,7 +45,7 @@ BANDS, ROWS = 40, 6
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Texts whose components are computed together; their number fits 14 bits.
-_TOGETHER = 1_000
+_TOGETHER = 400
 _HASH_BITS = 50
 #: Texts of a bucket that are compared with one another in one block.
 BLOCK = 1_000

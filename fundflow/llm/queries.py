@@ -56,7 +56,7 @@ def word_tokenizer() -> bpe.Tokenizer:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded; digests of both."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.round_trip_digests(docs, word_tokenizer()).drop("text")
+    return bpe.round_trip_digests(docs, word_tokenizer(), keep=False)
 
 
 TOXIC_AT = 0.3

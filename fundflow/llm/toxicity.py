@@ -170,7 +170,7 @@ def _count(rows: DataFrame, make: Callable[[str], set[str]]) -> DataFrame:
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 counts[label].update(make(fold(text)))
-                if len(counts[0]) + len(counts[1]) > 200_000:
+                if len(counts[0]) + len(counts[1]) > 60_000:
                     yield out()
         yield out()
 
