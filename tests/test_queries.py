@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import importlib
 import re
+import sys
 from pathlib import Path
 
 import pytest
@@ -36,6 +37,19 @@ def test_entry_points(spark):
     assert frame.columns[-1] == "rank" and frame.count() > 0
 
 
+def test_entry_works_without_the_training_part(monkeypatch):
+    gone = ("fundflow.llm", "corpus_pipeline", "__spark_entry__")
+    for name in [m for m in sys.modules if m.startswith(gone)]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "fundflow.llm", None)
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    entry = importlib.import_module("__spark_entry__")
+    try:
+        assert set(entry.queries()) == set(REGISTRY) == set(entry.oracle_sql())
+    finally:
+        sys.modules.pop("__spark_entry__")
+
+
 @pytest.mark.parametrize("name", ["silver_nav", "silver_txn", "silver_nav_not_null"])
 def test_messages_are_parsed_once(spark, name):
     assert plan_text(REGISTRY[name](spark, SMALL)).count("from_json(") == 1
