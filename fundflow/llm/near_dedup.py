@@ -255,7 +255,7 @@ def _linker(similarity: float, bands: int, rows: int):
             first = same.reshape(len(rest), bands, rows).all(axis=2).argmax(axis=1)
             rest, agree = rest[first == band], agree[first == band]
             for y in rest[np.argsort(-agree, kind="stable")].tolist():
-                if root[y] != root[x] and _jaccard(*of(x), *of(y)) >= similarity:
+                if root[y] != root[x] and _jaccard(*of(x), *of(y)) >= similarity - 1e-9:
                     out.append((int(ids[x]), int(ids[y])))
                     root[root == root[y]] = root[x]
         columns = list(zip(*out)) or [[], []]
@@ -363,7 +363,7 @@ def classes(
     # 2. Each with the smallest of its bucket.
     pairs = inside.select(F.col("star").alias("a"), F.col("row").alias("b")).distinct()
     sims = written(similarities(pairs, words), "similarities")
-    links = sims.filter(F.col("sim") >= similarity)
+    links = sims.filter(F.col("sim") >= similarity - 1e-9)
     parts = connected(links)
 
     # 3. Different components in one bucket, in blocks.
