@@ -6,6 +6,7 @@ from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fundflow.llm import near_dedup
@@ -129,3 +130,36 @@ def test_long_chain_is_one_component(spark):
     links = spark.createDataFrame(rows, "a long, b long")
     got = {r["row"]: r["label"] for r in near_dedup.connected(links).collect()}
     assert got == {k: 0 for k in range(21)} | {100: 100, 101: 100}
+
+
+def test_a_chance_agreement_in_an_earlier_band_loses_no_pair():
+    """Short components that agree before the first common bucket; the pair has no other link."""
+    bands, rows, n = near_dedup.BANDS, near_dedup.ROWS, 60
+    rng = np.random.default_rng(5)
+    link = near_dedup._linker(near_dedup.SIMILARITY, bands, rows)
+    planted = 0
+    while planted < 3:
+        words = rng.integers(0, 10**6, (400, n)).astype(np.int32)
+        words[1::2] = words[::2]
+        words[1::2, n - 5] += 1
+        offsets = np.arange(0, words.size + 1, n)
+        keys, won = near_dedup.band_keys(words.ravel(), offsets, bands, rows)
+        short = near_dedup._mix(won).astype(np.uint8)
+        for a in range(0, 400, 2):
+            shared = np.flatnonzero(keys[a] == keys[a + 1])
+            by_chance = (short[a] == short[a + 1]).reshape(bands, rows).all(axis=1)
+            if not len(shared) or by_chance.argmax() == shared[0]:
+                continue
+            planted += 1
+            assert near_dedup.probability_jaccard(words[a], words[a + 1]) >= near_dedup.SIMILARITY
+            found = []
+            for band in shared.tolist():
+                block = pa.table({
+                    "row": [7, 8], "chunk": [0, 0], "i": [0, 0], "j": [0, 0], "sim": [0.5, 0.5],
+                    "band": [band] * 2, "bucket": [int(keys[a, band])] * 2, "label": [7, 8],
+                    "short": [short[a + k].tobytes() for k in (0, 1)],
+                    "bands": [keys[a + k].tolist() for k in (0, 1)],
+                    "words": pa.array([words[a + k].tolist() for k in (0, 1)], pa.list_(pa.int32())),
+                })
+                found += link(block).to_pylist()
+            assert found == [{"a": 7, "b": 8}]
