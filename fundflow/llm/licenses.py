@@ -14,7 +14,9 @@ are exact: a text with other words around a licence matches by its lines or not
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,27 +66,87 @@ DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN AC
 NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE."""
 
-# Public licence texts and the notices that name a licence.
-KNOWN: dict[str, tuple[str, ...]] = {
+# The notices that name a licence.
+NOTICES: dict[str, tuple[str, ...]] = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
         "file except in compliance with the License.",
-        "SPDX-License-Identifier: Apache-2.0",
     ),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.", "SPDX-License-Identifier: CC-BY-NC-4.0"),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "SPDX-License-Identifier: GPL-3.0",
-    ),
-    "ISC": (_ISC, f"ISC License {_ISC}", "SPDX-License-Identifier: ISC"),
+    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
+    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.",),
+    "ISC": (_ISC, f"ISC License {_ISC}", f"The ISC License {_ISC}"),
     "MIT": (
         _MIT,
         f"MIT License {_MIT}",
+        f"The MIT License {_MIT}",
+        f"The MIT License (MIT) {_MIT}",
         "Released under the MIT License.",
-        "SPDX-License-Identifier: MIT",
     ),
 }
+_GNU = """This program is free software{sep} you can redistribute it and/or modify it under the terms
+of the GNU {kind}General Public License as published by the Free Software Foundation{either} version
+{version} of the License, or (at your option) any later version. This program is distributed in the
+hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind}General Public License for more
+details. You should have received a copy of the GNU {kind}General Public License along with this
+program. If not, see <https://www.gnu.org/licenses/>."""
+_BSD_NAMES = (
+    ("the University nor the names of its", "the copyright holder nor the names of its"),
+    ("THE REGENTS OR CONTRIBUTORS", "THE COPYRIGHT HOLDER OR CONTRIBUTORS"),
+    ("THE REGENTS AND CONTRIBUTORS", "THE COPYRIGHT HOLDERS AND CONTRIBUTORS"),
+)
+
+
+def _variants(name: str, text: str) -> list[str]:
+    """A licence file and the other forms in which it is given out whole."""
+    out = [text]
+    end = re.search(r"END OF TERMS AND CONDITIONS", text)
+    if end:  # without the appendix on how to apply it
+        out += [text[: end.start()], text[: end.end()]]
+    if name == "Apache-2.0":
+        out.append(text[text.index("Licensed under the Apache License") :])
+    elif name == "MPL-2.0":
+        header = text[text.index("This Source Code Form is subject") :]
+        out.append(header[: header.index("If it is not possible")])
+    elif name == "BSD-3-Clause":
+        for old, new in _BSD_NAMES:
+            text = text.replace(old, new)
+        holders = text.replace("HOLDER OR CONTRIBUTORS", "HOLDERS OR CONTRIBUTORS")
+        owner = text.replace("HOLDER OR CONTRIBUTORS", "OWNER OR CONTRIBUTORS")
+        out += [text, holders, owner]
+        out += [re.sub(r"(?m)^[123][.]", "*", t) for t in out]
+        out += [f"{title} {t}" for t in out for title in ("BSD 3-Clause License",)]
+    return out
+
+
+def _known() -> dict[str, tuple[str, ...]]:
+    """The licence files beside this module (read by the driver), headers, notices and SPDX tags."""
+    found = {name: list(texts) for name, texts in NOTICES.items()}
+    for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        text = file.read_text(encoding="utf-8")
+        found.setdefault(file.stem, []).extend(_variants(file.stem, text))
+    for text in list(found.get("BSD-3-Clause", [])):
+        two = re.sub(r"(?ms)^([3*][.]?) +Neither the name.*?permission[.]\s*", "", text)
+        two = two.replace("BSD 3-Clause", "BSD 2-Clause")
+        found.setdefault("BSD-2-Clause", []).append(two)
+    for name in [n for n in found if n.startswith(("GPL-", "LGPL-"))] + ["AGPL-3.0"]:
+        kind = {"L": "Lesser ", "A": "Affero ", "G": ""}[name[0]]
+        kind = "Library " if name == "LGPL-2.0" else kind
+        version = name.partition("-")[2].removesuffix(".0")
+        for sep, either in ((";", "; either"), (":", ", either")):
+            header = _GNU.format(kind=kind, version=version, sep=sep, either=either)
+            texts = found.setdefault(name, [])
+            texts += [header, header.replace("This program", "This library")
+                      .replace("this program", "this library")]
+        texts += [f"SPDX-License-Identifier: {name}-{suffix}" for suffix in ("only", "or-later")]
+    return {
+        name: tuple(dict.fromkeys([*texts, f"SPDX-License-Identifier: {name}"]))
+        for name, texts in sorted(found.items())
+    }
+
+
+KNOWN: dict[str, tuple[str, ...]] = _known()
 
 COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*"
 
@@ -103,10 +165,18 @@ def canonical_text(lines: Column) -> Column:
     return F.array_join(F.filter(lines, lambda x: x != ""), " ")
 
 
-def known_digests(spark: SparkSession, known: Mapping[str, Sequence[str]] = KNOWN) -> DataFrame:
-    """``license_id``, ``digest`` of the known texts."""
-    rows = [(name, text) for name, texts in known.items() for text in texts]
-    texts = spark.createDataFrame(rows, "license_id string, text string")
+def known_digests(
+    spark: SparkSession, known: Mapping[str, Sequence[str]] | DataFrame = KNOWN
+) -> DataFrame:
+    """``license_id``, ``digest`` of the known texts.
+
+    ``known`` may be a table of any size with ``license_id`` and ``text``.
+    """
+    if isinstance(known, DataFrame):
+        texts = known.select("license_id", "text")
+    else:
+        rows = [(name, text) for name, texts in known.items() for text in texts]
+        texts = spark.createDataFrame(rows, "license_id string, text string")
     whole = canonical_text(canonical_lines(F.col("text")))
     return texts.select("license_id", F.sha2(whole, 256).alias("digest")).distinct()
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 from fundflow.llm import licenses
 
 SCHEMA = "doc_id long, text string, line string, digest int, license_id long"
@@ -33,3 +35,23 @@ def test_equivalent_spellings_and_empty_table(spark):
     two = spark.createDataFrame([(1, "SAME", "", 0, 0)], SCHEMA)
     assert sorted(r["license_id"] for r in licenses.matches(two, known).collect()) == ["A", "B"]
     assert licenses.matches(spark.createDataFrame([], SCHEMA), known).count() == 0
+
+
+def test_entire_text_of_each_licence(spark):
+    folder = Path(licenses.__file__).parent / "license_texts"
+    texts = {f.stem: f.read_text(encoding="utf-8") for f in folder.glob("*.txt")}
+    assert len(texts) >= 17 and {"Apache-2.0", "GPL-3.0", "MPL-2.0", "BSD-3-Clause"} <= set(texts)
+    two = licenses.KNOWN["BSD-2-Clause"][0]
+    assert "Neither the name" not in two and "2. Redistributions" in two and "AS IS" in two
+    texts |= {"BSD-2-Clause": two, "MIT": licenses._MIT, "ISC": licenses._ISC}
+    names = sorted(texts)
+    frame = spark.createDataFrame(
+        [(k, texts[n].replace(" ", "  "), "l", 1, 2) for k, n in enumerate(names)], SCHEMA
+    )
+    known = licenses.known_digests(spark)
+    got = licenses.matches(frame, known).filter("line = 0").collect()
+    assert sorted((names[r["doc_id"]], r["license_id"]) for r in got) == [(n, n) for n in names]
+    table = spark.createDataFrame([("Own-1", "one own text")], "license_id string, text string")
+    own = licenses.matches(spark.createDataFrame([(1, "One own TEXT", "", 0, 0)], SCHEMA),
+                           licenses.known_digests(spark, table))
+    assert [r["license_id"] for r in own.collect()] == ["Own-1"]
