@@ -1,7 +1,7 @@
 """Licence scans by canonical digests.
 
-A text is brought to a canonical form: lower case, copyright lines taken out,
-every run of other than letters and digits one blank, equivalent spellings made
+A text is brought to a canonical form: lower case, copyright statements taken
+out (not lines of a licence that happen to begin with the word or with "(c)"), every run of other than letters and digits one blank, equivalent spellings made
 one. The SHA-256 digests of the whole canonical text and of each of its lines
 are hash-joined with those of known licence texts and notices.
 
@@ -148,13 +148,24 @@ def _known() -> dict[str, tuple[str, ...]]:
 
 KNOWN: dict[str, tuple[str, ...]] = _known()
 
-COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*"
+_YEAR = r"([0-9]{4}|y{4}|year\b)"
+#: A line that begins with copyright, (c) or the sign, and a year, "by" or another sign.
+COPYRIGHT_LINE = (
+    r"(?i)(^|\n)[^\p{L}\p{N}\n]*(©|(\(c\)[^\p{L}\p{N}\n]*)?copyright[^\p{L}\p{N}\n]*"
+    rf"(©|\(c\)|by\b|{_YEAR})|\(c\)[^\p{{L}}\p{{N}}\n]*(©|{_YEAR}))[^\n]*"
+)
+#: A paragraph that is one short line of copyright or (c) and a name.
+COPYRIGHT_NAME = (
+    r"(^|\n[^\p{L}\p{N}\n]*\n)[^\p{L}\p{N}\n]*([Cc]opyright|COPYRIGHT|\([Cc]\))[ \t]+([Tt]he[ \t]+)?"
+    r"\p{Lu}[^\n]{0,60}(?=\n[^\p{L}\p{N}\n]*(\n|$)|$)"
+)
 
 
 def canonical_lines(text: Column) -> Column:
     """The canonical form of each line of a text."""
-    flat = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, "$1")
-    flat = F.regexp_replace(flat, r"[^\p{L}\p{N}\n]+", " ")
+    flat = F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, "$1")
+    flat = F.regexp_replace(flat, COPYRIGHT_NAME, "$1")
+    flat = F.regexp_replace(F.lower(flat), r"[^\p{L}\p{N}\n]+", " ")
     flat = F.concat(F.lit(" "), F.replace(flat, F.lit("\n"), F.lit(" \n ")), F.lit(" "))
     for other, one in SPELLINGS:
         flat = F.replace(flat, F.lit(f" {other} "), F.lit(f" {one} "))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import textwrap
 from pathlib import Path
 
 from fundflow.llm import licenses
@@ -55,3 +56,22 @@ def test_entire_text_of_each_licence(spark):
     own = licenses.matches(spark.createDataFrame([(1, "One own TEXT", "", 0, 0)], SCHEMA),
                            licenses.known_digests(spark, table))
     assert [r["license_id"] for r in own.collect()] == ["Own-1"]
+
+
+def test_line_breaks_and_list_items_lose_no_words(spark):
+    own = "Terms. (a) one thing; (b) the other thing, and (c) you must keep this list of conditions."
+    texts = {"MIT": licenses._MIT, "ISC": licenses._ISC, "Own": own}
+    heads = ["", "Copyright (c) 2020 Some Body\n(C) 1999-2001 by X\n\n", "Copyright Some, Inc.\n\n",
+             "(c) Acme Corp\n\n", "Copyright [yyyy] [name]\n© Y\n"]
+    cases = []
+    for name, text in texts.items():
+        for width in range(40, 101):
+            wrapped = "\n".join(textwrap.wrap(text, width))
+            cases.append((name, heads[width % len(heads)] + wrapped))
+            cases.append((name, textwrap.indent(wrapped, "# ")))
+    cases.append(("Own", own.replace("(c)", "\n(c)").replace("must", "must\n")))
+    frame = spark.createDataFrame([(k, t, "", 0, 0) for k, (_, t) in enumerate(cases)], SCHEMA)
+    known = licenses.known_digests(spark, {n: [t] for n, t in texts.items()})
+    got = licenses.matches(frame, known).filter("line = 0").collect()
+    have = {(r["doc_id"], r["license_id"]) for r in got}
+    assert have == {(k, n) for k, (n, _) in enumerate(cases)}
