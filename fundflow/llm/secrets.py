@@ -8,8 +8,8 @@ what labelled findings say about its path and the words before and after it. A
 random forest trained on the labelled findings gives the score.
 
 All of it is DataFrame functions and Spark's own forest; no Python runs on the
-executors. What is counted over the corpus is merged map-side; the tables that
-are joined with the candidates have a documented bound.
+executors. What is counted over the corpus is merged map-side; its dictionary has
+every word seen twice or more, the evidence of labels a documented bound.
 
 Defined results: a NULL text has no candidates, a NULL path is an empty one;
 without labelled findings every score is 0, with one kind of label every score
@@ -78,23 +78,20 @@ def candidates(
 
 @dataclass(frozen=True)
 class Corpus:
-    """What the corpus says about words; both frames are bounded."""
+    """What the corpus says about words."""
 
-    dictionary: DataFrame  # fragment: at most max_words rows
+    dictionary: DataFrame  # fragment: grows with the corpus; never broadcast by hint
     transitions: dict[str, float]  # two characters: log probability of the second after the first
 
     @classmethod
-    def learn(cls, docs: DataFrame, text: str = "text", max_words: int = 20_000) -> Corpus:
-        """Counts over all words of all documents."""
+    def learn(cls, docs: DataFrame, text: str = "text", min_count: int = 2) -> Corpus:
+        """Counts over all words of all documents; a word seen ``min_count`` times is in the dictionary."""
         (body,) = plain(docs, [text])
         words = docs.select(F.explode(words_of(body)).alias("w"))
         counts = written(words.groupBy("w").agg(F.count("*").alias("n")), "word-counts")
-        top = (
-            counts.filter((F.length("w") >= 3) & F.col("w").rlike(r"^\p{L}+$"))
-            .orderBy(F.desc("n"), "w")
-            .limit(max_words)
-            .select(F.col("w").alias("fragment"))
-        )
+        usual = counts.filter(
+            (F.length("w") >= 3) & F.col("w").rlike(r"^\p{L}+$") & (F.col("n") >= min_count)
+        ).select(F.col("w").alias("fragment"))
         folded = F.regexp_replace("w", "[^a-z0-9]", "")
         pairs = counts.select(folded.alias("w"), "n").filter(F.length("w") >= 2).select(
             "n", F.explode(F.sequence(F.lit(1), F.length("w") - 1)).alias("k"), "w"
@@ -107,7 +104,7 @@ class Corpus:
         for pair, n in seen.items():
             first[pair[0]] = first.get(pair[0], 0) + n
         return cls(
-            written(top, "dictionary"),
+            usual,
             {
                 a + b: (seen.get(a + b, 0) + 1) / (first.get(a, 0) + len(_ALPHABET))
                 for a in _ALPHABET
@@ -175,9 +172,10 @@ def described(found: DataFrame, corpus: Corpus) -> DataFrame:
         words_of(near).alias("near"),
         F.regexp_extract_all(F.lower("path"), F.lit(r"[\p{L}]+|[0-9]+"), F.lit(0)).alias("path_words"),
     )
+    pieces = rows.select("row", F.explode("fragments").alias("fragment"))
+    usual = corpus.dictionary.join(pieces.select("fragment").distinct(), "fragment", "left_semi")
     covered = (
-        rows.select("row", F.explode("fragments").alias("fragment"))
-        .join(corpus.dictionary, "fragment")
+        pieces.join(usual, "fragment")
         .groupBy("row")
         .agg(F.sum(F.length("fragment")).alias("covered"))
     )

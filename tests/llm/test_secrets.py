@@ -62,3 +62,19 @@ def test_candidates_and_edges(spark):
     empty = spark.createDataFrame([], SCHEMA)
     none = secrets.described(secrets.candidates(empty), secrets.Corpus.learn(empty))
     assert nobody.score(none).count() == 0
+
+
+def test_dictionary_keeps_rare_words_of_a_large_corpus(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c + "q" for a in letters for b in letters for c in letters]
+    words += [w + "r" for w in words]
+    text = " ".join(words * 2) + " " + " ".join(words[:30_000])
+    rare = words[-1]
+    frame = spark.createDataFrame(
+        [(1, text, "p", 0, ""), (2, f"{rare}/{rare}/{rare}/9 onceonly", "p", 0, "")], SCHEMA
+    )
+    corpus = secrets.Corpus.learn(frame)
+    kept = corpus.dictionary.collect()
+    assert {r["fragment"] for r in kept} == set(words) and len(kept) == len(words)
+    (found,) = secrets.described(secrets.candidates(frame), corpus).collect()
+    assert found["coverage"] == 15 / 19
