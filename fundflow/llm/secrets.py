@@ -14,8 +14,9 @@ every word seen twice or more, the evidence of labels a documented bound.
 Defined results: a NULL text has no candidates, a NULL path is an empty one;
 without labelled findings every score is 0, with one kind of label every score
 is that label; repeated rows are repeated candidates; an empty table gives no
-rows; extra columns are ignored. Labelled findings are sampled to ``max_rows``
-by a hash, so the forest does not depend on partitioning.
+rows; extra columns are ignored. Each label's findings are sampled to half of
+``max_rows`` by a hash, so the forest does not depend on partitioning; weights
+restore how often each label is.
 """
 
 from __future__ import annotations
@@ -114,17 +115,40 @@ class Corpus:
 
 
 def _evidence(labelled: DataFrame, tokens: str, name: str, max_tokens: int) -> DataFrame:
-    """Log odds of a secret for each token of labelled findings, the most frequent ``max_tokens``."""
-    each = labelled.select("label", F.explode(F.array_distinct(tokens)).alias("token"))
+    """Log odds of a secret for each token of labelled findings.
+
+    The ``max_tokens`` most frequent in the sample; the odds are those of all
+    labelled findings, by the weights.
+    """
+    each = labelled.select("label", "weight", F.explode(F.array_distinct(tokens)).alias("token"))
+    a, b = (F.sum(F.when(F.col("label") == k, 1).otherwise(0)) for k in (1, 0))
+    wa, wb = (F.max(F.when(F.col("label") == k, F.col("weight"))) for k in (1, 0))
     return (
         each.groupBy("token")
-        .agg(F.sum("label").alias("a"), F.count("*").alias("n"))
+        .agg(a.alias("a"), b.alias("b"), wa.alias("wa"), wb.alias("wb"), F.count("*").alias("n"))
         .orderBy(F.desc("n"), "token")
         .limit(max_tokens)
-        .select("token", F.log((F.col("a") + 1) / (F.col("n") - F.col("a") + 1)).alias(name))
+        .select("token", F.log((F.col("a") * F.coalesce("wa", F.lit(1.0)) + 1)
+                               / (F.col("b") * F.coalesce("wb", F.lit(1.0)) + 1)).alias(name))
     )
 
 
+def _sampled(labelled: DataFrame, max_rows: int) -> DataFrame:
+    """Half of ``max_rows`` findings of each label, those with the smallest hash, and their ``weight``."""
+    labelled = labelled.filter(F.col("label").isin(0, 1))
+    total = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    half = max(1, max_rows // 2)
+    place = ["candidate", "id", "word", "part"]
+    each = [
+        labelled.filter(F.col("label") == k)
+        .orderBy(F.xxhash64(*place), *place)
+        .limit(half)
+        .withColumn("weight", F.lit(max(1.0, total.get(k, 0) / half)))
+        for k in (0, 1)
+    ]
+    return each[0].unionByName(each[1])
+
+
 def _mean_of(rows: DataFrame, tokens: str, table: DataFrame, name: str) -> DataFrame:
     """Add the mean of a table's values over the tokens of a row, 0 where it has none."""
     each = rows.select("row", F.explode(F.array_distinct(tokens)).alias("token"))
@@ -204,12 +228,7 @@ class Scanner:
         seed: int = 7,
     ) -> Scanner:
         """``labelled``: described candidates with ``label`` 1 for a secret, 0 for a false positive."""
-        sample = (
-            labelled.filter(F.col("label").isin(0, 1))
-            .orderBy(F.xxhash64("candidate", "id", "word", "part"), "candidate", "id", "word", "part")
-            .limit(max_rows)
-        )
-        sample = written(sample, "labelled")
+        sample = written(_sampled(labelled, max_rows), "labelled")
         paths = written(_evidence(sample, "path_words", "path_evidence", max_tokens), "paths")
         near = written(_evidence(sample, "near", "near_evidence", max_tokens), "near")
         kinds = {r["label"] for r in sample.select("label").distinct().collect()}
@@ -218,12 +237,14 @@ class Scanner:
         known = _mean_of(_mean_of(sample, "path_words", paths, "path_evidence"), "near", near,
                          "near_evidence")
         vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(
-            known.select(F.col("label").cast("double").alias("label"), "row", *FEATURES)
+            known.select(F.col("label").cast("double").alias("label"), "weight", "row", *FEATURES)
         )
         # One ordered partition of at most max_rows rows: the bootstrap follows the order.
         vectors = vectors.repartition(1).sortWithinPartitions(*FEATURES, "label")
-        forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
-        return cls(forest.fit(vectors.select("label", "features")), paths, near)
+        forest = RandomForestClassifier(
+            numTrees=trees, maxDepth=depth, seed=seed, weightCol="weight"
+        )
+        return cls(forest.fit(vectors.select("label", "weight", "features")), paths, near)
 
     def score(self, rows: DataFrame) -> DataFrame:
         """Add ``score``, the forest's share of votes for a secret."""

@@ -78,3 +78,22 @@ def test_dictionary_keeps_rare_words_of_a_large_corpus(spark):
     assert {r["fragment"] for r in kept} == set(words) and len(kept) == len(words)
     (found,) = secrets.described(secrets.candidates(frame), corpus).collect()
     assert found["coverage"] == 15 / 19
+
+
+def test_few_secrets_among_many_labelled_candidates_are_learned(spark):
+    rng = random.Random(9)
+    rows = [
+        (k, f'config api_key = "{hexes(rng)}" end' if k % 300 == 0 else f"see commit {hexes(rng)} end",
+         "src/app.py", 0, "")
+        for k in range(3_000)
+    ]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = secrets.described(secrets.candidates(frame), secrets.Corpus.learn(frame))
+    labelled = found.withColumn("label", (F.col("id") % 300 == 0).cast("int"))
+    weights = secrets._sampled(labelled, 40).groupBy("label").agg(
+        F.count("*").alias("n"), F.sum("weight").alias("w")
+    )
+    assert {(r["label"], r["n"], r["w"]) for r in weights.collect()} == {(0, 20, 2990), (1, 10, 10)}
+    scored = secrets.Scanner.train(labelled, max_rows=40).score(found)
+    got = {r["id"] for r in scored.filter("score >= 0.5").collect()}
+    assert got == set(range(0, 3_000, 300))
