@@ -1,7 +1,9 @@
 """Secret scans with a random forest that removes false positives.
 
 Candidates are runs of sixteen or more of ``[A-Za-z0-9+/_-]`` (and ``=`` after them) with a
-digit, or with both cases beyond the first letter. Each is described by its
+digit, or with both cases beyond the first letter; and, from six characters on, the whole
+value after the name of a credential and a colon or equals sign (all characters but blanks
+and quotes), and the password of a link. Each is described by its
 length and kinds of characters, the likelihood of its character transitions under
 those of all words of the corpus, its coverage by the corpus's dictionary, and
 what labelled findings say about its path and the words before and after it. A
@@ -35,6 +37,13 @@ CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 _MIXED = r"[0-9]|[A-Za-z].*[a-z].*[A-Z]|[A-Za-z].*[A-Z].*[a-z]"
 # Words that name a credential.
 KEYWORDS = r"(?i)(^|[^a-z])(key|token|secret|passw(or)?d|passwd|pwd|auth|bearer|credential|apikey)s?([^a-z]|$)"
+_NAME = r"(?i)(?:^|[^a-z])(?:key|token|secret|passw(?:or)?d|pwd|auth|bearer|credential|apikey)s?"
+_VALUE = r"(?<=\")[^\s\"]+(?=\")|(?<=')[^\s']+(?=')|(?<=`)[^\s`]+(?=`)|[^\s\"'`]*[^\s\"'`,;)}\]]"
+#: A value after a name of a credential, or (second group) the password of a link.
+ASSIGNED = (
+    _NAME + r"[\"'`\])]*\s*(?::=|=>|==?|:)\s*[\"'`]?(" + _VALUE + r")"
+    r"|://[^\s/:@]*:([^\s/@]+)@"
+)
 FEATURES = [
     "length", "digits", "upper", "symbols", "hex", "switches", "transition", "coverage",
     "quoted", "assigned", "keyword", "path_evidence", "near_evidence",
@@ -58,7 +67,8 @@ def candidates(
     )
     likely = F.filter(
         F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("w"))),
-        lambda x: (F.length(x["w"]) >= 16) & x["w"].rlike(CANDIDATE) & x["w"].rlike(_MIXED),
+        lambda x: ((F.length(x["w"]) >= 16) & x["w"].rlike(CANDIDATE) & x["w"].rlike(_MIXED))
+        | ((F.length(x["w"]) >= 6) & _assigned_at(x["at"], x["w"])),
     )
     found = split.select("id", "path", "words", F.explode(likely).alias("hit"))
     around = found.select(
@@ -70,11 +80,43 @@ def candidates(
                 F.least(F.col("hit.at"), F.lit(3))).alias("before"),
         F.slice("words", F.col("hit.at") + 2, 2).alias("after"),
     )
-    return (
-        around.select("*", F.posexplode(F.regexp_extract_all("whole", F.lit(CANDIDATE), F.lit(0)))
-                      .alias("part", "candidate"))
-        .filter(F.col("candidate").rlike(_MIXED))
+    around = around.select(
+        "*",
+        F.regexp_extract_all("whole", F.lit(CANDIDATE), F.lit(0)).alias("runs"),
+        _values(F.concat(F.array_join("before", " "), F.lit(" ")), F.col("whole")).alias("values"),
+    )
+    mixed = F.filter("runs", lambda c: c.rlike(_MIXED))
+    # Runs come first and keep their places; a value that is one of them is no second candidate.
+    parts = F.concat(
+        F.transform("runs", lambda c: F.struct(c.alias("c"), c.rlike(_MIXED).alias("ok"))),
+        F.transform(
+            F.filter("values", lambda c: (F.length(c) >= 6) & ~F.array_contains(mixed, c)),
+            lambda c: F.struct(c.alias("c"), F.lit(True).alias("ok")),
+        ),
     )
+    each = around.select("*", F.posexplode(parts).alias("part", "found")).filter("found.ok")
+    return each.select(
+        "id", "path", "word", "whole", "before", "after", "part", F.col("found.c").alias("candidate")
+    )
+
+
+def _assigned_at(at: Column, word: Column) -> Column:
+    """Whether a word may hold an assigned value: a sign stands in it or ends one of the two before."""
+    one, two = (F.coalesce(F.try_element_at("words", at + 1 - k), F.lit("")) for k in (1, 2))
+    one, two = F.when(at >= 1, one).otherwise(""), F.when(at >= 2, two).otherwise("")
+    sign = word.contains("=") | word.contains(":") | one.rlike("[=:]>?[\"'`]?$")
+    return sign & F.concat(two, F.lit(" "), one, F.lit(" "), word).rlike(ASSIGNED)
+
+
+def _values(before: Column, whole: Column) -> Column:
+    """The assigned values that end in ``whole``, the word after ``before``."""
+    def found(text: Column) -> Column:
+        a, b = (F.regexp_extract_all(text, F.lit(ASSIGNED), F.lit(k)) for k in (1, 2))
+        return F.zip_with(a, b, lambda x, y: F.concat(x, y))
+
+    # No value has a blank in it, so those that end in ``before`` come first.
+    both = found(F.concat(before, whole))
+    return F.slice(both, F.size(found(before)) + 1, F.size(both) + 1)
 
 
 @dataclass(frozen=True)
@@ -163,7 +205,7 @@ def described(found: DataFrame, corpus: Corpus) -> DataFrame:
     kinds = F.regexp_replace(
         F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[a-z]+", "l"), "[A-Z]+", "u"),
                          "[0-9]+", "d"),
-        r"[+/_=\-]+", "s",
+        "[^A-Za-z0-9]+", "s",
     )
     # Transitions that never occur are the absence of a pair in this map.
     odds = F.map_from_arrays(
@@ -178,13 +220,16 @@ def described(found: DataFrame, corpus: Corpus) -> DataFrame:
     fragments = F.regexp_extract_all(F.lower(F.regexp_replace(c, "([a-z])([A-Z])", "$1 $2")),
                                      F.lit("[a-z]{3,}"), F.lit(0))
     near = F.concat_ws(" ", F.array_join("before", " "),
-                       F.regexp_replace("whole", CANDIDATE, " "), F.array_join("after", " "))
+                       F.regexp_replace(
+                           F.when(c.rlike(f"^{CANDIDATE}$"), F.col("whole"))
+                           .otherwise(F.replace("whole", c, F.lit(" "))), CANDIDATE, " "),
+                       F.array_join("after", " "))
     rows = rows.select(
         "*",
         F.length(c).cast("double").alias("length"),
         _share(c, "[0-9]").alias("digits"),
         _share(c, "[A-Z]").alias("upper"),
-        _share(c, r"[+/_=\-]").alias("symbols"),
+        _share(c, "[^A-Za-z0-9]").alias("symbols"),
         c.rlike("^([0-9a-f]+|[0-9A-F]+)$").cast("double").alias("hex"),
         (F.length(kinds) / F.length(c)).alias("switches"),
         F.when(F.length(letters) < 2, -10.0).otherwise(mean).alias("transition"),
@@ -264,8 +309,10 @@ def rule_labels(rows: DataFrame) -> DataFrame:
     numbers and links are false positives; others stay without a label.
     """
     c, whole = F.col("candidate"), F.col("whole")
+    run = c.rlike(f"^{CANDIDATE}$")
+    address = c.rlike(r"://|^www[.]|^[^@]+@[^@]+[.][A-Za-z]{2,}$")
     return rows.withColumn(
         "label",
-        F.when(whole.rlike("@|://|www[.]") | c.rlike("^[0-9+/=_-]+$"), 0)
+        F.when((run & whole.rlike("@|://|www[.]")) | address | c.rlike("^[0-9+/=_-]+$"), 0)
         .when((F.col("quoted") == 1) & (F.col("assigned") == 1) & (F.col("keyword") == 1), 1),
     )

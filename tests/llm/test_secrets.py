@@ -97,3 +97,23 @@ def test_few_secrets_among_many_labelled_candidates_are_learned(spark):
     scored = secrets.Scanner.train(labelled, max_rows=40).score(found)
     got = {r["id"] for r in scored.filter("score >= 0.5").collect()}
     assert got == set(range(0, 3_000, 300))
+
+
+def test_assigned_values_of_any_characters_are_candidates(spark):
+    rows = [
+        (1, 'password = "Tr0ub4dor&3"'), (2, "x pwd='s3cr3t!2024' y"), (3, "db://user:p!ss99@host/x"),
+        (4, '{"api_key": "ab-cd.ef!"},'), (5, "password: hunter2;"), (6, "password = short"),
+        (7, "the keyboard: letters"), (8, "passwd='onlylowercaseletters'"), (9, 'token = "' + "a1" * 12 + '"'),
+        (10, "a = secretive word"), (11, "secret: first-1 other words"),
+        (12, "password = password"), (13, "pwd = 'ab(cd);)'"), (14, "pwd=aa11bb pwd=aa11bb"),
+    ]
+    frame = spark.createDataFrame([(k, t, "p", 0, "") for k, t in rows], SCHEMA)
+    found = secrets.candidates(frame)
+    assert sorted((r["id"], r["candidate"]) for r in found.collect()) == [
+        (1, "Tr0ub4dor&3"), (2, "s3cr3t!2024"), (3, "p!ss99"), (4, "ab-cd.ef!"), (5, "hunter2"),
+        (8, "onlylowercaseletters"), (9, "a1" * 12), (11, "first-1"),
+        (12, "password"), (13, "ab(cd);)"), (14, "aa11bb"), (14, "aa11bb"),
+    ]
+    described = secrets.described(found, secrets.Corpus.learn(frame))
+    labels = {r["id"]: r["label"] for r in secrets.rule_labels(described).collect()}
+    assert labels[1] == labels[2] == labels[9] == 1 and labels[3] is None
