@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import fundflow
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,22 +43,40 @@ def ship(spark: SparkSession) -> None:
 BATCH_ROWS = 400
 
 
-def map_batches(frame: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+def map_batches(
+    frame: DataFrame, run: Callable, schema: T.StructType | str, rows: int | None = BATCH_ROWS
+) -> DataFrame:
     """``mapInArrow`` with this library at hand on the executors.
 
-    Batches come in slices of ``BATCH_ROWS``, so that a worker holds few texts
-    as Python objects whatever the session's batch size.
+    Batches come in slices of ``rows``, so that a worker holds few texts as
+    Python objects whatever the session's batch size; with None as Spark cuts them.
     """
     ship(frame.sparkSession)
 
     def sliced(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, BATCH_ROWS):
-                yield batch.slice(lo, BATCH_ROWS)
+            size = rows or max(1, batch.num_rows)
+            for lo in range(0, batch.num_rows, size):
+                yield batch.slice(lo, size)
 
     return frame.mapInArrow(lambda batches: run(sliced(batches)), schema)
 
 
+def byte_slices(
+    batches: Iterable[pa.RecordBatch], column: int, size: int
+) -> Iterator[pa.RecordBatch]:
+    """The batches in slices with at most ``size`` bytes of one text column, or one row."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        ends = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
+        lo = 0
+        while lo < batch.num_rows:
+            done = int(ends[lo - 1]) if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, done + size, side="right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def free_name(frame: DataFrame, base: str) -> str:
     """A column name that the frame does not have, whatever the case of its names."""
     taken = {c.lower() for c in frame.columns}

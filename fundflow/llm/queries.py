@@ -16,6 +16,7 @@ from fundflow.llm import (
     language,
     licenses,
     near_dedup,
+    runs,
     secrets,
     toxicity,
     warc,
@@ -164,3 +165,46 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("score", 6).alias("score"),
         (F.col("score") >= 0.5).alias("is_secret"),
     )
+
+
+def with_loops(docs: DataFrame) -> DataFrame:
+    """Documents, a tenth of them with a stretch of words replaced by a block that repeats.
+
+    Which ones, where and with what period follows from crc32 of the id.
+    """
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = docs.select(
+        "doc_id",
+        "text",
+        F.when(number % 10 == 0, words).alias("words"),
+        F.floor(number / 10).alias("g"),
+    )
+    placed = chosen.withColumn("a", F.expr("g % nullif(size(words), 0)")).withColumn(
+        "p", F.expr("1 + (size(words) - a) div (3 + g % 8)")
+    )
+    looped = F.expr(
+        "transform(words, (w, i) -> "
+        "if(i < a, w, element_at(words, cast(1 + a + (i - a) % p as int))))"
+    )
+    text = F.when(F.col("words").isNull(), F.col("text")).otherwise(F.array_join(looped, " "))
+    return placed.select("doc_id", text.alias("text"))
+
+
+@register
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its periodic runs and the text that is left without their repeats."""
+    found = runs.run_columns(with_loops(table(spark, sf_dir, "documents")))
+    lines = F.expr(
+        "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("strongest.start").alias("start"),
+        F.col("strongest.length").alias("length"),
+        F.col("strongest.period").alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
