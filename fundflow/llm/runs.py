@@ -285,4 +285,6 @@ def run_columns(frame: DataFrame, text: str = "text") -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in kept], *new], schema.names)
 
-    return map_batches(frame, run, schema, rows=None)
+    # Numbered names, as columns may be called anything.
+    numbered = frame.toDF(*[f"c{k}" for k in range(len(frame.columns))])
+    return map_batches(numbered, run, schema, rows=None)
