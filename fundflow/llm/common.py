@@ -77,6 +77,20 @@ def byte_slices(
             lo = hi
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts in one array, and the number of words of each text."""
+    plain = pc.ascii_trim_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+    words = pc.ascii_split_whitespace(plain)
+    counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = words.flatten()
+    # An empty text is one empty word to the splitter.
+    empty = pc.equal(pc.binary_length(plain), 0).to_numpy(zero_copy_only=False)
+    if empty.any():
+        flat = flat.filter(pc.greater(pc.binary_length(flat), 0))
+        counts[empty] = 0
+    return flat, counts
+
+
 def free_name(frame: DataFrame, base: str) -> str:
     """A column name that the frame does not have, whatever the case of its names."""
     taken = {c.lower() for c in frame.columns}
@@ -86,14 +100,14 @@ def free_name(frame: DataFrame, base: str) -> str:
     return name
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
+def written(frame: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """The frame written to the shared folder and read again.
 
     Cuts the lineage: later jobs read files that outlive any executor, and
     values that a second run would change (row numbers) are fixed.
     """
     path = new_folder(frame.sparkSession, label)
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=compression)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

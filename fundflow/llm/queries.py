@@ -18,6 +18,7 @@ from fundflow.llm import (
     near_dedup,
     runs,
     secrets,
+    token_files,
     toxicity,
     warc,
 )
@@ -167,6 +168,20 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The id that ends a document in the token files of the query.
+END_ID = 1
+
+
+@register
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as the token files have it."""
+    path = new_folder(spark, "tokens")
+    docs = table(spark, sf_dir, "documents")
+    token_files.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    found = token_files.read_tokens(spark, path, ["doc_id", "start", "n_tokens", "ids"])
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def with_loops(docs: DataFrame) -> DataFrame:
     """Documents, a tenth of them with a stretch of words replaced by a block that repeats.
 

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from fundflow.llm.common import byte_slices, free_name, map_batches
+from fundflow.llm.common import byte_slices, free_name, map_batches, split_words
 
 MIN_WORDS = 24
 MIN_TIMES = 3
@@ -195,20 +195,6 @@ def find_runs(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out[np.lexsort((out[:, 3], out[:, 1], out[:, 0]))]
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All words of the texts in one array, and the number of words of each text."""
-    plain = pc.ascii_trim_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
-    words = pc.ascii_split_whitespace(plain)
-    counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = words.flatten()
-    # An empty text is one empty word to the splitter.
-    empty = pc.equal(pc.binary_length(plain), 0).to_numpy(zero_copy_only=False)
-    if empty.any():
-        flat = flat.filter(pc.greater(pc.binary_length(flat), 0))
-        counts[empty] = 0
-    return flat, counts
-
-
 def runs_of_texts(texts: pa.Array) -> tuple[list[np.ndarray], list[str], np.ndarray]:
     """For each text its runs ``(start, length, period)``, its collapsed text, its number of words."""
     flat, counts = split_words(texts)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from fundflow.llm import queries, runs
+from fundflow.llm import common, queries, runs
 
 
 def brute(words):
@@ -87,7 +87,7 @@ def test_long_texts_and_long_periods():
 
 
 def test_words_are_cut_at_ascii_blanks_only():
-    flat, counts = runs.split_words(pa.array(["a b\x1cc d\x0be", " \t", "", None, "x  y"]))
+    flat, counts = common.split_words(pa.array(["a b\x1cc d\x0be", " \t", "", None, "x  y"]))
     assert flat.to_pylist() == ["a b\x1cc d", "e", "x", "y"]
     assert counts.tolist() == [2, 0, 0, 0, 2]
 
