@@ -116,3 +116,50 @@ WHERE unit <> '' AND (n > 1 OR line = 0)
 
 
 ORACLE_SQL["op8_licenses"] = _license_sql()
+
+# crc32 of a decimal id: an exclusive or with each byte, then eight shifts.
+ORACLE_SQL["op12_prefix_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id,
+         list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS turns,
+         xor(4294967295, list_reduce(
+           list_concat([4294967295::BIGINT], flatten(list_transform(
+             string_split(CAST(conv_id AS VARCHAR), ''),
+             lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda a, b: xor(xor(a, b) >> 1, (xor(a, b) & 1) * 3988292384))) % 4 AS h
+  FROM t GROUP BY conv_id
+), conv AS (
+  SELECT o.conv_id,
+         list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), prefix AS (
+  SELECT conv_id, len(turns) AS n, d, turns[1:d] AS p
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM conv)
+), node AS (
+  SELECT p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CASE WHEN n = d THEN CAST(conv_id AS VARCHAR) END, ','
+                                    ORDER BY conv_id), '')) AS ends_sha256,
+         CASE WHEN d = 0 THEN 0
+              ELSE len(regexp_extract_all(p[d].text, '[^\x20\x09-\x0D]+')) END AS words
+  FROM prefix GROUP BY p, d
+), child AS (
+  SELECT p[1:depth - 1] AS p, depth - 1 AS depth, count(*) AS n_children
+  FROM node WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children
+  FROM node LEFT JOIN child USING (p, depth)
+), below AS (
+  SELECT p[1:k] AS p, k AS depth, count_if(n_children = 0) AS n_leaves,
+         sum((n_convs - 1) * words) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM counted)
+  GROUP BY p[1:k], k
+)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, c.n_convs,
+       CAST(c.n_children AS BIGINT) AS n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN below b USING (p, depth)
+LEFT JOIN counted up ON c.depth > 0 AND up.depth = c.depth - 1 AND up.p = c.p[1:c.depth - 1]
+"""

@@ -16,6 +16,7 @@ from fundflow.llm import (
     language,
     licenses,
     near_dedup,
+    prefix_trie,
     runs,
     secrets,
     token_files,
@@ -168,6 +169,36 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_shared_turns(ordered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations whose first turns are those of the first of their twenty, and their lengths.
+
+    How many, from none to three, follows from crc32 of the id. ``ordered`` is read several times.
+    """
+    convs = ordered.groupBy("conv_id").agg(F.max("position").alias("own"))
+    number = F.crc32(F.col("conv_id").cast("string").cast("binary"))
+    convs = convs.select(
+        "conv_id", "own", (number % 4).alias("h"), F.expr("conv_id - conv_id % 20").alias("base")
+    )
+    bases = convs.select(F.col("conv_id").alias("base"), F.col("own").alias("base_turns"))
+    convs = convs.join(bases, "base", "left").withColumn(
+        "taken", F.least("h", F.coalesce("base_turns", F.lit(0).cast("long")))
+    )
+    members = written(convs.withColumn("length", F.expr("taken + greatest(own - h, 0L)")), "members")
+    first = ordered.filter("position <= 3 AND conv_id % 20 = 0").withColumnRenamed("conv_id", "base")
+    taken = first.join(members, "base").filter("position <= taken")
+    rest = ordered.join(members, "conv_id").filter("position > h")
+    rest = rest.withColumn("position", F.expr("taken + position - h"))
+    columns = ["conv_id", "position", "turn", "words"]
+    return taken.select(*columns).unionByName(rest.select(*columns)), members
+
+
+@register
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the conversations, which share first turns in groups of twenty."""
+    ordered = written(prefix_trie.turns(table(spark, sf_dir, "conversations")), "turns")
+    return prefix_trie.trie(*with_shared_turns(ordered))
+
+
 #: The id that ends a document in the token files of the query.
 END_ID = 1
 

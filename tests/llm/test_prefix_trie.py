@@ -1,0 +1,141 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from fundflow.llm import prefix_trie, queries, running
+from fundflow.llm.oracle import ORACLE_SQL
+from fundflow_checks.compare import connect, difference
+
+SCHEMA = "conv_id long, turn long, role string, text string, depth int, `k.1` string"
+
+
+def in_order(rows):
+    convs = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            convs[conv].append((turn is not None, turn or 0, role or "", text or ""))
+    return {c: [r[2:] for r in sorted(rows)] for c, rows in convs.items()}
+
+
+def brute(convs):
+    """All nodes of ``{conv_id: turns}``."""
+    members = defaultdict(list)
+    for conv, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(conv)
+    out = []
+    for node, convs_here in members.items():
+        below = [n for n in members if n[: len(node)] == node]
+        children = [n for n in below if len(n) == len(node) + 1]
+        parents = {n[:-1] for n in members if n}
+        words = lambda n: len(re.findall(r"[^\x20\x09-\x0D]+", n[-1][1])) if n else 0
+        ends = sorted(c for c in convs_here if len(convs[c]) == len(node))
+        out.append((
+            min(convs_here), len(node), min(members[node[:-1]]) if node else None,
+            len(convs_here), len(children), sum(n not in parents for n in below),
+            sum((len(members[n]) - 1) * words(n) for n in below),
+            hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest(),
+        ))
+    return sorted(out, key=repr)
+
+
+def rebuilt(convs):
+    out = {}
+    for c, turns in convs.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        base = convs.get(c - int(np.fmod(c, 20)), [])
+        out[c] = base[:h] + turns[h:]
+    return out
+
+
+def rows_of(frame):
+    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves"]
+    return sorted(map(tuple, frame.select(*columns, "saved_tokens", "ends_sha256").collect()), key=repr)
+
+
+def frame_of(spark, rows):
+    return spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).repartition(5)
+
+
+def talk(rnd, conv, length, letters="ab"):
+    return [(conv, k, "ua"[k % 2], rnd.choice(letters) + " said\tit" * rnd.randrange(2)) for k in range(length)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_tables_equal_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    rows = [t for c in rnd.sample(range(-30, 300), 40) for t in talk(rnd, c, rnd.randrange(1, 9))]
+    got = rows_of(prefix_trie.conversation_trie(frame_of(spark, rows)))
+    assert got == brute(in_order(rows))
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, None, None, None), (1, 0, "", ""), (1, 0, "", ""), (2, 0, "", None), (2, None, "", ""),
+        (None, 0, "user", "left out"), (3, 5, "a", "x" * 300_000), (4, 1, "a", "x" * 300_000),
+        (5, 0, "a:", "b"), (6, 0, "a", ":b"), (7, 0, "2", "1:x"), (8, 0, "", "21:x"), (1, 0, "", ""),
+        (9, 1, "b", "tie"), (9, 1, "a", "tie"), (10, 1, "a", "tie"), (10, 2, "b", "tie"),
+    ]
+    got = rows_of(prefix_trie.conversation_trie(frame_of(spark, rows)))
+    assert got == brute(in_order(rows))
+    assert rows_of(prefix_trie.conversation_trie(frame_of(spark, []))) == []
+
+
+def test_long_conversations_that_share_and_copies(spark):
+    rnd = random.Random(9)
+    long = [("u", str(k)) for k in range(60)]
+    convs = {c: long[: rnd.choice([30, 45, 60])] + [("a", str(c % 4))] for c in range(12)}
+    convs |= {100 + c: long for c in range(5)}
+    convs |= {200 + c: [("u", "hello"), ("a", str(c // 3))] for c in range(60)}
+    rows = [(c, k, *t) for c, turns in convs.items() for k, t in enumerate(turns)]
+    assert rows_of(prefix_trie.conversation_trie(frame_of(spark, rows))) == brute(convs)
+
+
+def test_lists_of_ids_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "PIECE_BYTES", 50)
+    rows = [(c, 0, "u", "hello") for c in range(-300, 700)]
+    got = rows_of(prefix_trie.conversation_trie(frame_of(spark, rows)))
+    assert got == brute(in_order(rows))
+
+
+def test_query_equals_brute_force_and_sql(spark, tmp_path):
+    rnd = random.Random(4)
+    rows = [t for c in [*range(-45, -35), *range(0, 70), *range(81, 130)] if c not in (40, 47)
+            for t in talk(rnd, c, rnd.randrange(1, 7), "abc")]
+    rows += [(47, k, None, None) for k in range(2)] + [(20, 1, "z", "z")] * 2
+    path = f"{tmp_path}/conversations.parquet"
+    frame_of(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/c")
+    next((tmp_path / "c").glob("*.parquet")).rename(path)
+    got = queries.op12_prefix_trie(spark, str(tmp_path))
+    convs = rebuilt(in_order(rows))
+    assert any(not turns for turns in convs.values())
+    assert rows_of(got) == brute(convs)
+    assert difference(got, connect(str(tmp_path)), ORACLE_SQL["op12_prefix_trie"]) is None
+
+
+def test_running_sums_over_partitions(spark):
+    big = running.MODULUS - 1
+    rnd = random.Random(2)
+    rows = [(g, k, rnd.choice([1, 5, big])) for g, n in ((1, 900), (2, 1), (3, 40), (7, 5)) for k in range(n)]
+    frame = spark.createDataFrame(rows, "g long, k long, v long").repartition(3)
+    got = running.running(frame, "g", ["k"], ["k"], ["v"], ["k"]).collect()
+    want, sums = {}, defaultdict(int)
+    for g, k, v in sorted(rows):
+        sums[g] = (sums[g] + v) % running.MODULUS
+        want[g, k] = (k + 1, sums[g])
+    assert {(r["g"], r["k"]): (r["n"], r["v"]) for r in got} == want
+
+
+def test_carry_over_partitions_of_one_group():
+    def end(pid, first, g, *sums):
+        return {"pid": pid, "first": first, "last": {"g": g, **{f"c{k}": s for k, s in enumerate(sums)}}}
+
+    ends = [end(0, 1, 2, 3, 30), end(2, 2, 2, 4, 40), end(3, 2, 5, 1, 7), end(4, 6, 6, 1, 1)]
+    assert running._carries(ends[::-1], 2) == [(2, 2, 3, 30), (3, 2, 7, 70)]
