@@ -5,19 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundflow.functions import daily_return, exact_sum, mean_of
+from fundflow.functions import (
+    add_moments,
+    add_up,
+    billionths,
+    daily_return,
+    exact_sum,
+    mean_of,
+    moments,
+    sample_deviation,
+)
 
 
-def fund_days(nav: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
-    """Price ticks reduced to one row per fund, name and day.
+def fund_day_states(nav: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
+    """Price ticks reduced to one state per fund, name and day, not yet rounded.
 
-    Opening and closing price belong to the fund and day: a fund that is renamed
-    within a day has a row per name, all with the same two prices. Ticks are
-    reduced first, by aggregates that merge map-side and keep fixed-width
-    buffers; the window then only sees one row per name.
+    All buffers are of fixed width and merge: map-side within one aggregate, and
+    by ``merge_fund_days`` between states that were stored.
     """
     price, at = F.col("nav"), F.col("event_timestamp")
-    by_name = nav.groupBy("scheme_code", "scheme_name", day_col).agg(
+    ticks = nav.withColumn("_whole", billionths("nav"))
+    return ticks.groupBy("scheme_code", "scheme_name", day_col).agg(
         F.min(at).alias("first_at"),
         F.max(at).alias("last_at"),
         F.min_by(price, at).alias("first_nav"),
@@ -26,9 +34,39 @@ def fund_days(nav: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
         F.max(price).alias("max_nav"),
         exact_sum("nav").alias("nav_total"),
         F.count("nav").alias("navs"),
-        F.stddev_samp(price).alias("deviation"),
+        moments("nav", "_whole").alias("nav_moments"),
         F.count("*").alias("nav_updates"),
     )
+
+
+def merge_fund_days(states: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
+    """States of the same fund, name and day as one: what all their ticks together would give."""
+    return states.groupBy("scheme_code", "scheme_name", day_col).agg(
+        F.min("first_at").alias("first_at"),
+        F.max("last_at").alias("last_at"),
+        F.min_by("first_nav", "first_at").alias("first_nav"),
+        F.max_by("last_nav", "last_at").alias("last_nav"),
+        F.min("min_nav").alias("min_nav"),
+        F.max("max_nav").alias("max_nav"),
+        F.when(F.sum("navs") > 0, add_up(F.col("nav_total"), F.lit(True))).alias("nav_total"),
+        F.sum("navs").alias("navs"),
+        add_moments("nav_moments").alias("nav_moments"),
+        F.sum("nav_updates").alias("nav_updates"),
+    )
+
+
+def fund_days(nav: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
+    """Price ticks reduced to one published row per fund, name and day."""
+    return published_fund_days(fund_day_states(nav, day_col), day_col)
+
+
+def published_fund_days(by_name: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
+    """Prices, means and deviations of states.
+
+    Opening and closing price belong to the fund and day: a fund that is renamed
+    within a day has a row per name, all with the same two prices. The window
+    only sees one row per name.
+    """
     # No order: min_by and max_by need one exchange and one sort on the keys.
     whole_day = Window.partitionBy("scheme_code", day_col)
     opening = F.min_by("first_nav", "first_at").over(whole_day)
@@ -42,7 +80,7 @@ def fund_days(nav: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
         F.round("min_nav", 4).alias("min_nav"),
         F.round("max_nav", 4).alias("max_nav"),
         mean_of(F.col("nav_total"), F.col("navs"), 4).alias("avg_nav"),
-        F.round("deviation", 4).alias("nav_volatility"),
+        sample_deviation(F.col("nav_moments")).alias("nav_volatility"),
         "nav_updates",
     ).withColumn("daily_return_pct", daily_return(F.col("opening_nav"), F.col("closing_nav")))
 

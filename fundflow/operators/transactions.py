@@ -24,6 +24,17 @@ def txn_days(txn: DataFrame) -> DataFrame:
     )
 
 
+def merge_txn_days(states: DataFrame) -> DataFrame:
+    """States of the same day, type and fund as one: what all their transactions together would give."""
+    return states.groupBy("ingestion_date", "transaction_type", "scheme_code").agg(
+        F.sum("txn_count").alias("txn_count"),
+        F.sum("amounts").alias("amounts"),
+        F.when(F.sum("amounts") > 0, add_up(F.col("total"), F.lit(True))).alias("total"),
+        F.min("min_amount").alias("min_amount"),
+        F.max("max_amount").alias("max_amount"),
+    )
+
+
 def aum_by_fund(days: DataFrame) -> DataFrame:
     """Net, bought and sold amount per fund and day, from ``txn_days``.
 
