@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import partial
-from typing import TypeVar
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,7 +14,7 @@ from fundflow.plans.silver import build_silver
 from fundflow.schemas import NAV, TXN, Feed
 from fundflow.sources.kafka import kafka_stream
 from fundflow.sources.lake import read_bronze, read_silver, silver_path
-from fundflow.sources.warehouse import Warehouse
+from fundflow.sources.warehouse import Warehouse, side_by_side
 from fundflow.streaming.landing import (
     FILES_PER_DAY,
     INTERVAL,
@@ -30,8 +26,6 @@ from fundflow.streaming.landing import (
 
 FEEDS = (NAV, TXN)
 _UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
-Item = TypeVar("Item")
-Result = TypeVar("Result")
 
 
 @dataclass(frozen=True)
@@ -80,20 +74,6 @@ class RunReport:
     total_funds: int
 
 
-def _side_by_side(
-    spark: SparkSession, job: Callable[[Item], Result], items: Sequence[Item]
-) -> list[Result]:
-    """Run independent Spark jobs at once, so that one fills the tail of another.
-
-    All are awaited; the first error, if any, is then raised.
-    """
-    # Each thread takes over the caller's job group, tags and other properties.
-    inherit = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(max_workers=len(items)) as pool:
-        running = [pool.submit(inherit(partial(job, item))) for item in items]
-    return [one.result() for one in running]
-
-
 def topic_streams(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
     """One stream per feed, from the message broker."""
     return {
@@ -145,16 +125,14 @@ def run_silver(spark: SparkSession, cfg: LakeConfig) -> dict[str, dict[str, int]
         bronze = read_bronze(spark, cfg.all_bronze(feed))
         return feed.name, build_silver(bronze, feed, silver_path(cfg.silver, feed.folder))
 
-    return dict(_side_by_side(spark, build, FEEDS))
+    return dict(side_by_side(spark, build, FEEDS))
 
 
 def run_gold(spark: SparkSession, cfg: LakeConfig) -> int:
     """Replace the gold tables, then check the ranking as it can be read back."""
     nav, txn = read_silver(spark, cfg.silver)
     with shared_gold_tables(nav, txn) as tables:
-        _side_by_side(
-            spark, lambda name: cfg.warehouse.replace(name, tables[name]), list(tables)
-        )
+        cfg.warehouse.publish(spark, tables)
     return enough_rows(cfg.warehouse.count(spark, "gold_top_funds"), cfg.min_funds)
 
 

@@ -1,14 +1,33 @@
-"""Tables for serving: a JDBC database, or Parquet in its place."""
+"""Tables for serving: a JDBC database, or Parquet folders, replaced one by one or together."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from typing import Protocol
+from functools import partial
+from typing import Protocol, TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from fundflow.sources.lake import with_audit
+from fundflow.sources.snapshots import Conflict, Snapshots
+
+__all__ = [
+    "Conflict",
+    "JdbcWarehouse",
+    "ParquetWarehouse",
+    "SnapshotWarehouse",
+    "Warehouse",
+    "jdbc_properties",
+    "postgres_url",
+    "side_by_side",
+    "write_jdbc",
+]
+
+Item = TypeVar("Item")
+Result = TypeVar("Result")
 
 
 def postgres_url(host: str, port: int | str, database: str) -> str:
@@ -49,10 +68,24 @@ def write_jdbc(
     )
 
 
+def side_by_side(
+    spark: SparkSession, job: Callable[[Item], Result], items: Sequence[Item]
+) -> list[Result]:
+    """Run independent Spark jobs at once, so that one fills the tail of another.
+
+    All are awaited; the first error, if any, is then raised.
+    """
+    # Each thread takes over the caller's job group, tags and other properties.
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
+        running = [pool.submit(inherit(partial(job, item))) for item in items]
+    return [one.result() for one in running]
+
+
 class Warehouse(Protocol):
-    """What the gold step needs of a target: replace a table, read it back."""
+    """What the gold step needs of a target: replace tables, read one back."""
 
-    def replace(self, table: str, df: DataFrame) -> None: ...
+    def publish(self, spark: SparkSession, tables: Mapping[str, DataFrame]) -> None: ...
 
     def read(self, spark: SparkSession, table: str) -> DataFrame: ...
 
@@ -67,6 +100,10 @@ class JdbcWarehouse:
     props: Mapping[str, str] = field(repr=False)
     truncate: bool = True
 
+    def publish(self, spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
+        """Replace tables side by side; each becomes visible on its own."""
+        side_by_side(spark, lambda name: self.replace(name, tables[name]), list(tables))
+
     def replace(self, table: str, df: DataFrame) -> None:
         write_jdbc(with_audit(df), table, self.url, self.props, self.truncate)
 
@@ -86,6 +123,10 @@ class ParquetWarehouse:
 
     root: str
 
+    def publish(self, spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
+        """Replace tables side by side; each becomes visible on its own."""
+        side_by_side(spark, lambda name: self.replace(name, tables[name]), list(tables))
+
     def replace(self, table: str, df: DataFrame) -> None:
         with_audit(df).write.parquet(f"{self.root}/{table}", mode="overwrite")
 
@@ -94,3 +135,42 @@ class ParquetWarehouse:
 
     def count(self, spark: SparkSession, table: str) -> int:
         return self.read(spark, table).count()
+
+
+@dataclass(frozen=True)
+class SnapshotWarehouse:
+    """Gold tables as Parquet folders that become visible together.
+
+    Every table goes to a new folder; one commit then names all of them. A run
+    that fails before it leaves the tables as they were, whichever it had
+    written. Readers that resolved a version go on reading its files until
+    ``Snapshots.clean`` removes them.
+    """
+
+    root: str
+
+    def publish(self, spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
+        """Replace all these tables at once; other tables stay as they are."""
+        versions = Snapshots(spark, self.root)
+        before = versions.current()
+        folders = {name: versions.folder(name) for name in tables}
+        side_by_side(
+            spark,
+            lambda name: with_audit(tables[name]).write.parquet(folders[name]),
+            list(tables),
+        )
+        versions.commit({**before.content, **folders}, before)
+
+    def replace(self, table: str, df: DataFrame) -> None:
+        self.publish(df.sparkSession, {table: df})
+
+    def read(self, spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
+        """A table of the last commit, or of an earlier one that was kept."""
+        versions = Snapshots(spark, self.root)
+        found = versions.current() if version is None else versions.read(version)
+        if table not in found.content:
+            raise ValueError(f"no table {table} in version {found.number} of {self.root}")
+        return spark.read.parquet(found.content[table])
+
+    def count(self, spark: SparkSession, table: str) -> int:
+        return self.read(spark, table).count()

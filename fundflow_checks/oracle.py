@@ -87,6 +87,25 @@ def _r(x: str, places: int) -> str:
     return f"round(({x})::varchar::decimal(38,18), {places})::double"
 
 
+def _deviation(x: str) -> str:
+    """Sample deviation half-up to four places, from whole hundredths and their squares.
+
+    A deviation d reaches a limit of b ten-thousandths if n * squares - sum ** 2, in
+    hundredths, is at least (b / 100) ** 2 * n * (n - 1); limits are halves of a step.
+    """
+    k = f"(({x})::decimal(18,2) * 100)::hugeint"
+    n = f"count({x})::hugeint"
+    spread = f"({n} * sum({k} * {k})::hugeint - sum({k})::hugeint * sum({k})::hugeint)"
+    guess = f"round(sqrt({spread}::double / ({n} * ({n} - 1))::double) * 100)::hugeint"
+    limit = f"(2 * {guess} {{}} 1)"
+    test = f"{spread} * 40000 >= {limit} * {limit} * {n} * ({n} - 1)"
+    return (
+        f"CASE WHEN count({x}) > 1 THEN (CASE WHEN {test.format('+', '+')} THEN {guess} + 1"
+        f" WHEN {guess} > 0 AND NOT ({test.format('-', '-')}) THEN {guess} - 1"
+        f" ELSE {guess} END)::double / 10000 END"
+    )
+
+
 _RETURN = (
     "CASE WHEN opening_nav <> 0 THEN "
     + _r("(closing_nav - opening_nav) / opening_nav * 100", 4)
@@ -259,8 +278,24 @@ def oracle_sql() -> dict[str, str]:
         "layers_gold_top_funds": f"WITH {_NAV}, {_FUNDS} {top}",
         "layers_quality": f"SELECT * FROM ({quality[0]}) UNION ALL SELECT * FROM ({quality[1]})",
     }
+    steps = {
+        "increments_silver_nav": f"WITH {_NAV} SELECT * FROM silver",
+        "increments_silver_txn": f"WITH {_TXN} SELECT * FROM silver",
+        "increments_quality": f"SELECT * FROM ({quality[0]}) UNION ALL SELECT * FROM ({quality[1]})",
+        "increments_gold_aum_by_fund": f"WITH {_TXN} {_net_flow('silver')}",
+        "increments_gold_nav_performance": f"WITH {_NAV}, {_DAYS} {_PERFORMANCE}",
+        "increments_gold_txn_volume": f"WITH {_TXN} {_volume('silver')}",
+        "increments_gold_top_funds": f"WITH {_NAV}, {_FUNDS} {top}",
+        "gold_volatility": f"""WITH {_NAV}
+          SELECT scheme_code, scheme_name, ingestion_date, {_deviation("nav")} AS nav_volatility,
+                 count(*) AS nav_updates
+          FROM silver GROUP BY ALL""",
+        "lineitem_volatility": f"""WITH {_LINES}
+          SELECT scheme_code, {_deviation("amount")} AS amount_volatility
+          FROM lines GROUP BY scheme_code""",
+    }
     renamed = _nav_typed("'Fund ' || user_id || '-' || (event_id % 3)")
-    return shown | layers | {
+    return shown | layers | steps | {
         "bronze_envelope": f"WITH {_COPIES} {_NAV_BRONZE} UNION ALL {_TXN_BRONZE}",
         "bronze_stream_landing": f"WITH {_COPIES} {_NAV_BRONZE}",
         "bronze_stream_restart": f"""WITH {_COPIES}

@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundflow_checks import feeds
+from fundflow.functions import billionths, moments, sample_deviation
 from fundflow.operators import prices, quality, ranking, summary, transactions
 from fundflow.operators.dedup import first_per_key
+from fundflow.operators.envelope import to_envelope
 from fundflow.plans import silver
+from fundflow.plans.gold_increments import GoldIncrements
+from fundflow.plans.increments import SilverIncrements
 from fundflow.plans.medallion import LakeConfig, RunReport, run_all
 from fundflow.schemas import NAV, TXN, Feed
-from fundflow.sources.lake import read_bronze, read_silver, silver_path, write_silver
-from fundflow.sources.warehouse import ParquetWarehouse
+from fundflow.sources.lake import DAY, by_day, read_bronze, read_silver, silver_path, write_silver
+from fundflow.sources.warehouse import SnapshotWarehouse
 from fundflow.sources.workspace import new_folder
 from fundflow.streaming.landing import await_feeds, ingest_feed
 
@@ -257,6 +261,20 @@ def gold_fund_daily_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prices.fund_daily_returns(prices.fund_days(_nav(spark, sf_dir)))
 
 
+@register
+def gold_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deviation of each fund's prices on each day."""
+    days = prices.fund_days(_nav(spark, sf_dir))
+    return days.select("scheme_code", "scheme_name", "ingestion_date", "nav_volatility", "nav_updates")
+
+
+@register
+def lineitem_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = feeds.lineitem_transactions(spark, sf_dir).withColumn("whole", billionths("amount"))
+    spread = lines.groupBy("scheme_code").agg(moments("amount", "whole").alias("spread"))
+    return spread.select("scheme_code", sample_deviation(F.col("spread")).alias("amount_volatility"))
+
+
 @register
 def gold_top_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One row per fund, written because the ranking reads it twice.
@@ -301,7 +319,7 @@ def _run(spark: SparkSession, sf_dir: str) -> tuple[LakeConfig, RunReport]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         root = new_folder(spark, "layers")
-        cfg = LakeConfig(root=root, warehouse=ParquetWarehouse(f"{root}/gold"), min_funds=1)
+        cfg = LakeConfig(root=root, warehouse=SnapshotWarehouse(f"{root}/gold"), min_funds=1)
         events = feeds.table_stream(spark, sf_dir, "events")
         streams = {"nav": feeds.nav_records(events), "txn": feeds.txn_records(events)}
         _RUNS[key] = cfg, run_all(spark, cfg, streams)
@@ -376,6 +394,85 @@ def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
+# Silver and gold brought up to date in three steps
+
+_STEPS = 3
+_LAKES: dict[tuple[str, str], tuple[dict[str, SilverIncrements], GoldIncrements]] = {}
+
+
+def _stepwise_lake(
+    spark: SparkSession, sf_dir: str
+) -> tuple[dict[str, SilverIncrements], GoldIncrements]:
+    """All messages landed in three parts, repeats often before what they repeat.
+
+    After each part silver merges the new files, and gold the days that changed.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        root = new_folder(spark, "increments")
+        events = feeds.table(spark, sf_dir, "events")
+        landed = {
+            NAV: to_envelope(feeds.nav_records(events)),
+            TXN: to_envelope(feeds.txn_records(events)),
+        }
+        tables = {f.name: SilverIncrements(spark, f, f"{root}/{f.name}", buckets=8) for f in landed}
+        gold = GoldIncrements(spark, f"{root}/gold", tables["nav"], tables["txn"])
+        part = F.pmod(F.hash("offset"), F.lit(_STEPS))
+        for step in range(_STEPS):
+            for feed, frame in landed.items():
+                path = f"{root}/bronze/{feed.folder}"
+                by_day(frame.filter(part == step)).write.partitionBy(DAY).parquet(path, mode="append")
+                tables[feed.name].advance(path)
+            gold.advance()
+        _LAKES[key] = tables, gold
+    return _LAKES[key]
+
+
+def _step_silver(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
+    return _published(_stepwise_lake(spark, sf_dir)[0][feed.name].read(), feed)
+
+
+def _step_gold(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return _stepwise_lake(spark, sf_dir)[1].read(table).drop("processed_at")
+
+
+@register
+def increments_silver_nav(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _step_silver(spark, sf_dir, NAV)
+
+
+@register
+def increments_silver_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _step_silver(spark, sf_dir, TXN)
+
+
+@register
+def increments_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that each step added, from their files."""
+    tables = _stepwise_lake(spark, sf_dir)[0]
+    return tables["nav"].quality().union(tables["txn"].quality())
+
+
+@register
+def increments_gold_aum_by_fund(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _step_gold(spark, sf_dir, "gold_aum_by_fund")
+
+
+@register
+def increments_gold_nav_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _step_gold(spark, sf_dir, "gold_nav_performance")
+
+
+@register
+def increments_gold_txn_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _step_gold(spark, sf_dir, "gold_txn_volume")
+
+
+@register
+def increments_gold_top_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _step_gold(spark, sf_dir, "gold_top_funds")
+
+
 # The larger input
 
 

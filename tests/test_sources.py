@@ -201,3 +201,37 @@ def test_a_cluster_must_name_a_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         workspace.new_folder(Session(spark_master="yarn"), "x")
     assert "fundflow-" in workspace.new_folder(Session(spark_master="local[2]"), "x")
+
+
+def test_tables_become_visible_together(spark):
+    target = warehouse.SnapshotWarehouse(workspace.new_folder(spark, "gold"))
+    small, large = spark.range(1), spark.range(5)
+    target.publish(spark, {"a": small, "b": small})
+    failing = spark.range(3).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        target.publish(spark, {"a": large, "b": failing})
+    assert (target.count(spark, "a"), target.count(spark, "b")) == (1, 1)
+    # Who resolved the tables before a commit goes on reading them.
+    held = target.read(spark, "b")
+    target.publish(spark, {"b": large})
+    assert (target.count(spark, "a"), target.count(spark, "b"), held.count()) == (1, 5, 1)
+    target.replace("a", large)
+    assert target.count(spark, "a") == 5 and target.read(spark, "a", version=1).count() == 1
+    with pytest.raises(ValueError, match="no table c"):
+        target.read(spark, "c")
+
+
+def test_of_two_writers_one_begins_again(spark, monkeypatch):
+    target = warehouse.SnapshotWarehouse(workspace.new_folder(spark, "gold"))
+    target.publish(spark, {"a": spark.range(1)})
+    commit = warehouse.Snapshots.commit
+
+    def late(self, content, after):
+        commit(self, {"a": "other"}, after)
+        return commit(self, content, after)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse.Snapshots, "commit", late)
+        with pytest.raises(warehouse.Conflict):
+            target.publish(spark, {"a": spark.range(2)})
+    assert warehouse.Snapshots(spark, target.root).current().content == {"a": "other"}
