@@ -26,10 +26,10 @@ def parse_payload(
     return bronze.withColumn("parsed", F.explode(F.array(parsed)) if filtered else parsed)
 
 
-def flatten(parsed: DataFrame, feed: Feed) -> DataFrame:
+def flatten(parsed: DataFrame, feed: Feed, *extra: str) -> DataFrame:
     """The silver columns of a feed, plus ``kafka_partition`` for the row order.
 
-    A time that cannot be read becomes NULL.
+    A time that cannot be read becomes NULL. ``extra`` columns are carried.
     """
     origin = {
         "event_timestamp": F.try_to_timestamp("parsed.timestamp"),
@@ -44,6 +44,7 @@ def flatten(parsed: DataFrame, feed: Feed) -> DataFrame:
     return parsed.select(
         *[column.alias(name) for column, name in zip(columns, feed.silver_columns)],
         F.col("partition").alias("kafka_partition"),
+        *extra,
     )
 
 

@@ -35,6 +35,27 @@ def judge(typed: DataFrame, feed: Feed) -> DataFrame:
     return distinct.withColumn("rule", verdict.otherwise("kept"))
 
 
+def judge_each(typed: DataFrame, feed: Feed, payload: str = "json_payload") -> DataFrame:
+    """Like ``judge``, with every rejected message as a row of its own.
+
+    Messages with a required field missing are not put together, so nothing gathers
+    under a missing key. ``payload`` is the raw text, kept where a rule is broken.
+    A row's rule depends on that row alone, so it is known before the shuffle, and
+    no text of a good message takes part in it.
+    """
+    complete = required(feed.required)
+    good = complete & positive(feed.measure)
+    if feed.domain_column:
+        good = good & domain(feed.domain_column, feed.domain)
+    lone = {f"_{name}": F.when(~complete, F.col(name)) for name in MESSAGE_ORDER}
+    marked = typed.withColumn(payload, F.when(~good, F.col(payload))).withColumns(lone)
+    judged = first_per_key(marked, [*feed.key, *lone], MESSAGE_ORDER, tally="messages").drop(*lone)
+    verdict = F.when(~complete, "required").when(~positive(feed.measure), "not_positive")
+    if feed.domain_column:
+        verdict = verdict.when(~domain(feed.domain_column, feed.domain), "bad_domain")
+    return judged.withColumn("rule", verdict.otherwise("kept"))
+
+
 def rule_counts(feed: Feed) -> list[Column]:
     """Aggregates over a judged frame, one per rule of the feed, in order."""
     failed = F.col("rule") == "required"

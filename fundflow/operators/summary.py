@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundflow.functions import exact_sum, settle
+from fundflow.operators.positions import positions
 
 # The order in which each table is shown, and how many rows of it.
 _DISPLAY_ORDER = {
@@ -76,17 +77,23 @@ def display_order(table: str) -> list[Column]:
     return [direction(name) for name, direction in _DISPLAY_ORDER[table]]
 
 
+def total_order(table: str) -> list[Column]:
+    """The display order, with what tells apart rows that it leaves level."""
+    return [*display_order(table), *map(F.asc, _TIES.get(table, ()))]
+
+
 def shown(table: str, frame: DataFrame, n: int | None = None) -> DataFrame:
     """The rows shown of a table, in order, with their ``position`` from 1.
 
-    ``n`` defaults to what is usual for the table, or all rows. The limit comes
-    first, so only the rows shown are numbered.
+    ``n`` defaults to what is usual for the table, or all rows. With a limit only
+    the rows shown are numbered; without one see ``positions``.
     """
-    order = [*display_order(table), *map(F.asc, _TIES.get(table, ()))]
+    order = total_order(table)
     n = n or _SHOWN.get(table)
-    ordered = frame.orderBy(*order)
+    if not n:
+        return positions(frame, order).withColumn("position", F.col("position").cast("int"))
     place = F.row_number().over(Window.orderBy(*order))
-    return (ordered.limit(n) if n else ordered).withColumn("position", place)
+    return frame.orderBy(*order).limit(n).withColumn("position", place)
 
 
 def preview(frame: DataFrame, n: int = 20, order: list[Column] | None = None) -> DataFrame:

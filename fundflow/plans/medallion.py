@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fundflow.operators.quality import enough_rows
 from fundflow.plans.gold import shared_gold_tables
+from fundflow.plans.quarantine import KEPT, split_silver
 from fundflow.plans.silver import build_silver
 from fundflow.schemas import NAV, TXN, Feed
 from fundflow.sources.kafka import kafka_stream
@@ -35,7 +36,8 @@ class LakeConfig:
     ``topic_options`` goes to the topic readers (see ``kafka_options``). Bronze is
     landed below ``period``, a name of the caller's, and read from that and
     ``earlier`` periods: a new period begins a new file log. A new period also
-    begins a new checkpoint, so give the topics' starting offsets with it.
+    begins a new checkpoint, so give the topics' starting offsets with it. With
+    ``keep_rejected`` silver also holds the messages that broke a rule.
     """
 
     root: str
@@ -48,6 +50,7 @@ class LakeConfig:
     earlier: Sequence[str] = ()
     interval: str = INTERVAL
     files_per_day: int = FILES_PER_DAY
+    keep_rejected: bool = False
 
     def _below(self, top: str, feed: Feed, period: str) -> str:
         return f"{self.root}/{top}/{feed.folder}" + (f"-{period}" if period else "")
@@ -65,6 +68,11 @@ class LakeConfig:
     def silver(self) -> str:
         return self.silver_root or f"{self.root}/silver"
 
+    @property
+    def silver_part(self) -> str:
+        """The folder within a silver table that holds the kept rows."""
+        return KEPT if self.keep_rejected else ""
+
 
 @dataclass(frozen=True)
 class RunReport:
@@ -123,14 +131,15 @@ def run_silver(spark: SparkSession, cfg: LakeConfig) -> dict[str, dict[str, int]
 
     def build(feed: Feed) -> tuple[str, dict[str, int]]:
         bronze = read_bronze(spark, cfg.all_bronze(feed))
-        return feed.name, build_silver(bronze, feed, silver_path(cfg.silver, feed.folder))
+        write = split_silver if cfg.keep_rejected else build_silver
+        return feed.name, write(bronze, feed, silver_path(cfg.silver, feed.folder))
 
     return dict(side_by_side(spark, build, FEEDS))
 
 
 def run_gold(spark: SparkSession, cfg: LakeConfig) -> int:
     """Replace the gold tables, then check the ranking as it can be read back."""
-    nav, txn = read_silver(spark, cfg.silver)
+    nav, txn = read_silver(spark, cfg.silver, part=cfg.silver_part)
     with shared_gold_tables(nav, txn) as tables:
         cfg.warehouse.publish(spark, tables)
     return enough_rows(cfg.warehouse.count(spark, "gold_top_funds"), cfg.min_funds)

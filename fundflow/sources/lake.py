@@ -69,11 +69,15 @@ def silver_path(root: str, folder: str) -> str:
 
 
 def read_silver(
-    spark: SparkSession, root: str, since: date | None = None, until: date | None = None
+    spark: SparkSession,
+    root: str,
+    since: date | None = None,
+    until: date | None = None,
+    part: str = "",
 ) -> tuple[DataFrame, DataFrame]:
-    """The silver tables of both feeds, prices first."""
+    """The silver tables of both feeds, prices first; ``part`` is a folder within each."""
     nav, txn = (
-        _scan(spark, silver_path(root, feed.folder), feed.silver, since, until)
+        _scan(spark, silver_path(root, feed.folder) + part, feed.silver, since, until)
         for feed in (NAV, TXN)
     )
     return nav, txn

@@ -211,6 +211,64 @@ _NAV_BRONZE = _bronze("nav_raw", _NAV_TEXT)
 _TXN_BRONZE = _bronze("txn_raw", _TXN_TEXT)
 
 
+def _rejected(typed: str, feed: str, required: str, key: str, measure: str, last: str) -> str:
+    """Incomplete messages one by one, and the first message of each key that breaks a rule."""
+    topic, text = (("nav_raw", _NAV_TEXT), ("txn_raw", _TXN_TEXT))[feed == "txn"]
+    return f"""WITH {typed},
+      sent AS (SELECT kafka_offset, CASE WHEN m = 7 THEN 'not json' ELSE {text} END AS json_payload
+               FROM copies),
+      firsts AS (
+        SELECT *, count(*) OVER (PARTITION BY {key}) AS messages FROM complete
+        QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY kafka_offset) = 1),
+      bad AS (
+        SELECT 'required' AS rule, kafka_offset, ingestion_date, 1 AS messages FROM typed
+        WHERE NOT ({required})
+        UNION ALL
+        SELECT CASE WHEN {measure} <= 0 THEN 'not_positive' ELSE 'bad_domain' END,
+               kafka_offset, ingestion_date, messages FROM firsts WHERE NOT ({last}))
+    SELECT rule, '{topic}' AS kafka_topic, 0::int AS kafka_partition, kafka_offset, ingestion_date,
+           messages::bigint AS messages, json_payload
+    FROM bad JOIN sent USING (kafka_offset)"""
+
+
+def _drift(feed: str, promised: dict[str, str]) -> str:
+    """Fields of the messages by DuckDB's own JSON functions."""
+    topic, text = (("nav_raw", _NAV_TEXT), ("txn_raw", _TXN_TEXT))[feed == "txn"]
+    names = ", ".join(f"('{n}', '{kinds}')" for n, kinds in promised.items())
+    return f"""WITH {_COPIES}, bronze AS ({_bronze(topic, text)}),
+      read AS (
+        SELECT ingestion_date, json_payload AS p, json_valid(json_payload) AS valid,
+               CASE WHEN json_valid(json_payload) THEN json_type(json_payload) END AS whole
+        FROM bronze),
+      objects AS (SELECT * FROM read WHERE whole = 'OBJECT'),
+      fields AS (SELECT ingestion_date, p, unnest(json_keys(p)) AS field FROM objects),
+      kinds AS (
+        SELECT ingestion_date, field,
+               CASE json_type(p, '$."' || field || '"')
+                 WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'HUGEINT' THEN 'integer'
+                 WHEN 'DOUBLE' THEN 'number' WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean'
+                 WHEN 'NULL' THEN 'null' WHEN 'OBJECT' THEN 'object' ELSE 'array' END AS kind
+        FROM fields),
+      promised(field, allowed) AS (VALUES {names}),
+      counted AS (
+        SELECT ingestion_date, field, kind, count(*) AS messages FROM kinds GROUP BY ALL
+        UNION ALL
+        SELECT ingestion_date, NULL, CASE WHEN valid THEN 'no object' ELSE 'unreadable' END, count(*)
+        FROM read WHERE whole IS DISTINCT FROM 'OBJECT' GROUP BY ALL),
+      absent AS (
+        SELECT o.ingestion_date, field, n - coalesce(seen, 0) AS messages
+        FROM (SELECT ingestion_date, count(*) AS n FROM objects GROUP BY ALL) o CROSS JOIN promised
+        LEFT JOIN (SELECT ingestion_date, field, count(*) AS seen FROM fields GROUP BY ALL) s
+          USING (ingestion_date, field))
+    SELECT '{feed}' AS feed, c.ingestion_date, c.field, c.kind, c.messages,
+           CASE WHEN c.field IS NULL THEN 'unreadable' WHEN p.field IS NULL THEN 'unknown'
+                WHEN list_contains(string_split(allowed, ' '), kind) THEN 'expected'
+                WHEN kind = 'null' THEN 'empty' ELSE 'other kind' END AS verdict
+    FROM counted c LEFT JOIN promised p USING (field)
+    UNION ALL
+    SELECT '{feed}', ingestion_date, field, 'missing', messages, 'missing' FROM absent WHERE messages > 0"""
+
+
 def _silver_and_gold(prefix: str, cte: str) -> str:
     """Rename the shared CTE names so that both feeds fit in one statement."""
     for name in ("copies", "typed", "complete", "distinct_rows", "silver"):
@@ -278,7 +336,39 @@ def oracle_sql() -> dict[str, str]:
         "layers_gold_top_funds": f"WITH {_NAV}, {_FUNDS} {top}",
         "layers_quality": f"SELECT * FROM ({quality[0]}) UNION ALL SELECT * FROM ({quality[1]})",
     }
+    good_type = "transaction_type IN ('BUY', 'SELL', 'REDEEM')"
+    nav_needs = "scheme_code IS NOT NULL AND nav IS NOT NULL AND event_timestamp IS NOT NULL"
+    txn_needs = (
+        "transaction_id IS NOT NULL AND scheme_code IS NOT NULL AND amount IS NOT NULL"
+        " AND event_timestamp IS NOT NULL"
+    )
+    nav_fields = {
+        "timestamp": "string", "scheme_code": "integer", "scheme_name": "string",
+        "nav": "integer number",
+    }
+    txn_fields = {
+        "transaction_id": "string", "timestamp": "string", "scheme_code": "integer",
+        "transaction_type": "string", "amount": "integer number", "status": "string",
+    }
     steps = {
+        "rejected_nav": _rejected(
+            _NAV, "nav", nav_needs, "scheme_code, event_timestamp", "nav", "nav > 0"
+        ),
+        "rejected_txn": _rejected(
+            _TXN, "txn", txn_needs, "transaction_id", "amount",
+            f"amount > 0 AND ({good_type}) IS TRUE",
+        ),
+        "drift_nav": _drift("nav", nav_fields),
+        "drift_txn": _drift("txn", txn_fields),
+        "positions_aum_by_fund": f"""WITH {_TXN}
+          SELECT * REPLACE (position::bigint AS position)
+          FROM ({first(_net_flow('silver'), f'{by_day}, {by_fund}')})""",
+        "positions_nav_performance": f"""WITH {_NAV}, {_DAYS}
+          SELECT * REPLACE (position::bigint AS position) FROM ({first(_PERFORMANCE, best)})""",
+        "positions_lineitem": f"""WITH {_LINES}
+          SELECT transaction_id, amount, row_number() OVER (ORDER BY amount DESC, transaction_id,
+            l_shipdate, l_partkey, l_suppkey, l_quantity, l_discount, l_tax) AS position
+          FROM lines""",
         "increments_silver_nav": f"WITH {_NAV} SELECT * FROM silver",
         "increments_silver_txn": f"WITH {_TXN} SELECT * FROM silver",
         "increments_quality": f"SELECT * FROM ({quality[0]}) UNION ALL SELECT * FROM ({quality[1]})",

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from fundflow_checks import feeds
 from fundflow.functions import billionths, moments, sample_deviation
-from fundflow.operators import prices, quality, ranking, summary, transactions
+from fundflow.operators import drift, prices, quality, ranking, summary, transactions
 from fundflow.operators.dedup import first_per_key
+from fundflow.operators.positions import positions
 from fundflow.operators.envelope import to_envelope
-from fundflow.plans import silver
+from fundflow.plans import quarantine, silver
 from fundflow.plans.gold_increments import GoldIncrements
 from fundflow.plans.increments import SilverIncrements
 from fundflow.plans.medallion import LakeConfig, RunReport, run_all
@@ -308,6 +309,57 @@ def shown_top_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.shown("gold_top_funds", gold_top_funds(spark, sf_dir))
 
 
+# What is rejected, and what messages hold
+
+
+def _rejected(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
+    path = silver_path(new_folder(spark, "split"), feed.folder)
+    quarantine.split_silver(_bronze(spark, sf_dir, feed), feed, path)
+    return quarantine.read_rejected(spark, path, feed)
+
+
+@register
+def rejected_nav(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rejected(spark, sf_dir, NAV)
+
+
+@register
+def rejected_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rejected(spark, sf_dir, TXN)
+
+
+@register
+def drift_nav(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.schema_drift(_bronze(spark, sf_dir, NAV), NAV)
+
+
+@register
+def drift_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.schema_drift(_bronze(spark, sf_dir, TXN), TXN)
+
+
+# Places of all rows
+
+
+@register
+def positions_aum_by_fund(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positions(gold_aum_by_fund(spark, sf_dir), summary.total_order("gold_aum_by_fund"))
+
+
+@register
+def positions_nav_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frame = gold_nav_performance(spark, sf_dir)
+    return positions(frame, summary.total_order("gold_nav_performance"))
+
+
+@register
+def positions_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines from the dearest on."""
+    lines = feeds.lineitem_transactions(spark, sf_dir)
+    order = [F.desc("amount"), F.asc("transaction_id"), *map(F.asc, feeds.LINE_ORDER)]
+    return positions(lines, order).select("transaction_id", "amount", "position")
+
+
 # All layers by one run
 
 
@@ -319,7 +371,8 @@ def _run(spark: SparkSession, sf_dir: str) -> tuple[LakeConfig, RunReport]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
         root = new_folder(spark, "layers")
-        cfg = LakeConfig(root=root, warehouse=SnapshotWarehouse(f"{root}/gold"), min_funds=1)
+        gold = SnapshotWarehouse(f"{root}/gold")
+        cfg = LakeConfig(root=root, warehouse=gold, min_funds=1, keep_rejected=True)
         events = feeds.table_stream(spark, sf_dir, "events")
         streams = {"nav": feeds.nav_records(events), "txn": feeds.txn_records(events)}
         _RUNS[key] = cfg, run_all(spark, cfg, streams)
@@ -327,7 +380,8 @@ def _run(spark: SparkSession, sf_dir: str) -> tuple[LakeConfig, RunReport]:
 
 
 def _layer(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
-    nav, txn = read_silver(spark, _run(spark, sf_dir)[0].silver)
+    cfg, _ = _run(spark, sf_dir)
+    nav, txn = read_silver(spark, cfg.silver, part=cfg.silver_part)
     return _published(nav if feed is NAV else txn, feed)
 
 
@@ -368,17 +422,20 @@ def layers_gold_top_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def layers_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The counts that the run reported while it wrote."""
-    _, report = _run(spark, sf_dir)
-    counts = [(f, rule, n) for f, rules in report.quality.items() for rule, n in rules.items()]
-    return spark.createDataFrame(counts, "feed string, rule string, rows long")
+    """What the files of the run say of every message: kept, rejected or repeated."""
+    cfg, _ = _run(spark, sf_dir)
+    nav, txn = (
+        quarantine.stored_quality(spark, silver_path(cfg.silver, feed.folder), feed)
+        for feed in (NAV, TXN)
+    )
+    return nav.union(txn)
 
 
 @register
 def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both feeds through every layer; the number of rows in each table."""
     cfg, _ = _run(spark, sf_dir)
-    nav, txn = read_silver(spark, cfg.silver)
+    nav, txn = read_silver(spark, cfg.silver, part=cfg.silver_part)
     tables = {
         "bronze_nav": read_bronze(spark, cfg.bronze(NAV)),
         "bronze_txn": read_bronze(spark, cfg.bronze(TXN)),

@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from fundflow.operators.quality import judge_each
+from fundflow.plans import quarantine, silver
+from fundflow.schemas import NAV, TXN
+from fundflow.sources.lake import read_bronze, read_silver, silver_path
+from fundflow.sources.workspace import new_folder
+from fundflow_checks import feeds
+from tests.frames import bronze, message, plan_text, price, rows, transaction
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def counts(report):
+    return {r["rule"]: r["rows"] for r in report.collect()}
+
+
+@pytest.mark.parametrize("feed", [NAV, TXN], ids=["nav", "txn"])
+def test_kept_rejected_and_repeated_add_up(spark, feed):
+    landed = (feeds.nav_bronze if feed is NAV else feeds.txn_bronze)(spark, SMALL)
+    root = new_folder(spark, "split")
+    path = silver_path(root, feed.folder)
+    reported = quarantine.split_silver(landed, feed, path)
+    whole = silver.silver_nav(landed) if feed is NAV else silver.silver_txn(landed)
+    report = counts((silver.nav_quality if feed is NAV else silver.txn_quality)(landed))
+    assert reported == report == counts(quarantine.stored_quality(spark, path, feed))
+    kept = spark.read.schema(feed.silver).parquet(path + quarantine.KEPT)
+    assert rows(kept.select(*whole.columns)) == rows(whole)
+    rejected = quarantine.read_rejected(spark, path, feed)
+    by_rule = {r["rule"]: r["n"] for r in rejected.groupBy("rule").agg({"*": "count"}).toDF("rule", "n").collect()}
+    assert by_rule == {r: n for r, n in report.items() if r in by_rule}
+    assert sum(by_rule.values()) + report["kept"] + report["duplicate"] == report["read"]
+
+
+def test_rejected_rows_say_where_they_came_from(spark):
+    sent = datetime(2024, 3, 2, 1)
+    landed = bronze(
+        spark,
+        [
+            transaction("A"),
+            message("not json", "txn_raw", partition=3, offset=8, sent=sent),
+            message(None, "txn_raw", partition=3, offset=9, sent=sent),
+            transaction("B", amount=-4.0, offset=5),
+            transaction("B", offset=6),
+            transaction("C", kind="GIFT", offset=7),
+        ],
+    )
+    path = new_folder(spark, "split")
+    quarantine.split_silver(landed, TXN, path)
+    got = {r["kafka_offset"]: r for r in quarantine.read_rejected(spark, path, TXN).collect()}
+    assert {k: (r["rule"], r["kafka_partition"], r["messages"]) for k, r in got.items()} == {
+        8: ("required", 3, 1), 9: ("required", 3, 1), 5: ("not_positive", 0, 2), 7: ("bad_domain", 0, 1),
+    }
+    assert (got[8]["json_payload"], got[9]["json_payload"]) == ("not json", None)
+    assert '"amount": -4.0' in got[5]["json_payload"] and got[8]["ingestion_date"].day == 2
+    stored = quarantine.read_outcomes(spark, path, TXN).filter("outcome = 'kept'")
+    assert [r["json_payload"] for r in stored.collect()] == [None]
+
+
+def test_messages_are_parsed_once_and_hot_gaps_are_spread(spark):
+    judged = quarantine.outcomes(feeds.txn_bronze(spark, SMALL), TXN)
+    assert plan_text(judged).count("from_json(") == 1
+    # Incomplete messages share no key: each has a group of its own.
+    gaps = bronze(spark, [message("x", "nav_raw", offset=k) for k in range(40)])
+    typed = silver.typed_rows(gaps, NAV).withColumn("json_payload", F.lit("x"))
+    assert judge_each(typed, NAV).filter("messages = 1").count() == 40
+
+
+def test_empty_feed(spark):
+    path = new_folder(spark, "split")
+    assert set(quarantine.split_silver(bronze(spark, []), NAV, path).values()) == {0}
+    assert quarantine.read_rejected(spark, path, NAV).count() == 0
+
+
+def test_a_whole_run_keeps_what_it_rejects(spark):
+    root = new_folder(spark, "bronze")
+    bronze(spark, [price(), price(-1.0, fund=2, offset=1)]).write.partitionBy("ingestion_date").parquet(root)
+    out = new_folder(spark, "silver")
+    quarantine.split_silver(read_bronze(spark, root), NAV, silver_path(out, NAV.folder))
+    quarantine.split_silver(bronze(spark, []), TXN, silver_path(out, TXN.folder))
+    # An empty table has no folder of kept rows; one with rows is read by its part.
+    nav = spark.read.schema(NAV.silver).parquet(silver_path(out, NAV.folder) + quarantine.KEPT)
+    assert nav.count() == 1
+    assert read_silver(spark, out)[0].count() == 2
