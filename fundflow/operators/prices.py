@@ -60,17 +60,32 @@ def fund_days(nav: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
     return published_fund_days(fund_day_states(nav, day_col), day_col)
 
 
-def published_fund_days(by_name: DataFrame, day_col: str = "ingestion_date") -> DataFrame:
+def published_fund_days(
+    by_name: DataFrame, day_col: str = "ingestion_date", stored: bool = False
+) -> DataFrame:
     """Prices, means and deviations of states.
 
     Opening and closing price belong to the fund and day: a fund that is renamed
-    within a day has a row per name, all with the same two prices. The window
-    only sees one row per name.
+    within a day has a row per name, all with the same two prices. A window over
+    the names of a fund and day finds them in one pass. Where the states are
+    ``stored``, and so cheap to read twice, they are found by an aggregate that
+    merges map-side, and joined back; then a feed that puts a counter into the
+    name of a fund does not send a whole fund day to one task.
     """
-    # No order: min_by and max_by need one exchange and one sort on the keys.
-    whole_day = Window.partitionBy("scheme_code", day_col)
-    opening = F.min_by("first_nav", "first_at").over(whole_day)
-    closing = F.max_by("last_nav", "last_at").over(whole_day)
+    keys = ["scheme_code", day_col]
+    if stored:
+        prices = by_name.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+            F.min_by("first_nav", "first_at").alias("_opening"),
+            F.max_by("last_nav", "last_at").alias("_closing"),
+        )
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        by_name = by_name.join(prices, same[0] & same[1])
+        opening, closing = F.col("_opening"), F.col("_closing")
+    else:
+        # No order: min_by and max_by need one exchange and one sort on the keys.
+        whole_day = Window.partitionBy(*keys)
+        opening = F.min_by("first_nav", "first_at").over(whole_day)
+        closing = F.max_by("last_nav", "last_at").over(whole_day)
     return by_name.select(
         "scheme_code",
         "scheme_name",

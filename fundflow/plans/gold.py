@@ -8,7 +8,12 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from fundflow.operators.prices import fund_days, nav_performance
+from fundflow.operators.prices import (
+    fund_day_states,
+    fund_days,
+    nav_performance,
+    published_fund_days,
+)
 from fundflow.operators.ranking import top_funds
 from fundflow.operators.transactions import aum_by_fund, txn_days, txn_volume
 
@@ -35,11 +40,11 @@ def shared_gold_tables(nav: DataFrame, txn: DataFrame) -> Iterator[dict[str, Dat
     fund and day (and type), not the ticks, may spill to disk, and are computed
     again from silver where an executor is lost.
     """
-    days = [fund_days(nav), txn_days(txn)]
-    for frame in days:
-        frame.persist(StorageLevel.MEMORY_AND_DISK)
+    states = fund_day_states(nav).persist(StorageLevel.MEMORY_AND_DISK)
+    days = published_fund_days(states, stored=True).persist(StorageLevel.MEMORY_AND_DISK)
+    flows = txn_days(txn).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield _tables(*days)
+        yield _tables(days, flows)
     finally:
-        for frame in days:
+        for frame in (days, states, flows):
             frame.unpersist()

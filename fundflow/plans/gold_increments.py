@@ -112,7 +112,7 @@ class GoldIncrements:
         return feed.name, (now, live)
 
     def _tables(self, states: dict[str, dict]) -> dict[str, DataFrame]:
-        days = published_fund_days(self.states(NAV, states[NAV.name]))
+        days = published_fund_days(self.states(NAV, states[NAV.name]), stored=True)
         transactions = self.states(TXN, states[TXN.name])
         return {
             "gold_aum_by_fund": aum_by_fund(transactions),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +24,7 @@ from fundflow.streaming.landing import (
     ingest_feed,
     stop_feeds,
 )
+from fundflow.streaming.offsets import committed_offsets
 
 FEEDS = (NAV, TXN)
 _UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
@@ -35,8 +36,8 @@ class LakeConfig:
 
     ``topic_options`` goes to the topic readers (see ``kafka_options``). Bronze is
     landed below ``period``, a name of the caller's, and read from that and
-    ``earlier`` periods: a new period begins a new file log. A new period also
-    begins a new checkpoint, so give the topics' starting offsets with it. With
+    ``earlier`` periods: a new period begins a new file log and a new checkpoint. Its
+    topics begin where the last of ``earlier`` ended, so name that one last. With
     ``keep_rejected`` silver also holds the messages that broke a rule.
     """
 
@@ -82,10 +83,25 @@ class RunReport:
     total_funds: int
 
 
+def starting_offsets(spark: SparkSession, cfg: LakeConfig, feed: Feed) -> str:
+    """Where a feed's topic begins in this period: at the end of the last one, if there was one."""
+    if not cfg.earlier:
+        return "earliest"
+    last = replace(cfg, period=cfg.earlier[-1], earlier=())
+    ended = committed_offsets(spark, last.checkpoint(feed), last.bronze(feed))
+    return ended[0] if ended else "earliest"
+
+
 def topic_streams(spark: SparkSession, cfg: LakeConfig) -> dict[str, DataFrame]:
     """One stream per feed, from the message broker."""
     return {
-        feed.name: kafka_stream(spark, feed.topic, cfg.servers, extra=cfg.topic_options)
+        feed.name: kafka_stream(
+            spark,
+            feed.topic,
+            cfg.servers,
+            starting=starting_offsets(spark, cfg, feed),
+            extra=cfg.topic_options,
+        )
         for feed in FEEDS
     }
 

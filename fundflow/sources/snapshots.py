@@ -24,6 +24,8 @@ from typing import Any
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+from fundflow.sources.files import context, names, text
+
 _NAME = re.compile(r"^(\d{12})\.json$")
 
 
@@ -45,14 +47,8 @@ class Snapshots:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        jvm = spark._jvm
-        self._hadoop = jvm.org.apache.hadoop.fs
-        uri = self._path(self.root).toUri()
-        self._conf = spark._jsc.hadoopConfiguration()
-        if uri.getScheme() is None:
-            self._files = self._hadoop.FileContext.getFileContext(self._conf)
-        else:
-            self._files = self._hadoop.FileContext.getFileContext(uri, self._conf)
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self._files, _ = context(spark, self.root)
 
     def _path(self, text: str) -> Any:
         return self._hadoop.Path(text)
@@ -61,25 +57,14 @@ class Snapshots:
         """A fresh folder for data; it is not created."""
         return f"{self.root}/data/{label}-{uuid.uuid4().hex}"
 
-    def _names(self, folder: str) -> list[tuple[str, int]]:
-        """Entries of a folder with their times in milliseconds."""
-        at = self._path(f"{self.root}/{folder}")
-        if not self._files.util().exists(at):
-            return []
-        return [
-            (s.getPath().getName(), s.getModificationTime())
-            for s in self._files.util().listStatus(at)
-        ]
-
     def numbers(self) -> list[int]:
         """Numbers of all versions, ascending."""
-        found = (_NAME.match(name) for name, _ in self._names("versions"))
+        found = (_NAME.match(name) for name, _ in names(self.spark, f"{self.root}/versions"))
         return sorted(int(m[1]) for m in found if m)
 
     def read(self, number: int) -> Version:
         path = f"{self.root}/versions/{number:012d}.json"
-        text = self.spark.read.text(path, wholetext=True).first()[0]
-        return Version(number, json.loads(text))
+        return Version(number, json.loads(text(self.spark, path)))
 
     def current(self) -> Version:
         numbers = self.numbers()
@@ -90,7 +75,7 @@ class Snapshots:
         number = after.number + 1
         folder = self._path(f"{self.root}/versions")
         hidden = self._path(f"{self.root}/versions/.{uuid.uuid4().hex}")
-        store = folder.getFileSystem(self._conf)
+        store = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
         store.mkdirs(folder)
         out = store.create(hidden, False)
         try:
@@ -121,7 +106,7 @@ class Snapshots:
             self._files.delete(self._path(f"{self.root}/versions/{number:012d}.json"), False)
         limit = (time.time() - older_than) * 1000
         gone = []
-        for name, changed in self._names("data"):
+        for name, changed in names(self.spark, f"{self.root}/data"):
             if name not in named and changed <= limit:
                 self._files.delete(self._path(f"{self.root}/data/{name}"), True)
                 gone.append(name)

@@ -8,13 +8,13 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from fundflow.operators.prices import fund_days, open_close
+from fundflow.operators.prices import fund_day_states, fund_days, open_close, published_fund_days
 from fundflow.operators.ranking import rank_descending
 from fundflow.operators.transactions import aum_by_fund, txn_days
 from fundflow.plans.settings import cluster_settings
 from fundflow.sources.lake import write_silver
 from fundflow.sources.workspace import new_folder
-from tests.frames import plan_text
+from tests.frames import plan_text, rows
 
 ROWS = 120_000
 
@@ -85,6 +85,25 @@ def test_hot_group_is_reduced_before_the_shuffle(spark, hot_ticks):
         assert "SortAggregate" not in plan
 
 
+def test_a_fund_day_with_a_third_of_all_names_is_split(spark):
+    path = new_folder(spark, "states")
+    names = spark.range(ROWS // 4).selectExpr(
+        "if(id % 3 = 0, 7, cast(id % 300 as int)) as scheme_code",
+        "concat('F', id) as scheme_name",
+        "cast(id % 977 + 1 as double) as nav",
+        "timestamp_seconds(1709251200 + id) as event_timestamp",
+        "date'2024-03-01' as ingestion_date",
+    )
+    fund_day_states(names).repartition(8).write.parquet(path)
+    states = spark.read.parquet(path)
+    columns = ["scheme_code", "scheme_name", "opening_nav", "closing_nav", "nav_volatility"]
+    want = rows(published_fund_days(states).select(*columns))
+    with small_partitions(spark):
+        days = published_fund_days(states, stored=True).select(*columns)
+        assert rows(days) == want
+        assert "SortMergeJoin(skew=true)" in plan_text(days) and "Window" not in plan_text(days)
+
+
 def test_a_value_shared_by_a_third_of_the_funds(spark):
     path = new_folder(spark, "funds")
     spark.range(ROWS).selectExpr(
