@@ -351,6 +351,7 @@ def oracle_sql() -> dict[str, str]:
         "transaction_type": "string", "amount": "integer number", "status": "string",
     }
     steps = {
+        "bronze_compacted": f"WITH {_COPIES} {_NAV_BRONZE}",
         "rejected_nav": _rejected(
             _NAV, "nav", nav_needs, "scheme_code, event_timestamp", "nav", "nav > 0"
         ),

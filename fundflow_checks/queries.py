@@ -14,6 +14,7 @@ from fundflow.operators.dedup import first_per_key
 from fundflow.operators.positions import positions
 from fundflow.operators.envelope import to_envelope
 from fundflow.plans import quarantine, silver
+from fundflow.plans.compaction import CompactedBronze
 from fundflow.plans.gold_increments import GoldIncrements
 from fundflow.plans.increments import SilverIncrements
 from fundflow.plans.medallion import LakeConfig, RunReport, run_all
@@ -105,6 +106,16 @@ def bronze_stream_two_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.groupBy("topic", "ingestion_date").agg(F.count("*").alias("messages"))
 
 
+@register
+def bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices landed by the stream, each day then written as one segment."""
+    root = new_folder(spark, "compacted")
+    _drain(spark, sf_dir, root, "nav")
+    table = CompactedBronze(spark, f"{root}/nav", f"{root}/compacted")
+    table.compact(least_files=1)
+    return plain_times(table.read())
+
+
 # Silver
 
 
