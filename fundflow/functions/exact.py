@@ -19,8 +19,6 @@ of them is published from the plain sum.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,8 +28,8 @@ _HALF = 30
 _PARTS = ("high", "low", "up", "down", "top", "next", "first", "second", "third")
 _FRACTION = "DECIMAL(27,26)"
 # A total that can be published with a digit to spare, and with that digit.
-_TOTAL = "decimal(36,10)"
-_STICKY = "decimal(37,11)"
+_TOTAL = "DECIMAL(36,10)"
+_STICKY = "DECIMAL(37,11)"
 
 
 def exact_sum(column: str) -> Column:
@@ -88,133 +86,162 @@ def exact_sum(column: str) -> Column:
     )
 
 
-def add_up(total: Column, where: Column) -> Column:
-    """Aggregate: the sum of the sums for which ``where`` holds, zero if there are none."""
-    chosen = F.when(where, total)
-    return F.struct(
-        *[F.coalesce(F.sum(chosen[name]), F.lit(0)).alias(name) for name in _PARTS],
-        F.coalesce(F.sum(chosen["outside"]), F.lit(0)).alias("outside"),
-        F.coalesce(F.sum(chosen["rough"]), F.lit(0.0)).alias("rough"),
-    )
+def add_up(column: str) -> Column:
+    """Aggregate: the sums in a column as one, zero if there are none."""
+    fields = ", ".join(f"'{n}', coalesce(sum(`{column}`.{n}), 0L)" for n in (*_PARTS, "outside"))
+    return F.expr(f"named_struct({fields}, 'rough', coalesce(sum(`{column}`.rough), 0D))")
 
 
-def minus(a: Column, b: Column) -> Column:
-    """Difference of two sums; NULL if one is."""
-    return F.when(
-        a.isNotNull() & b.isNotNull(),
-        F.struct(
-            *[(a[name] - b[name]).alias(name) for name in _PARTS],
-            (a["outside"] + b["outside"]).alias("outside"),
-            (a["rough"] - b["rough"]).alias("rough"),
-        ),
-    )
+def minus(a: str, b: str) -> Column:
+    """Difference of two columns of sums; NULL if one is."""
+    fields = ", ".join(f"'{n}', `{a}`.{n} - `{b}`.{n}" for n in (*_PARTS, "outside", "rough"))
+    fields = fields.replace(f"`{a}`.outside - ", f"`{a}`.outside + ")
+    return F.expr(f"CASE WHEN `{a}` IS NOT NULL AND `{b}` IS NOT NULL THEN named_struct({fields}) END")
+
+
+def let(value: Column, name: str, then: str) -> Column:
+    """``then``, an expression in SQL, with the value computed once and known by a name.
+
+    Publishing is done once per group; kept out of the generated code of the
+    aggregate, its many decimal steps do not make that too long to compile. As text
+    it is one call to the JVM instead of hundreds.
+    """
+    return F.get(F.call_function("transform", F.array(value), F.expr(f"{name} -> {then}")), F.lit(0))
 
 
-def _number(part: Column) -> Column:
-    return part.cast("decimal(19,0)")
+def let_sql(value: str, name: str, then: str) -> str:
+    """``let`` within another such expression."""
+    return f"get(transform(array({value}), {name} -> {then}), 0)"
+
+
+def _number(part: str) -> str:
+    return f"CAST({part} AS DECIMAL(19,0))"
+
+
+def _base(t: str) -> str:
+    whole = f"({_number(f'{t}.high')} * CAST({_LOW}BD AS DECIMAL(10,0)) + {_number(f'{t}.low')})"
+    return f"CAST({whole} * 0.0001BD AS DECIMAL(38,10))"
+
+
+def _whole(t: str) -> str:
+    below = f"CAST({_number(f'{t}.up')} * CAST({2**_HALF}BD AS DECIMAL(10,0)) + {_number(f'{t}.down')} AS DECIMAL(37,0))"
+    nine = "CAST(1000000000BD AS DECIMAL(10,0))"
+    above = f"CAST({_number(f'{t}.top')} * {nine} + {_number(f'{t}.next')} AS DECIMAL(30,0))"
+    scale = "CAST(1000000000000000000BD AS DECIMAL(19,0))"
+    above = f"TRY_CAST(try_multiply({above}, {scale}) AS DECIMAL(37,0))"
+    return f"TRY_CAST(try_add({below}, {above}) AS DECIMAL(38,0))"
+
+
+def _fine(t: str) -> str:
+    nano, kind = "0.000000001BD", "DECIMAL(36,26)"
+    first = f"CAST({_number(f'{t}.first')} * {nano} AS {kind})"
+    second = f"CAST(CAST({_number(f'{t}.second')} * {nano} AS DECIMAL(19,9)) * {nano} AS {kind})"
+    third = f"CAST({_number(f'{t}.third')} * {nano} AS DECIMAL(19,9)) * {nano}"
+    third = f"CAST(CAST({third} AS DECIMAL(19,18)) * 0.00000001BD AS {kind})"
+    return f"CAST({first} + {second} + {third} AS DECIMAL(38,26))"
 
 
 def base_of(total: Column) -> Column:
     """What the values with at most four decimals add up to."""
-    whole = _number(total["high"]) * F.lit(_LOW).cast("decimal(10,0)") + _number(total["low"])
-    return (whole * F.expr("0.0001BD")).cast("decimal(38,10)")
+    return let(total, "t", _base("t"))
 
 
 def whole_of(total: Column) -> Column:
     """The whole parts of the other values; NULL beyond 38 digits."""
-    below = _number(total["up"]) * F.lit(2**_HALF).cast("decimal(10,0)") + _number(total["down"])
-    nine = F.lit(10**9).cast("decimal(10,0)")
-    above = (_number(total["top"]) * nine + _number(total["next"])).cast("decimal(30,0)")
-    scale = F.expr("CAST(1000000000000000000BD AS DECIMAL(19,0))")
-    above = F.try_multiply(above, scale).try_cast("decimal(37,0)")
-    return F.try_add(below.cast("decimal(37,0)"), above).try_cast("decimal(38,0)")
+    return let(total, "t", _whole("t"))
 
 
 def fraction_of(total: Column) -> Column:
     """Their fractions."""
-    nano, kind = F.expr("0.000000001BD"), "decimal(36,26)"
-    first = (_number(total["first"]) * nano).cast(kind)
-    second = ((_number(total["second"]) * nano).cast("decimal(19,9)") * nano).cast(kind)
-    third = (_number(total["third"]) * nano).cast("decimal(19,9)") * nano
-    third = (third.cast("decimal(19,18)") * F.expr("0.00000001BD")).cast(kind)
-    return (first + second + third).cast("decimal(38,26)")
+    return let(total, "t", _fine("t"))
 
 
-def _sticky(total: Column) -> Column:
+def _sticky(t: str) -> str:
     """The sum with an eleventh decimal that only says whether more follows.
 
     Enough to round once to ten places or fewer. NULL from 10**26 on.
     """
-    fine = fraction_of(total)
-    down = F.floor(fine, F.lit(10)).cast("decimal(20,10)")
-    more = F.when(fine > down, F.expr("0.00000000001BD")).otherwise(F.expr("0.00000000000BD"))
-    base, whole = base_of(total).try_cast(_TOTAL), whole_of(total).try_cast(_TOTAL)
-    exact = F.try_add(F.try_add(base, whole), down).try_cast(_TOTAL)
-    return F.try_add(exact.cast(_STICKY), more).try_cast(_STICKY)
-
+    exact = (
+        f"try_add(try_add(TRY_CAST({_base(t)} AS {_TOTAL}), TRY_CAST({_whole(t)} AS {_TOTAL})), f.down)"
+    )
+    more = "CASE WHEN f.fine > f.down THEN 0.00000000001BD ELSE 0.00000000000BD END"
+    sticky = f"TRY_CAST(try_add(CAST(TRY_CAST({exact} AS {_TOTAL}) AS {_STICKY}), {more}) AS {_STICKY})"
+    both = "named_struct('fine', x, 'down', CAST(floor(x, 10) AS DECIMAL(20,10)))"
+    return let_sql(let_sql(_fine(t), "x", both), "f", sticky)
 
-def _coarse(total: Column) -> Column:
-    return F.try_add(whole_of(total), base_of(total).try_cast("decimal(38,0)")).cast("double")
 
+def _coarse(t: str) -> str:
+    return f"CAST(try_add({_whole(t)}, TRY_CAST({_base(t)} AS DECIMAL(38,0))) AS DOUBLE)"
 
-def _let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then(value)``, with the value computed once and named within a lambda.
 
-    Publishing is done once per group; kept out of the generated code of the
-    aggregate, its many decimal steps do not make that too long to compile.
-    """
-    return F.get(F.transform(F.array(value), then), F.lit(0))
+def _published(t: str, fine: str, coarse: str, rough: str) -> str:
+    exact = f"coalesce(CAST({fine} AS DOUBLE), {coarse}, {rough})"
+    return f"CASE WHEN {t}.outside > 0 THEN {rough} ELSE {exact} END"
 
 
-def _published(total: Column, fine: Column, coarse: Column, rough: Column) -> Column:
-    exact = F.coalesce(fine.cast("double"), coarse, rough)
-    return F.when(total["outside"] > 0, rough).otherwise(exact)
+def _on_grid(total: Column, unit: int) -> Column:
+    """Whether a sum has only four-decimal values, and few enough units to be a double exactly."""
+    parts = total["outside"]
+    for name in _PARTS[2:]:
+        parts = parts.bitwiseOR(total[name])
+    return (parts == 0) & (F.abs(total["high"]) < F.lit(2**33 * unit))
 
 
-def settle(total: Column, places: int) -> Column:
-    """A sum rounded half-up once, as double.
+def _steps(total: Column) -> Column:
+    """A sum on the grid as a whole number of ten-thousandths."""
+    return total["high"] * F.lit(_LOW) + total["low"]
 
-    From 10**26 on the fraction is dropped: a double has no digits for it.
-    """
 
-    def one(t: Column) -> Column:
-        return _published(t, F.round(_sticky(t), places), _coarse(t), F.round(t["rough"], places))
+def _signed(size: Column, steps: Column, places: int) -> Column:
+    value = F.when(steps < 0, -size).otherwise(size)
+    return value.cast("double") / F.lit(float(10**places))
 
-    return _let(total, one)
 
+def settle(total: Column, places: int) -> Column:
+    """A sum rounded half-up once, as double.
 
-def _rounded(value: Column, n: Column, places: int) -> Column:
+    From 10**26 on the fraction is dropped: a double has no digits for it. Sums of
+    four-decimal values, nearly all, are rounded as whole numbers.
+    """
+    rough = f"round(t.rough, {places})"
+    exact = _published("t", f"round({_sticky('t')}, {places})", _coarse("t"), rough)
+    if places > 4:
+        return let(total, "t", exact)
+    unit = 10 ** (4 - places)
+    steps = _steps(total)
+    size = F.call_function("div", F.abs(steps) + F.lit(unit // 2), F.lit(unit))
+    plain = _signed(size, steps, places)
+    return F.when(_on_grid(total, unit), plain).otherwise(let(total, "t", exact))
+
+
+def _rounded(value: str, n: str, places: int) -> str:
     """``value / n``, half up.
 
     Spark's quotient has eleven decimals, rounded. If those end in a tie, the
     product with ``n`` tells in whole numbers whether the true mean lies below it.
     """
-    size = F.abs(value)
-    quotient = F.try_divide(size, n.cast("decimal(19,0)")).try_cast("decimal(36,11)")
-
-    def decide(q: Column) -> Column:
-        short = F.round(q, 5)
-        scaled = F.try_multiply(short.try_cast("decimal(30,5)"), F.lit(100_000))
-        product = F.try_multiply(scaled.try_cast("decimal(19,0)"), n.cast("decimal(19,0)"))
-        exact = F.try_multiply(size, F.lit(100_000)).try_cast("decimal(38,6)")
-        below = F.coalesce((short == q) & (product > exact), F.lit(False))
-        nudged = F.when(below, q - F.expr("0.00000000001BD")).otherwise(q)
-        return F.round(nudged, places)
-
-    rounded = _let(quotient, decide)
-    return F.when(value < 0, -rounded).otherwise(rounded)
+    scaled = "TRY_CAST(try_multiply(TRY_CAST(round(q, 5) AS DECIMAL(30,5)), 100000) AS DECIMAL(19,0))"
+    product = f"try_multiply({scaled}, CAST({n} AS DECIMAL(19,0)))"
+    exact = f"TRY_CAST(try_multiply(abs({value}), 100000) AS DECIMAL(38,6))"
+    below = f"coalesce(round(q, 5) = q AND {product} > {exact}, false)"
+    decided = f"round(CASE WHEN {below} THEN q - 0.00000000001BD ELSE q END, {places})"
+    quotient = f"TRY_CAST(try_divide(abs({value}), CAST({n} AS DECIMAL(19,0))) AS DECIMAL(36,11))"
+    rounded = let_sql(quotient, "q", decided)
+    return let_sql(rounded, "r", f"CASE WHEN {value} < 0 THEN -r ELSE r END")
 
 
 def mean_of(total: Column, n: Column, places: int) -> Column:
     """The mean rounded half-up once, to at most four places; NULL if there are no values."""
-
-    def one(s: Column) -> Column:
-        t, count = s["t"], s["n"]
-        exact = _let(_sticky(t), lambda value: _rounded(value, count, places))
-        rough = F.round(F.try_divide(t["rough"], count), places)
-        return F.when(count > 0, _published(t, exact, F.try_divide(_coarse(t), count), rough))
-
-    return _let(F.struct(total.alias("t"), n.alias("n")), one)
+    unit = 10 ** (4 - places)
+    steps, whole = _steps(total), n * F.lit(unit)
+    # Half up: twice the sum and the count, by twice the count.
+    size = F.call_function("div", F.abs(steps) * 2 + whole, whole * 2)
+    exact = let_sql(_sticky("s.t"), "v", _rounded("v", "s.n", places))
+    rough = f"round(try_divide(s.t.rough, s.n), {places})"
+    slow = _published("s.t", exact, f"try_divide({_coarse('s.t')}, s.n)", rough)
+    plain = (n > 0) & (n < F.lit(2**40)) & _on_grid(total, unit)
+    whole_way = let(F.struct(total.alias("t"), n.alias("n")), "s", f"CASE WHEN s.n > 0 THEN {slow} END")
+    return F.when(plain, _signed(size, steps, places)).otherwise(whole_way)
 
 
 def exact_mean(column: str, places: int) -> Column:

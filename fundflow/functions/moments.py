@@ -14,17 +14,15 @@ that holds one, or whose squared distances add up to more than 38 digits of
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fundflow.functions.exact import _let
+from fundflow.functions.exact import let, let_sql
 
 _HALF = 31
 _LIMIT = 4.6e9
 _SUMS = ("up", "down", "uu_high", "uu_low", "ud_high", "ud_low", "dd_high", "dd_low", "n", "outside")
-_WIDE = "decimal(38,0)"
+_WIDE = "DECIMAL(38,0)"
 
 
 def billionths(column: str) -> Column:
@@ -61,108 +59,111 @@ def moments(column: str, whole: str) -> Column:
 
 def add_moments(states: str) -> Column:
     """Aggregate: several states of ``moments`` as one."""
-    return F.struct(
-        *[F.sum(f"{states}.{name}").alias(name) for name in (*_SUMS, "rough", "rough_squares")]
-    )
+    names = (*_SUMS, "rough", "rough_squares")
+    return F.expr(f"named_struct({', '.join(f"'{n}', sum(`{states}`.{n})" for n in names)})")
 
 
-def _wide(value: Column) -> Column:
-    return value.cast(_WIDE)
+def _wide(value: str) -> str:
+    return f"CAST({value} AS {_WIDE})"
 
 
-def _times(a: Column, b: Column) -> Column:
-    return F.try_multiply(_wide(a), _wide(b)).cast(_WIDE)
+def _times(a: str, b: str) -> str:
+    return _wide(f"try_multiply({_wide(a)}, {_wide(b)})")
 
 
-def _plus(a: Column, b: Column) -> Column:
-    return F.try_add(_wide(a), _wide(b)).cast(_WIDE)
+def _plus(a: str, b: str) -> str:
+    return _wide(f"try_add({_wide(a)}, {_wide(b)})")
 
 
-def _less(a: Column, b: Column) -> Column:
-    return F.try_subtract(_wide(a), _wide(b)).cast(_WIDE)
+def _less(a: str, b: str) -> str:
+    return _wide(f"try_subtract({_wide(a)}, {_wide(b)})")
 
 
-def _shifted(value: Column, halves: int = 1) -> Column:
-    return _times(value, F.lit(2 ** (_HALF * halves)))
+def _shifted(value: str, halves: int = 1) -> str:
+    return _times(value, f"{2 ** (_HALF * halves)}L")
 
 
-def _let_all(values: dict[str, Column], then: Callable[[Column], Column]) -> Column:
-    return _let(F.struct(*[v.alias(n) for n, v in values.items()]), then)
+def _struct(**values: str) -> str:
+    return f"named_struct({', '.join(f"'{n}', {v}" for n, v in values.items())})"
 
 
-def _spread(m: Column, then: Callable[[Column], Column]) -> Column:
-    """``then`` with ``n``, ``d`` and ``r``: the squared distances from the mean sum to d - r * r / n.
+def _spread(m: str) -> str:
+    """``n``, ``d`` and ``r``: the squared distances from the mean sum to d - r * r / n.
 
     With the whole mean M and what is left of the sum, r, the squares less
     M * (sum + r) are d. All terms are split at bit 31, so that the large parts,
     which cancel, never become one number of more than 38 digits.
     """
-    n = m["n"]
-    total = _plus(_shifted(m["up"]), m["down"])
-    mean = F.call_function("div", total, _wide(n))
-
-    def with_mean(s: Column) -> Column:
-        mean_up, mean_down = F.shiftright(s["mean"], _HALF), s["mean"].bitwiseAND(2**_HALF - 1)
-        rest = _less(s["total"], _times(n, s["mean"]))
-        far_up = _less(_times(F.lit(2), m["up"]), _times(n, mean_up))
-        far_down = _less(_times(F.lit(2), m["down"]), _times(n, mean_down))
-        top = _less(_plus(_shifted(m["uu_high"]), m["uu_low"]), _times(mean_up, far_up))
-        middle = _plus(_shifted(m["ud_high"]), m["ud_low"])
-        middle = _less(_times(F.lit(2), middle), _times(mean_up, far_down))
-        middle = _less(middle, _times(mean_down, far_up))
-        low = _less(_plus(_shifted(m["dd_high"]), m["dd_low"]), _times(mean_down, far_down))
-        d = _plus(_plus(_shifted(top, 2), _shifted(middle)), low)
-        return _let_all({"n": _wide(n), "d": d, "r": rest}, then)
-
-    return _let_all({"total": total, "mean": mean}, with_mean)
-
+    total = _plus(_shifted(f"{m}.up"), f"{m}.down")
+    mean = let_sql(total, "w", _struct(total="w", mean=f"w div {_wide(f'{m}.n')}"))
+    split = _struct(
+        total="a.total",
+        mean="a.mean",
+        up=f"shiftright(a.mean, {_HALF})",
+        down=f"a.mean & {2**_HALF - 1}L",
+    )
+    far = _struct(
+        up=_less(_times("2", f"{m}.up"), _times(f"{m}.n", "b.up")),
+        down=_less(_times("2", f"{m}.down"), _times(f"{m}.n", "b.down")),
+    )
+    top = _less(_plus(_shifted(f"{m}.uu_high"), f"{m}.uu_low"), _times("b.up", "c.up"))
+    middle = _times("2", _plus(_shifted(f"{m}.ud_high"), f"{m}.ud_low"))
+    middle = _less(_less(middle, _times("b.up", "c.down")), _times("b.down", "c.up"))
+    low = _less(_plus(_shifted(f"{m}.dd_high"), f"{m}.dd_low"), _times("b.down", "c.down"))
+    found = _struct(
+        n=_wide(f"{m}.n"),
+        d=_plus(_plus(_shifted(top, 2), _shifted(middle)), low),
+        r=_less("b.total", _times(f"{m}.n", "b.mean")),
+    )
+    return let_sql(let_sql(mean, "a", split), "b", let_sql(far, "c", found))
 
-def sample_deviation(m: Column, places: int = 4) -> Column:
-    """The sample deviation, rounded half-up once; NULL below two values.
 
-    The root of the exact variance in doubles is right or next to right; the
-    limits between it and its neighbours, squared, are compared with the exact variance.
-    """
+def _from_spread(s: str, places: int) -> str:
+    """The root of the exact variance in doubles, then moved to where the exact one is."""
     unit = 10 ** (9 - places)
-
-    def publish(s: Column) -> Column:
-        n, d, r = s["n"], s["d"], s["r"]
-        left = (r.cast("double") * r.cast("double")) / n.cast("double")
-        variance = F.greatest(d.cast("double") - left, F.lit(0.0)) / (n.cast("double") - 1)
-        steps = F.rint(F.sqrt(variance) / unit).cast("bigint")
-
-        def reaches(limit: Column) -> Column:
-            """Whether the deviation is at least so many halves of a step."""
-            size = _times(limit, F.lit(unit // 2))
-            above = _less(d, _times(_times(size, size), n - 1))
-            return F.when(above < 0, False).when(above >= n, True).otherwise(
-                _times(above, n) >= _times(r, r)
-            )
-
-        def nudged(j: Column) -> Column:
-            up, down = reaches(2 * j + 1), ~reaches(2 * j - 1) & (j > 0)
-            return F.when(up, j + 1).when(down, j - 1).otherwise(j)
-
-        published = _let(steps, nudged).cast("double") / F.lit(float(10**places))
-        return F.when(d.isNotNull(), published)
-
-    def rough(m: Column) -> Column:
-        """From sums of doubles: of what is outside, and of the rest by its exact sums."""
-        scale = F.lit(1e-9)
-        shift = F.lit(float(2**_HALF))
-        half = lambda a: m[f"{a}_high"].cast("double") * shift + m[f"{a}_low"].cast("double")
-        total = (m["up"].cast("double") * shift + m["down"].cast("double")) * scale + m["rough"]
-        squares = (half("uu") * shift + 2 * half("ud")) * shift + half("dd")
-        squares = squares * scale * scale + m["rough_squares"]
-        n = (m["n"] + m["outside"]).cast("double")
-        spread = F.when(F.isnan(squares), squares).otherwise(
-            F.greatest(squares - total * total / n, F.lit(0.0))
+    left = f"CAST({s}.r AS DOUBLE) * CAST({s}.r AS DOUBLE) / CAST({s}.n AS DOUBLE)"
+    variance = f"greatest(CAST({s}.d AS DOUBLE) - {left}, 0D) / (CAST({s}.n AS DOUBLE) - 1D)"
+    steps = f"CAST(rint(sqrt({variance}) / {unit}D) AS BIGINT)"
+
+    def reaches(limit: str) -> str:
+        """Whether the deviation is at least so many halves of a step."""
+        size = _times(limit, f"{unit // 2}L")
+        above = _less(f"{s}.d", _times(_times("z", "z"), f"{s}.n - 1"))
+        decided = (
+            f"CASE WHEN x < 0 THEN false WHEN x >= {s}.n THEN true"
+            f" ELSE {_times('x', f'{s}.n')} >= {_times(f'{s}.r', f'{s}.r')} END"
         )
-        return F.round(F.sqrt(spread / (n - 1)), places)
+        return let_sql(size, "z", let_sql(above, "x", decided))
 
-    def one(m: Column) -> Column:
-        exact = _spread(m, publish)
-        near = F.when(m["n"] > 1, F.coalesce(exact, rough(m)))
-        return F.when(m["outside"] == 0, near).when(m["n"] + m["outside"] > 1, rough(m))
+    moved = (
+        f"CASE WHEN {reaches('2 * j + 1')} THEN j + 1"
+        f" WHEN j > 0 AND NOT {reaches('2 * j - 1')} THEN j - 1 ELSE j END"
+    )
+    published = f"CAST({let_sql(steps, 'j', moved)} AS DOUBLE) / {float(10**places)}D"
+    return f"CASE WHEN {s}.d IS NOT NULL THEN {published} END"
+
+
+def _rough(m: str, places: int) -> str:
+    """From sums of doubles: of what is outside, and of the rest by its exact sums."""
+    shift = f"{float(2**_HALF)}D"
+    half = lambda a: f"(CAST({m}.{a}_high AS DOUBLE) * {shift} + CAST({m}.{a}_low AS DOUBLE))"
+    total = f"((CAST({m}.up AS DOUBLE) * {shift} + CAST({m}.down AS DOUBLE)) * 1e-9D + {m}.rough)"
+    squares = f"(({half('uu')} * {shift} + 2D * {half('ud')}) * {shift} + {half('dd')})"
+    squares = f"({squares} * 1e-9D * 1e-9D + {m}.rough_squares)"
+    n = f"CAST({m}.n + {m}.outside AS DOUBLE)"
+    spread = (
+        f"CASE WHEN isnan({squares}) THEN {squares}"
+        f" ELSE greatest({squares} - {total} * {total} / {n}, 0D) END"
+    )
+    return f"round(sqrt({spread} / ({n} - 1D)), {places})"
 
-    return _let(m, one)
+
+def sample_deviation(m: Column, places: int = 4) -> Column:
+    """The sample deviation, rounded half-up once; NULL below two values."""
+    exact = let_sql(_spread("m"), "s", _from_spread("s", places))
+    return let(
+        m,
+        "m",
+        f"CASE WHEN m.outside = 0 THEN CASE WHEN m.n > 1 THEN coalesce({exact}, {_rough('m', places)}) END"
+        f" WHEN m.n + m.outside > 1 THEN {_rough('m', places)} END",
+    )

@@ -48,7 +48,7 @@ def merge_fund_days(states: DataFrame, day_col: str = "ingestion_date") -> DataF
         F.max_by("last_nav", "last_at").alias("last_nav"),
         F.min("min_nav").alias("min_nav"),
         F.max("max_nav").alias("max_nav"),
-        F.when(F.sum("navs") > 0, add_up(F.col("nav_total"), F.lit(True))).alias("nav_total"),
+        F.when(F.sum("navs") > 0, add_up("nav_total")).alias("nav_total"),
         F.sum("navs").alias("navs"),
         add_moments("nav_moments").alias("nav_moments"),
         F.sum("nav_updates").alias("nav_updates"),

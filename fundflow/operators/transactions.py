@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundflow.functions import add_up, exact_sum, mean_of, minus, settle
@@ -29,7 +29,7 @@ def merge_txn_days(states: DataFrame) -> DataFrame:
     return states.groupBy("ingestion_date", "transaction_type", "scheme_code").agg(
         F.sum("txn_count").alias("txn_count"),
         F.sum("amounts").alias("amounts"),
-        F.when(F.sum("amounts") > 0, add_up(F.col("total"), F.lit(True))).alias("total"),
+        F.when(F.sum("amounts") > 0, add_up("total")).alias("total"),
         F.min("min_amount").alias("min_amount"),
         F.max("max_amount").alias("max_amount"),
     )
@@ -42,24 +42,28 @@ def aum_by_fund(days: DataFrame) -> DataFrame:
     to any amount and is counted in ``total_transactions``.
     """
 
-    def flow(kind: str):
-        mine = F.coalesce(F.col("transaction_type") == kind, F.lit(False))
+    def of(kind: str) -> Column:
+        return F.coalesce(F.col("transaction_type") == kind, F.lit(False))
+
+    def flow(kind: str, column: str) -> Column:
         # A row of another type counts as 0, one of this type without an amount as nothing.
-        known = F.count(F.when(~mine | F.col("total").isNotNull(), 1)) > 0
-        return F.when(known, add_up(F.col("total"), mine))
+        known = F.count(F.when(~of(kind) | F.col("total").isNotNull(), 1)) > 0
+        return F.when(known, add_up(column))
 
-    flows = days.groupBy("scheme_code", "ingestion_date").agg(
-        flow("BUY").alias("bought"),
-        flow("SELL").alias("sold"),
+    parted = days.withColumns(
+        {"buys": F.when(of("BUY"), F.col("total")), "sells": F.when(of("SELL"), F.col("total"))}
+    )
+    flows = parted.groupBy("scheme_code", "ingestion_date").agg(
+        flow("BUY", "buys").alias("bought"),
+        flow("SELL", "sells").alias("sold"),
         F.sum("txn_count").alias("total_transactions"),
     )
-    bought, sold = F.col("bought"), F.col("sold")
-    return flows.select(
+    return flows.withColumn("net", minus("bought", "sold")).select(
         "scheme_code",
         "ingestion_date",
-        settle(minus(bought, sold), 2).alias("net_aum"),
-        settle(bought, 2).alias("total_buy_amount"),
-        settle(sold, 2).alias("total_sell_amount"),
+        settle(F.col("net"), 2).alias("net_aum"),
+        settle(F.col("bought"), 2).alias("total_buy_amount"),
+        settle(F.col("sold"), 2).alias("total_sell_amount"),
         "total_transactions",
     )
 
