@@ -156,27 +156,31 @@ def fraction_of(total: Column) -> Column:
     return let(total, "t", _fine("t"))
 
 
-def _sticky(t: str) -> str:
+def _parts(t: str, name: str, then: str) -> str:
+    """``then`` with the three parts of a sum, each computed once."""
+    parts = f"named_struct('base', {_base(t)}, 'whole', {_whole(t)}, 'fine', {_fine(t)})"
+    return let_sql(parts, name, then)
+
+
+def _sticky(p: str) -> str:
     """The sum with an eleventh decimal that only says whether more follows.
 
     Enough to round once to ten places or fewer. NULL from 10**26 on.
     """
-    exact = (
-        f"try_add(try_add(TRY_CAST({_base(t)} AS {_TOTAL}), TRY_CAST({_whole(t)} AS {_TOTAL})), f.down)"
-    )
-    more = "CASE WHEN f.fine > f.down THEN 0.00000000001BD ELSE 0.00000000000BD END"
-    sticky = f"TRY_CAST(try_add(CAST(TRY_CAST({exact} AS {_TOTAL}) AS {_STICKY}), {more}) AS {_STICKY})"
-    both = "named_struct('fine', x, 'down', CAST(floor(x, 10) AS DECIMAL(20,10)))"
-    return let_sql(let_sql(_fine(t), "x", both), "f", sticky)
+    sums = f"try_add(TRY_CAST({p}.base AS {_TOTAL}), TRY_CAST({p}.whole AS {_TOTAL}))"
+    more = f"CASE WHEN {p}.fine > d THEN 0.00000000001BD ELSE 0.00000000000BD END"
+    exact = f"CAST(TRY_CAST(try_add({sums}, d) AS {_TOTAL}) AS {_STICKY})"
+    sticky = f"TRY_CAST(try_add({exact}, {more}) AS {_STICKY})"
+    return let_sql(f"CAST(floor({p}.fine, 10) AS DECIMAL(20,10))", "d", sticky)
 
 
-def _coarse(t: str) -> str:
-    return f"CAST(try_add({_whole(t)}, TRY_CAST({_base(t)} AS DECIMAL(38,0))) AS DOUBLE)"
+def _coarse(p: str) -> str:
+    return f"CAST(try_add({p}.whole, TRY_CAST({p}.base AS DECIMAL(38,0))) AS DOUBLE)"
 
 
 def _published(t: str, fine: str, coarse: str, rough: str) -> str:
-    exact = f"coalesce(CAST({fine} AS DOUBLE), {coarse}, {rough})"
-    return f"CASE WHEN {t}.outside > 0 THEN {rough} ELSE {exact} END"
+    exact = _parts(t, "p", f"coalesce(CAST({fine} AS DOUBLE), {coarse})")
+    return f"coalesce(CASE WHEN {t}.outside = 0 THEN {exact} END, {rough})"
 
 
 def _on_grid(total: Column, unit: int) -> Column:
@@ -204,7 +208,7 @@ def settle(total: Column, places: int) -> Column:
     four-decimal values, nearly all, are rounded as whole numbers.
     """
     rough = f"round(t.rough, {places})"
-    exact = _published("t", f"round({_sticky('t')}, {places})", _coarse("t"), rough)
+    exact = _published("t", f"round({_sticky('p')}, {places})", _coarse("p"), rough)
     if places > 4:
         return let(total, "t", exact)
     unit = 10 ** (4 - places)
@@ -236,9 +240,9 @@ def mean_of(total: Column, n: Column, places: int) -> Column:
     steps, whole = _steps(total), n * F.lit(unit)
     # Half up: twice the sum and the count, by twice the count.
     size = F.call_function("div", F.abs(steps) * 2 + whole, whole * 2)
-    exact = let_sql(_sticky("s.t"), "v", _rounded("v", "s.n", places))
+    exact = let_sql(_sticky("p"), "v", _rounded("v", "s.n", places))
     rough = f"round(try_divide(s.t.rough, s.n), {places})"
-    slow = _published("s.t", exact, f"try_divide({_coarse('s.t')}, s.n)", rough)
+    slow = _published("s.t", exact, f"try_divide({_coarse('p')}, s.n)", rough)
     plain = (n > 0) & (n < F.lit(2**40)) & _on_grid(total, unit)
     whole_way = let(F.struct(total.alias("t"), n.alias("n")), "s", f"CASE WHEN s.n > 0 THEN {slow} END")
     return F.when(plain, _signed(size, steps, places)).otherwise(whole_way)

@@ -63,30 +63,33 @@ def add_moments(states: str) -> Column:
     return F.expr(f"named_struct({', '.join(f"'{n}', sum(`{states}`.{n})" for n in names)})")
 
 
+def _struct(**values: str) -> str:
+    return f"named_struct({', '.join(f"'{n}', {v}" for n, v in values.items())})"
+
+
+# Whole numbers of up to 38 digits. One side of each step is of that type, and so is the result.
+
+
 def _wide(value: str) -> str:
     return f"CAST({value} AS {_WIDE})"
 
 
 def _times(a: str, b: str) -> str:
-    return _wide(f"try_multiply({_wide(a)}, {_wide(b)})")
+    return f"try_multiply({a}, {b})"
 
 
 def _plus(a: str, b: str) -> str:
-    return _wide(f"try_add({_wide(a)}, {_wide(b)})")
+    return f"try_add({a}, {b})"
 
 
 def _less(a: str, b: str) -> str:
-    return _wide(f"try_subtract({_wide(a)}, {_wide(b)})")
+    return f"try_subtract({a}, {b})"
 
 
 def _shifted(value: str, halves: int = 1) -> str:
     return _times(value, f"{2 ** (_HALF * halves)}L")
 
 
-def _struct(**values: str) -> str:
-    return f"named_struct({', '.join(f"'{n}', {v}" for n, v in values.items())})"
-
-
 def _spread(m: str) -> str:
     """``n``, ``d`` and ``r``: the squared distances from the mean sum to d - r * r / n.
 
@@ -94,28 +97,24 @@ def _spread(m: str) -> str:
     M * (sum + r) are d. All terms are split at bit 31, so that the large parts,
     which cancel, never become one number of more than 38 digits.
     """
-    total = _plus(_shifted(f"{m}.up"), f"{m}.down")
-    mean = let_sql(total, "w", _struct(total="w", mean=f"w div {_wide(f'{m}.n')}"))
+    halves = {p: _plus(_shifted(_wide(f"{m}.{p}_high")), f"{m}.{p}_low") for p in ("uu", "ud", "dd")}
+    sums = _struct(n=_wide(f"{m}.n"), up=_wide(f"{m}.up"), down=_wide(f"{m}.down"), **halves)
+    mean = let_sql(_plus(_shifted("w.up"), "w.down"), "t", _struct(total="t", mean="t div w.n"))
     split = _struct(
-        total="a.total",
-        mean="a.mean",
-        up=f"shiftright(a.mean, {_HALF})",
-        down=f"a.mean & {2**_HALF - 1}L",
+        rest=_less("a.total", _times("w.n", "a.mean")),
+        up=_wide(f"shiftright(a.mean, {_HALF})"),
+        down=_wide(f"a.mean & {2**_HALF - 1}L"),
     )
     far = _struct(
-        up=_less(_times("2", f"{m}.up"), _times(f"{m}.n", "b.up")),
-        down=_less(_times("2", f"{m}.down"), _times(f"{m}.n", "b.down")),
+        up=_less(_times("w.up", "2"), _times("w.n", "b.up")),
+        down=_less(_times("w.down", "2"), _times("w.n", "b.down")),
     )
-    top = _less(_plus(_shifted(f"{m}.uu_high"), f"{m}.uu_low"), _times("b.up", "c.up"))
-    middle = _times("2", _plus(_shifted(f"{m}.ud_high"), f"{m}.ud_low"))
-    middle = _less(_less(middle, _times("b.up", "c.down")), _times("b.down", "c.up"))
-    low = _less(_plus(_shifted(f"{m}.dd_high"), f"{m}.dd_low"), _times("b.down", "c.down"))
-    found = _struct(
-        n=_wide(f"{m}.n"),
-        d=_plus(_plus(_shifted(top, 2), _shifted(middle)), low),
-        r=_less("b.total", _times(f"{m}.n", "b.mean")),
-    )
-    return let_sql(let_sql(mean, "a", split), "b", let_sql(far, "c", found))
+    top = _less("w.uu", _times("b.up", "c.up"))
+    middle = _less(_times("w.ud", "2"), _times("b.up", "c.down"))
+    middle = _less(middle, _times("b.down", "c.up"))
+    low = _less("w.dd", _times("b.down", "c.down"))
+    found = _struct(n="w.n", d=_plus(_plus(_shifted(top, 2), _shifted(middle)), low), r="b.rest")
+    return let_sql(sums, "w", let_sql(let_sql(mean, "a", split), "b", let_sql(far, "c", found)))
 
 
 def _from_spread(s: str, places: int) -> str:
@@ -124,22 +123,18 @@ def _from_spread(s: str, places: int) -> str:
     left = f"CAST({s}.r AS DOUBLE) * CAST({s}.r AS DOUBLE) / CAST({s}.n AS DOUBLE)"
     variance = f"greatest(CAST({s}.d AS DOUBLE) - {left}, 0D) / (CAST({s}.n AS DOUBLE) - 1D)"
     steps = f"CAST(rint(sqrt({variance}) / {unit}D) AS BIGINT)"
-
-    def reaches(limit: str) -> str:
-        """Whether the deviation is at least so many halves of a step."""
-        size = _times(limit, f"{unit // 2}L")
-        above = _less(f"{s}.d", _times(_times("z", "z"), f"{s}.n - 1"))
-        decided = (
-            f"CASE WHEN x < 0 THEN false WHEN x >= {s}.n THEN true"
-            f" ELSE {_times('x', f'{s}.n')} >= {_times(f'{s}.r', f'{s}.r')} END"
-        )
-        return let_sql(size, "z", let_sql(above, "x", decided))
-
-    moved = (
-        f"CASE WHEN {reaches('2 * j + 1')} THEN j + 1"
-        f" WHEN j > 0 AND NOT {reaches('2 * j - 1')} THEN j - 1 ELSE j END"
+    # Whether the deviation is at least the limit below and the limit above, in halves of a step.
+    above = let_sql(
+        _times("h", f"{unit // 2}L"), "z", _less(f"{s}.d", _times(_times("z", "z"), f"({s}.n - 1)"))
     )
-    published = f"CAST({let_sql(steps, 'j', moved)} AS DOUBLE) / {float(10**places)}D"
+    reached = (
+        f"CASE WHEN x < 0 THEN false WHEN x >= {s}.n THEN true"
+        f" ELSE {_times('x', f'{s}.n')} >= {_times(f'{s}.r', f'{s}.r')} END"
+    )
+    limits = f"array({_wide('2 * j - 1')}, {_wide('2 * j + 1')})"
+    both = f"transform({limits}, h -> {let_sql(above, 'x', reached)})"
+    moved = "CASE WHEN e[1] THEN j + 1 WHEN j > 0 AND NOT e[0] THEN j - 1 ELSE j END"
+    published = f"CAST({let_sql(steps, 'j', let_sql(both, 'e', moved))} AS DOUBLE) / {float(10**places)}D"
     return f"CASE WHEN {s}.d IS NOT NULL THEN {published} END"
 
 
@@ -147,23 +142,17 @@ def _rough(m: str, places: int) -> str:
     """From sums of doubles: of what is outside, and of the rest by its exact sums."""
     shift = f"{float(2**_HALF)}D"
     half = lambda a: f"(CAST({m}.{a}_high AS DOUBLE) * {shift} + CAST({m}.{a}_low AS DOUBLE))"
-    total = f"((CAST({m}.up AS DOUBLE) * {shift} + CAST({m}.down AS DOUBLE)) * 1e-9D + {m}.rough)"
-    squares = f"(({half('uu')} * {shift} + 2D * {half('ud')}) * {shift} + {half('dd')})"
-    squares = f"({squares} * 1e-9D * 1e-9D + {m}.rough_squares)"
-    n = f"CAST({m}.n + {m}.outside AS DOUBLE)"
-    spread = (
-        f"CASE WHEN isnan({squares}) THEN {squares}"
-        f" ELSE greatest({squares} - {total} * {total} / {n}, 0D) END"
-    )
-    return f"round(sqrt({spread} / ({n} - 1D)), {places})"
+    total = f"(CAST({m}.up AS DOUBLE) * {shift} + CAST({m}.down AS DOUBLE)) * 1e-9D + {m}.rough"
+    squares = f"({half('uu')} * {shift} + 2D * {half('ud')}) * {shift} + {half('dd')}"
+    squares = f"({squares}) * 1e-9D * 1e-9D + {m}.rough_squares"
+    sums = _struct(t=total, q=squares, n=f"CAST({m}.n + {m}.outside AS DOUBLE)")
+    spread = "CASE WHEN isnan(y.q) THEN y.q ELSE greatest(y.q - y.t * y.t / y.n, 0D) END"
+    return let_sql(sums, "y", f"round(sqrt({spread} / (y.n - 1D)), {places})")
 
 
 def sample_deviation(m: Column, places: int = 4) -> Column:
     """The sample deviation, rounded half-up once; NULL below two values."""
     exact = let_sql(_spread("m"), "s", _from_spread("s", places))
-    return let(
-        m,
-        "m",
-        f"CASE WHEN m.outside = 0 THEN CASE WHEN m.n > 1 THEN coalesce({exact}, {_rough('m', places)}) END"
-        f" WHEN m.n + m.outside > 1 THEN {_rough('m', places)} END",
-    )
+    exact = f"CASE WHEN m.outside = 0 AND m.n > 1 THEN {exact} END"
+    rough = f"CASE WHEN m.n + m.outside > 1 THEN {_rough('m', places)} END"
+    return let(m, "m", f"coalesce({exact}, {rough})")
