@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from fundflow.llm.common import plain, with_row_id, words_of, written
 
 CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
-_MIXED = r"[0-9]|[A-Za-z].*[a-z].*[A-Z]|[A-Za-z].*[A-Z].*[a-z]"
+# Anchored, and without ways back: each looks at a letter once, however long the word.
+_LATER_SMALL = r"^[^A-Za-z]*+[A-Za-z][^a-z]*+[a-z]"
+_LATER_CAPITAL = r"^[^A-Za-z]*+[A-Za-z][^A-Z]*+[A-Z]"
 # Words that name a credential.
 KEYWORDS = r"(?i)(^|[^a-z])(key|token|secret|passw(or)?d|passwd|pwd|auth|bearer|credential|apikey)s?([^a-z]|$)"
 _NAME = r"(?i)(?:^|[^a-z])(?:key|token|secret|passw(?:or)?d|pwd|auth|bearer|credential|apikey)s?"
@@ -67,7 +69,7 @@ def candidates(
     )
     likely = F.filter(
         F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("w"))),
-        lambda x: ((F.length(x["w"]) >= 16) & x["w"].rlike(CANDIDATE) & x["w"].rlike(_MIXED))
+        lambda x: ((F.length(x["w"]) >= 16) & x["w"].rlike(CANDIDATE) & _mixed(x["w"]))
         | ((F.length(x["w"]) >= 6) & _assigned_at(x["at"], x["w"])),
     )
     found = split.select("id", "path", "words", F.explode(likely).alias("hit"))
@@ -85,10 +87,10 @@ def candidates(
         F.regexp_extract_all("whole", F.lit(CANDIDATE), F.lit(0)).alias("runs"),
         _values(F.concat(F.array_join("before", " "), F.lit(" ")), F.col("whole")).alias("values"),
     )
-    mixed = F.filter("runs", lambda c: c.rlike(_MIXED))
+    mixed = F.filter("runs", lambda c: _mixed(c))
     # Runs come first and keep their places; a value that is one of them is no second candidate.
     parts = F.concat(
-        F.transform("runs", lambda c: F.struct(c.alias("c"), c.rlike(_MIXED).alias("ok"))),
+        F.transform("runs", lambda c: F.struct(c.alias("c"), _mixed(c).alias("ok"))),
         F.transform(
             F.filter("values", lambda c: (F.length(c) >= 6) & ~F.array_contains(mixed, c)),
             lambda c: F.struct(c.alias("c"), F.lit(True).alias("ok")),
@@ -100,6 +102,11 @@ def candidates(
     )
 
 
+def _mixed(text: Column) -> Column:
+    """A digit, or small and capital letters beyond the first letter."""
+    return text.rlike("[0-9]") | (text.rlike(_LATER_SMALL) & text.rlike(_LATER_CAPITAL))
+
+
 def _assigned_at(at: Column, word: Column) -> Column:
     """Whether a word may hold an assigned value: a sign stands in it or ends one of the two before."""
     one, two = (F.coalesce(F.try_element_at("words", at + 1 - k), F.lit("")) for k in (1, 2))

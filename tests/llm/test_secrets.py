@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import random
+import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from fundflow.llm import secrets
@@ -117,3 +120,22 @@ def test_assigned_values_of_any_characters_are_candidates(spark):
     described = secrets.described(found, secrets.Corpus.learn(frame))
     labels = {r["id"]: r["label"] for r in secrets.rule_labels(described).collect()}
     assert labels[1] == labels[2] == labels[9] == 1 and labels[3] is None
+
+
+def test_mixed_words(spark):
+    """As two alternatives with letters in between, tried from every place."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("aZ-", k=rng.randrange(9))) for _ in range(400)] + ["a1", "", "aB", "Ba", "aaB", "AbC"]
+    rule = re.compile("[0-9]|[A-Za-z].*[a-z].*[A-Z]|[A-Za-z].*[A-Z].*[a-z]")
+    frame = spark.createDataFrame([(w,) for w in words], "w string")
+    got = {r["w"]: r["m"] for r in frame.select("w", secrets._mixed(F.col("w")).alias("m")).collect()}
+    assert got == {w: bool(rule.search(w)) for w in words}
+
+
+@pytest.mark.parametrize("unit", ["g", "G", "gG", "漢", "acgt", "-", "4"])
+def test_one_long_word_does_not_hold_up_a_task(spark, unit):
+    started = time.monotonic()
+    text = unit * (1_000_000 // len(unit))
+    frame = spark.createDataFrame([(1, text, "s", 1, "s")], SCHEMA)
+    assert secrets.candidates(frame).count() in (0, 1)
+    assert time.monotonic() - started < 20
