@@ -42,21 +42,31 @@ _LOOK_ALIKE = str.maketrans(
 )
 _SIGNS = str.maketrans("0134578@$!|", "oieastbasil")
 _HAS_LOOK_ALIKE = re.compile(f"[{re.escape(''.join(map(chr, _LOOK_ALIKE)))}]")
-# A run of digits or signs that touches a letter; signs only between letters.
+# A run of digits or signs that touches a letter; signs only between letters. No branch goes
+# back into a run, and the last one begins where a run does, so a run is read once.
+_LETTER = r"[^\W\d_]"
+_DIGITS = "0134578"
 _SIGN_RUN = re.compile(
-    r"(?<=[^\W\d_])[0134578@$!|]+(?=[^\W\d_])|(?<=[^\W\d_])[0134578]+|[0134578]+(?=[^\W\d_])"
+    rf"(?<={_LETTER})(?:[{_DIGITS}@$!|]++(?={_LETTER})|[{_DIGITS}]++)"
+    rf"|(?<![{_DIGITS}@$!|])(?P<lead>[{_DIGITS}@$!|]++)(?={_LETTER})"
 )
 _GAPS = re.compile(r"[\W_]+")
 
 MIN_PREFIX, MAX_PREFIX = 4, 8
 
 
+def _letters_of(run: re.Match) -> str:
+    """A run as letters; before a word only the digits that end it."""
+    signs = (run["lead"] or "").rstrip(_DIGITS)
+    return signs + run.group()[len(signs) :].translate(_SIGNS)
+
+
 def fold(text: str | None) -> str:
     """Words of a text with one blank before, between and after; empty if there are none."""
     text = (text or "").lower()
     if not text.isascii() and _HAS_LOOK_ALIKE.search(text):
         text = text.translate(_LOOK_ALIKE)
-    text = _SIGN_RUN.sub(lambda m: m.group().translate(_SIGNS), text)
+    text = _SIGN_RUN.sub(_letters_of, text)
     words = _GAPS.sub(" ", text).strip()
     return f" {words} " if words else ""
 

@@ -1,6 +1,12 @@
 from __future__ import annotations
 
 import random
+import re
+import time
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 
 from fundflow.llm import toxicity
 from fundflow.llm.toxicity import Lexicon, fold
@@ -73,3 +79,19 @@ def test_without_labels_nothing_is_toxic(spark):
     lexicon = toxicity.fit(docs, spark.createDataFrame([], LABELS))
     assert toxicity.score_column(docs, lexicon).first()["score_"] == 0.0
     assert toxicity.keep_clean(spark.createDataFrame([], DOCS), lexicon).count() == 0
+
+
+@given(st.lists(st.sampled_from(["a", "ö", "1", "0", "5", "2", "!", "@", "|", "_", " ", "²", "Z"]), max_size=14).map("".join))
+def test_signs_become_letters_where_they_touch_one(text):
+    """The rule as three alternatives, tried at every place."""
+    letter, digits = r"[^\W\d_]", "[0134578]+"
+    rule = re.compile(rf"(?<={letter})[0134578@$!|]+(?={letter})|(?<={letter}){digits}|{digits}(?={letter})")
+    plain = rule.sub(lambda m: m.group().translate(toxicity._SIGNS), text.lower())
+    assert toxicity._SIGN_RUN.sub(toxicity._letters_of, text.lower()) == plain
+
+
+@pytest.mark.parametrize("unit", ["1", "!1", "a", "a1", "漢", "1!@", "!"])
+def test_long_runs_are_folded_in_one_pass(unit):
+    started = time.monotonic()
+    toxicity.fold(unit * (1_000_000 // len(unit)))
+    assert time.monotonic() - started < 10
