@@ -40,6 +40,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from fundflow.llm.common import free_name, map_batches
 
@@ -68,15 +69,35 @@ def byte_letters() -> list[str]:
     return [chr(moved.get(b, b)) for b in range(256)]
 
 
+_EVERY = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+
+
+def _runs_of(pattern: str) -> list[tuple[int, int]]:
+    """First and last code points of all runs that the tokenizers library takes for a class."""
+    cut = pre_tokenizers.Split(Regex(f"{pattern}+"), behavior="removed", invert=True)
+    return [(ord(run[0]), ord(run[-1])) for run, _ in cut.pre_tokenize_str(_EVERY)]
+
+
 def class_ranges(kind: str) -> str:
-    """Ranges of the code points of a general category, by Python's own Unicode tables.
+    """Ranges of the code points of a general category, by the library's own Unicode tables.
 
-    A regular expression library may know a later version, in which code points
-    that the tokenizer takes as unassigned are letters.
+    Other tables are of other versions, in which other code points are assigned.
     """
-    hits = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] == kind]
-    starts = [c for c, before in zip(hits, [-2, *hits]) if c != before + 1]
-    ends = [c for c, after in zip(hits, [*hits[1:], -2]) if c + 1 != after]
+    return "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in _runs_of(rf"\p{{{kind}}}"))
+
+
+# The library's own steps, for texts with code points that Python does not know.
+_NORMAL = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+
+
+def newer_ranges() -> str:
+    """Code points that the library knows, by its classes or its letter case, and Python does not."""
+    unknown = [c for c in _EVERY if unicodedata.category(c) == "Cn"]
+    known = {c for a, b in _runs_of(r"\P{Cn}") for c in range(a, b + 1)}
+    forms = _NORMAL.normalize_str("\n".join(unknown)).split("\n")
+    found = [ord(c) for c, form in zip(unknown, forms) if form != c or ord(c) in known]
+    starts = [c for c, before in zip(found, [-2, *found]) if c != before + 1]
+    ends = [c for c, after in zip(found, [*found[1:], -2]) if c + 1 != after]
     return "".join(rf"\U{a:08x}-\U{b:08x}" for a, b in zip(starts, ends))
 
 
@@ -183,10 +204,12 @@ class Tokenizer:
                     self.final[label.removesuffix(_WORD_END)] = token
                 else:
                     self.inner[label] = token
+        self.longest = max(map(len, [*self.inner, *self.final]), default=0)
         self.decimals = [str(n) for n in range(len(self.labels))]
         self._letters = byte_letters()
         classes = {"L": class_ranges("L"), "N": class_ranges("N"), "space": _SPACE}
         self._pieces = regex.compile(_PIECES.format(**classes))
+        self._newer = re.compile(f"[{newer_ranges() or '^\\x00-\\U0010ffff'}]")
         self._cut = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self._words: dict[str, tuple[int, ...]] = {}
         self._old: dict[str, tuple[int, ...]] = {}
@@ -215,14 +238,14 @@ class Tokenizer:
         """
         if self._root is None:
             self._root = self._tree()
-        root, table, n = self._root, self.automaton.table, len(letters)
+        root, table, n, longest = self._root, self.automaton.table, len(letters), self.longest
         out: list[int] = []
         ends = [0]
         left: set[int] = set()
         at = 0
         while at < n:
             node, choices, end = root, [], at
-            for letter in letters[at:] if at else letters:
+            for letter in letters[at : at + longest]:
                 node = node.get(letter)
                 if node is None:
                     break
@@ -286,9 +309,12 @@ class Tokenizer:
         return (_ASCII_PIECES if chunk.isascii() else self._pieces).findall(chunk)
 
     def _plain(self, text: str, ids: list[int]) -> None:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
+        if text.isascii():
+            text = text.lower()
+        elif self._newer.search(text):
+            text = _NORMAL.normalize_str(text)
+        else:
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         for chunk in _SPLIT.split(text) if _CONTROLS.search(text) else text.split():
             ids += self._chunk(chunk)
 
