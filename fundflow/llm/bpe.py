@@ -34,6 +34,7 @@ import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import pyarrow as pa
 import regex
@@ -78,6 +79,7 @@ def _runs_of(pattern: str) -> list[tuple[int, int]]:
     return [(ord(run[0]), ord(run[-1])) for run, _ in cut.pre_tokenize_str(_EVERY)]
 
 
+@cache
 def class_ranges(kind: str) -> str:
     """Ranges of the code points of a general category, by the library's own Unicode tables.
 
@@ -90,6 +92,7 @@ def class_ranges(kind: str) -> str:
 _NORMAL = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
 
 
+@cache
 def newer_ranges() -> str:
     """Code points that the library knows, by its classes or its letter case, and Python does not."""
     unknown = [c for c in _EVERY if unicodedata.category(c) == "Cn"]
