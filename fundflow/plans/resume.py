@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fundflow.plans import medallion
 from fundflow.plans.medallion import FEEDS, LakeConfig, RunReport, require_utc
-from fundflow.sources.files import fingerprint
+from fundflow.sources.files import listing_digest
 from fundflow.sources.lake import silver_path
 from fundflow.sources.snapshots import Snapshots
 
@@ -38,11 +38,11 @@ def resume_all(
     bronze = [path for feed in FEEDS for path in cfg.all_bronze(feed)]
     silver = [silver_path(cfg.silver, feed.folder) for feed in FEEDS]
     known = ledger.current().content
-    made_from, made = fingerprint(spark, *bronze), fingerprint(spark, *silver)
+    made_from, made = listing_digest(spark, *bronze), listing_digest(spark, *silver)
     entry = known.get("silver", {})
     if (entry.get("from"), entry.get("made")) != (made_from, made):
         quality = medallion.run_silver(spark, cfg)
-        made = fingerprint(spark, *silver)
+        made = listing_digest(spark, *silver)
         entry = {"from": made_from, "made": made, "quality": quality}
         _record(ledger, "silver", entry)
     gold = known.get("gold", {})

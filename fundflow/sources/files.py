@@ -31,7 +31,7 @@ def text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
-def fingerprint(spark: SparkSession, *folders: str) -> str:
+def listing_digest(spark: SparkSession, *folders: str) -> str:
     """What tells one set of Parquet files from another: names, sizes and times, not contents.
 
     Files are listed by Spark and reduced to one row; contents are not read.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fundflow.plans import medallion, resume
 from fundflow.schemas import KAFKA_SCHEMA, NAV
-from fundflow.sources.files import fingerprint
+from fundflow.sources.files import listing_digest
 from fundflow.sources.lake import read_bronze
 from fundflow.sources.warehouse import ParquetWarehouse, SnapshotWarehouse
 from fundflow.sources.workspace import new_folder
@@ -60,14 +60,14 @@ def test_a_run_goes_on_where_it_failed(spark, topics, monkeypatch):
     assert done == ["run_silver", "run_gold"] * 3
 
 
-def test_fingerprints(spark):
+def test_digests_of_listings(spark):
     path = new_folder(spark, "files")
-    assert fingerprint(spark, path) == "none"
+    assert listing_digest(spark, path) == "none"
     spark.range(3).write.parquet(path)
-    first = fingerprint(spark, path)
-    assert first == fingerprint(spark, path, f"{path}-absent")
+    first = listing_digest(spark, path)
+    assert first == listing_digest(spark, path, f"{path}-absent")
     spark.range(3).write.parquet(path, mode="append")
-    assert fingerprint(spark, path) != first
+    assert listing_digest(spark, path) != first
 
 
 def log_source(folder):
