@@ -212,7 +212,10 @@ class Tokenizer:
         self._letters = byte_letters()
         classes = {"L": class_ranges("L"), "N": class_ranges("N"), "space": _SPACE}
         self._pieces = regex.compile(_PIECES.format(**classes))
-        self._newer = re.compile(f"[{newer_ranges() or '^\\x00-\\U0010ffff'}]")
+        newer = newer_ranges() or r"\U0010ffff"
+        self._newer = re.compile(f"[{newer}]")
+        # One range, which is looked for much faster; most texts have nothing beyond it.
+        self._high = re.compile(rf"[{newer[:10]}-\U0010ffff]")
         self._cut = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self._words: dict[str, tuple[int, ...]] = {}
         self._old: dict[str, tuple[int, ...]] = {}
@@ -314,7 +317,7 @@ class Tokenizer:
     def _plain(self, text: str, ids: list[int]) -> None:
         if text.isascii():
             text = text.lower()
-        elif self._newer.search(text):
+        elif self._high.search(text) and self._newer.search(text):
             text = _NORMAL.normalize_str(text)
         else:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
