@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from fundflow.plans.increments import SilverIncrements
 from fundflow.plans.medallion import LakeConfig, RunReport, run_all
 from fundflow.schemas import NAV, TXN, Feed
 from fundflow.sources.lake import DAY, by_day, read_bronze, read_silver, silver_path, write_silver
-from fundflow.sources.warehouse import SnapshotWarehouse
+from fundflow.sources.warehouse import SnapshotWarehouse, side_by_side
 from fundflow.sources.workspace import new_folder
 from fundflow.streaming.landing import await_feeds, ingest_feed
 
@@ -486,11 +487,15 @@ def _stepwise_lake(
         tables = {f.name: SilverIncrements(spark, f, f"{root}/{f.name}", buckets=8) for f in landed}
         gold = GoldIncrements(spark, f"{root}/gold", tables["nav"], tables["txn"])
         part = F.pmod(F.hash("offset"), F.lit(_STEPS))
+
+        def land(feed: Feed, step: int) -> None:
+            path = f"{root}/bronze/{feed.folder}"
+            rows = landed[feed].filter(part == step)
+            by_day(rows).write.partitionBy(DAY).parquet(path, mode="append")
+            tables[feed.name].advance(path)
+
         for step in range(_STEPS):
-            for feed, frame in landed.items():
-                path = f"{root}/bronze/{feed.folder}"
-                by_day(frame.filter(part == step)).write.partitionBy(DAY).parquet(path, mode="append")
-                tables[feed.name].advance(path)
+            side_by_side(spark, partial(land, step=step), list(landed))
             gold.advance()
         _LAKES[key] = tables, gold
     return _LAKES[key]
