@@ -474,7 +474,8 @@ def _stepwise_lake(
 ) -> tuple[dict[str, SilverIncrements], GoldIncrements]:
     """All messages landed in three parts, repeats often before what they repeat.
 
-    After each part silver merges the new files, and gold the days that changed.
+    After each part silver merges the new files; gold merges the days that changed after the
+    first part and after the last.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
@@ -484,7 +485,7 @@ def _stepwise_lake(
             NAV: to_envelope(feeds.nav_records(events)),
             TXN: to_envelope(feeds.txn_records(events)),
         }
-        tables = {f.name: SilverIncrements(spark, f, f"{root}/{f.name}", buckets=8) for f in landed}
+        tables = {f.name: SilverIncrements(spark, f, f"{root}/{f.name}", buckets=4) for f in landed}
         gold = GoldIncrements(spark, f"{root}/gold", tables["nav"], tables["txn"])
         part = F.pmod(F.hash("offset"), F.lit(_STEPS))
 
@@ -496,7 +497,8 @@ def _stepwise_lake(
 
         for step in range(_STEPS):
             side_by_side(spark, partial(land, step=step), list(landed))
-            gold.advance()
+            if step != 1:
+                gold.advance()
         _LAKES[key] = tables, gold
     return _LAKES[key]
 
