@@ -57,4 +57,4 @@ def test_stages_equal_brute_force(spark):
 
 def test_registry_has_a_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in REGISTRY)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
