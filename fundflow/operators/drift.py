@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from fundflow.schemas import Feed
 
-# The type that a VARIANT reports, by its beginning, and the kind it is of.
+# The type that a VARIANT reports, without its parameters, and the kind it is of.
 _KINDS = {
     "BIGINT": "integer",
     "DECIMAL": "number",
@@ -36,11 +36,10 @@ _ALLOWED = {
 
 def kind_of(value: Column) -> Column:
     """integer, number, string, boolean, null, object or array."""
-    name = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-    kind = F.lit("other")
-    for prefix, short in _KINDS.items():
-        kind = F.when(name == prefix, short).otherwise(kind)
-    return kind
+    # Looked up, so that the type of a value is found once and not for each kind.
+    name = F.substring_index(F.substring_index(F.schema_of_variant(value), "(", 1), "<", 1)
+    kinds = F.create_map(*[F.lit(part) for pair in _KINDS.items() for part in pair])
+    return F.coalesce(F.try_element_at(kinds, name), F.lit("other"))
 
 
 def message_fields(bronze: DataFrame) -> DataFrame:
@@ -51,11 +50,15 @@ def message_fields(bronze: DataFrame) -> DataFrame:
     looked into. A message is parsed once; counts merge map-side.
     """
     read = bronze.select("ingestion_date", F.try_parse_json("json_payload").alias("body"))
-    kind = F.when(F.col("body").isNull(), "unreadable").otherwise(kind_of(F.col("body")))
-    whole = F.when(kind.isin("unreadable", "object"), kind).otherwise("no object")
-    fields = F.try_variant_get("body", "$", "map<string, variant>")
+    # Only an object can be read as a map; its own type would list all its fields first.
+    read = read.withColumn("fields", F.try_variant_get("body", "$", "map<string, variant>"))
+    whole = (
+        F.when(F.col("body").isNull(), "unreadable")
+        .when(F.col("fields").isNotNull(), "object")
+        .otherwise("no object")
+    )
     entries = F.transform(
-        F.map_entries(fields), lambda e: F.struct(e["key"].alias("field"), kind_of(e["value"]).alias("kind"))
+        F.map_entries("fields"), lambda e: F.struct(e["key"].alias("field"), kind_of(e["value"]).alias("kind"))
     )
     none = F.array(F.struct(F.lit(None).cast("string").alias("field"), whole.alias("kind")))
     listed = F.when(whole == "object", F.concat(none, entries)).otherwise(none)

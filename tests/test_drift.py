@@ -62,3 +62,9 @@ def test_no_messages(spark):
 def test_messages_are_parsed_once(spark):
     plan = plan_text(schema_drift(feeds.nav_bronze(spark, "/root/testdata/sf0.001"), NAV))
     assert plan.count("FileScan") == 1 and plan.count("Generate explode") == 2 + 1  # repeats of the feed
+
+
+def test_the_type_of_a_value_is_found_once(spark):
+    """Once for all kinds, and not for a whole message, whose type lists every field."""
+    plan = plan_text(message_fields(sent(spark, '{"nav":1.5}')))
+    assert plan.lower().replace("_", "").count("schemaofvariant(") == 1
