@@ -17,6 +17,8 @@ Mode = Literal["continuous", "drain"]
 # How often a continuous query writes files, and how many at most for one day.
 INTERVAL = "30 seconds"
 FILES_PER_DAY = 16
+# Offsets of one topic partition that go to one file of a day.
+FILE_RUN = 1 << 18
 
 POLL_SECONDS = 5
 
@@ -36,12 +38,14 @@ def land_bronze(
     checkpoint, and no message is written twice.
 
     A batch writes at most ``files_per_day`` files into a day, whatever the number of
-    source partitions: rows of a day are dealt to that many tasks by their place in the topic.
+    source partitions: rows of a day are dealt to that many tasks by their place in the topic,
+    a run of ``FILE_RUN`` offsets together, so that a small day is not cut into many files.
     The sink's log names every file, so choose a long ``interval`` and few files
     where messages are many, and begin a new root from time to time.
     """
     schedule = {"availableNow": True} if mode == "drain" else {"processingTime": interval}
-    slot = F.pmod(F.hash("partition", "offset"), F.lit(files_per_day))
+    run = F.floor(F.col("offset") / FILE_RUN)
+    slot = F.pmod(F.hash("partition", run), F.lit(files_per_day))
     return (
         df.repartition(F.col(DAY), slot)
         .writeStream.outputMode("append")

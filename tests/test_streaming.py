@@ -187,6 +187,16 @@ def test_a_batch_writes_a_bounded_number_of_files_per_day(spark):
     assert read_bronze(spark, f"{root}/bronze").count() == 60
 
 
+def test_a_small_day_is_not_cut_into_many_files(spark):
+    folder, root = new_folder(spark, "topic"), new_folder(spark, "land")
+    sent = [price(offset=k, sent=LATE) for k in range(60)]
+    spark.createDataFrame(sent, KAFKA_SCHEMA).repartition(12).write.parquet(folder)
+    query = ingest_feed(source(spark, folder), f"{root}/bronze", f"{root}/state", "drain")
+    await_feeds([query], "drain")
+    assert len(list(Path(f"{root}/bronze").glob("*/*.parquet"))) == 1
+    assert read_bronze(spark, f"{root}/bronze").count() == 60
+
+
 def test_another_zone_is_refused(spark):
     cfg = medallion.LakeConfig(root="x", warehouse=ParquetWarehouse("x"))
     zone = spark.conf.get("spark.sql.session.timeZone")
