@@ -34,6 +34,7 @@ from fundflow.sources.segments import (
 )
 from fundflow.sources.snapshots import Snapshots, Version
 from fundflow.sources.warehouse import side_by_side
+from fundflow.sources.workspace import new_folder
 
 #: The layout of stored states. Raise it with any change to the columns of a state.
 STATE_SCHEMA = 1
@@ -112,7 +113,11 @@ class GoldIncrements:
         return feed.name, (now, live)
 
     def _tables(self, states: dict[str, dict]) -> dict[str, DataFrame]:
+        # Written, because performance reads it once and the ranking twice.
         days = published_fund_days(self.states(NAV, states[NAV.name]), stored=True)
+        path = new_folder(self.spark, "days")
+        days.write.parquet(path)
+        days = self.spark.read.schema(days.schema).parquet(path)
         transactions = self.states(TXN, states[TXN.name])
         return {
             "gold_aum_by_fund": aum_by_fund(transactions),

@@ -466,6 +466,7 @@ def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Silver and gold brought up to date in three steps
 
 _STEPS = 3
+_BUCKET_KEYS = 500_000
 _LAKES: dict[tuple[str, str], tuple[dict[str, SilverIncrements], GoldIncrements]] = {}
 
 
@@ -485,7 +486,11 @@ def _stepwise_lake(
             NAV: to_envelope(feeds.nav_records(events)),
             TXN: to_envelope(feeds.txn_records(events)),
         }
-        tables = {f.name: SilverIncrements(spark, f, f"{root}/{f.name}", buckets=4) for f in landed}
+        # A bucket is joined by one task, so their number follows the number of keys.
+        buckets = 4 + events.count() // _BUCKET_KEYS
+        tables = {
+            f.name: SilverIncrements(spark, f, f"{root}/{f.name}", buckets=buckets) for f in landed
+        }
         gold = GoldIncrements(spark, f"{root}/gold", tables["nav"], tables["txn"])
         part = F.pmod(F.hash("offset"), F.lit(_STEPS))
 
