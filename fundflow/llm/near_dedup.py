@@ -338,7 +338,7 @@ def classes(
         key.cast("long").alias("id"),
         F.transform(words_of(body), lambda w: F.hash(w)).alias("words"),
     )
-    base = written(base, "words")
+    base = written(base, "words", "zstd")
     keyed = base.filter(F.size("words") > 0).select(
         "row", F.xxhash64("words").alias("k"), F.xxhash64(F.lit(1), "words").alias("l")
     )
@@ -426,7 +426,8 @@ def classes(
 def drop_near_copies(docs: DataFrame, ident: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """One row of every class, with all its columns."""
     number = free_name(docs, "row")
-    fixed = written(with_row_id(docs, number), "numbered")
+    # A copy of all texts stays on disk until the end, so it is packed well.
+    fixed = written(with_row_id(docs, number), "numbered", "zstd")
     gone = classes(fixed, ident, text, row=number, **how).filter(~F.col("kept"))
     return fixed.join(
         gone.select(F.col("row").alias(number)), number, "left_anti"

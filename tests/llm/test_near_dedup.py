@@ -7,9 +7,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from fundflow.llm import near_dedup
+from fundflow.llm.common import written
 
 SCHEMA = "doc_id long, text string, row string, label int"
 
@@ -163,3 +165,19 @@ def test_a_chance_agreement_in_an_earlier_band_loses_no_pair():
                 })
                 found += link(block).to_pylist()
             assert found == [{"a": 7, "b": 8}]
+
+
+def test_copies_of_all_texts_are_packed(spark, monkeypatch):
+    kept = {}
+
+    def spy(frame, label, *how):
+        kept[label] = written(frame, label, *how)
+        return kept[label]
+
+    monkeypatch.setattr(near_dedup, "written", spy)
+    docs = spark.createDataFrame([(k, f"a b c d e {k}") for k in range(9)], "doc_id long, text string")
+    assert near_dedup.drop_near_copies(docs).count() == 9
+    for label in ("numbered", "words"):
+        for file in kept[label].inputFiles():
+            group = pq.ParquetFile(file.removeprefix("file://")).metadata.row_group(0)
+            assert group.column(0).compression == "ZSTD", label
